@@ -47,7 +47,7 @@ def dq_not_blank(spark, sf_dir):
 
 
 def dq_unique_combination(spark, sf_dir):
-    return quality.unique_combination(_raw_reviews(spark, sf_dir), RAW_KEY)
+    return quality.unique_combination(_raw_reviews(spark, sf_dir), RAW_KEY, by_hash=True)
 
 
 def dq_batch_overlap(spark, sf_dir):
@@ -55,13 +55,13 @@ def dq_batch_overlap(spark, sf_dir):
 
 
 def suite_tables(spark, sf_dir, base):
-    """All eight tables of the suite, with models and tags stored under ``base``.
+    """All eight tables of the suite, stored under ``base`` as a pipeline would.
 
     Tags are keyword labels of every review in the fact table, by two labelers.
     """
-    tables = build_models(
-        _raw_reviews(spark, sf_dir), spark_input(spark, sf_dir, "raw_products"), base, PRICE_CUTS, TOP_PRICE
-    )
+    raw_reviews = store(_raw_reviews(spark, sf_dir), f"{base}/raw_reviews")
+    raw_products = store(spark_input(spark, sf_dir, "raw_products"), f"{base}/raw_products")
+    tables = build_models(raw_reviews, raw_products, base, PRICE_CUTS, TOP_PRICE)
     facts = tables["fct_reviews"]
     labelled = tagging.keyword_tags(facts.select("review_id", "rating", F.coalesce("review_text", F.lit("")).alias("text")))
     tags = tagging.tag_rows(labelled, "keyword_baseline", "regex-v1")

@@ -13,6 +13,7 @@ from sparkmart.operators.landing import land_partition
 from sparkmart.operators.merge import apply_delete_insert, new_partitions
 from sparkmart.plans import models
 from sparkmart.session import work_dir
+from sparkmart.sources.landed import read_landed
 
 
 def latest(spark, sf_dir):
@@ -54,7 +55,9 @@ def partitions_after(spark, sf_dir):
 def fact_incremental(spark, sf_dir):
     """Raw batches landed in two rounds, staged and loaded after each."""
     base = work_dir(spark, "fact")
-    raw = spark_input(spark, sf_dir, "raw_reviews")
+    source = f"{base}/source"
+    spark_input(spark, sf_dir, "raw_reviews").write.partitionBy("load_date").parquet(source)
+    raw = read_landed(spark, source)
     products = models.stg_products(spark_input(spark, sf_dir, "raw_products"))
     rounds = ([date(2000, 12, 31)], [date(2001, 6, 30), date(2001, 12, 31), date(2002, 1, 31)])
     for dates in rounds:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.session import configure
+from sparkmart.sources.landed import spread
 
 CATALOGUE = """
   select
@@ -67,8 +68,9 @@ SOURCE_REVIEWS = """
     cast(l_linenumber as string) as total_neg_feedback_count,
     concat(cast(l_linenumber as string), '.5') as total_pos_feedback_count,
     case when l_orderkey % 71 = 0 then 'soon'
-         when l_orderkey % 13 = 0 then replace(left(cast(l_shipdate as string), 10), '-', '/')
-         else cast(l_shipdate as string) end as submission_time,
+         when l_orderkey % 13 = 0 then replace(cast(cast(l_shipdate as date) as string), '-', '/')
+         when l_orderkey % 13 = 1 then concat(cast(cast(l_shipdate as date) as string), ' 08:30:00')
+         else cast(cast(l_shipdate as date) as string) end as submission_time,
     case when l_orderkey % 67 = 0 then cast(null as string) when l_orderkey % 59 = 0 then '   '
          else concat(' Line ', cast(l_linenumber as string), ' of order ', cast(l_orderkey as string), ' by ',
                      cast(l_suppkey as string), ': ', cast(l_quantity as string), ' ', l_returnflag) end as review_text,
@@ -118,6 +120,10 @@ INPUTS = {
 }
 
 
+# Inputs whose queries do much work per row before any shuffle.
+HEAVY = {"source_reviews", "raw_reviews", "text_reviews"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -126,6 +132,8 @@ def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input as a DataFrame."""
     text = INPUTS[name]
     used = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text}
+    if name in HEAVY:
+        used = {t: spread(df) for t, df in used.items()}
     return spark.sql(text, **used)
 
 

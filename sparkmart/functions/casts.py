@@ -14,8 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DATE_SHAPE = r"^\d{4}([-/])\d{1,2}\1\d{1,2}$"
-# The JVM number parser takes a type suffix ("1d", "5f"); a CSV value like that is junk.
-JVM_SUFFIX = r"(?i)[0-9.][df]$"
 
 
 def _col(c: str | Column) -> Column:
@@ -23,9 +21,15 @@ def _col(c: str | Column) -> Column:
 
 
 def try_double(c: str | Column) -> Column:
-    """Text as double, NULL when it is not a number."""
+    """Text as double, NULL when it is not a number.
+
+    The JVM number parser takes a type suffix ("1d", "5f"); such a value is junk in
+    a CSV. Infinity is the one number whose text ends in such a letter.
+    """
     c = _col(c)
-    return F.when(~F.trim(c).rlike(JVM_SUFFIX), c.try_cast("double"))
+    text = F.trim(c)
+    suffixed = F.right(text, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(F.right(text, F.lit(3))).eqNullSafe("inf")
+    return F.when(~suffixed, c.try_cast("double"))
 
 
 def try_int(c: str | Column) -> Column:
@@ -41,7 +45,11 @@ def double_to_int(c: str | Column) -> Column:
 def try_date(c: str | Column) -> Column:
     """Text as date; partial dates such as ``'2022-06'`` give NULL."""
     text = F.trim(_col(c))
-    return F.when(text.rlike(DATE_SHAPE), F.translate(text, "/", "-").try_cast("date"))
+    # The usual form is told by position; only other texts pay for the pattern.
+    usual = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(usual, text.try_cast("date")).when(
+        text.rlike(DATE_SHAPE), F.translate(text, "/", "-").try_cast("date")
+    )
 
 
 def leading_date(c: str | Column) -> Column:

@@ -54,7 +54,7 @@ def slice_rows(df: DataFrame, day: Column, part: Slice) -> DataFrame:
     """Rows of a slice. A backfill also takes rows whose day cannot be parsed,
     because no later slice could ever match them."""
     if part.low is None:
-        return df.where((day <= F.lit(part.high)) | day.isNull())
+        return df.where(F.coalesce(day <= F.lit(part.high), F.lit(True)))
     return df.where((day > F.lit(part.low)) & (day <= F.lit(part.high)))
 
 

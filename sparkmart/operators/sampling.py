@@ -55,6 +55,24 @@ def stratified_sample(
     return df.join(picked, key)
 
 
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows in the order of all columns, NULLs last.
+
+    Each map task keeps its first ``n`` and 64 shards merge those, so the last step
+    sorts 64 times ``n`` rows at most.
+    """
+    order = [F.col(c).asc_nulls_last() for c in df.columns]
+    in_shard = Window.partitionBy("_shard").orderBy(*order)
+    return (
+        df.withColumn("_shard", F.pmod(F.spark_partition_id(), F.lit(SHARDS)))
+        .withColumn("_rank", F.row_number().over(in_shard))
+        .where(F.col("_rank") <= n)
+        .drop("_shard", "_rank")
+        .orderBy(*order)
+        .limit(n)
+    )
+
+
 def number_batches(
     df: DataFrame, key: str, group: str, order: str, size: int, shard_digits: int = 0
 ) -> DataFrame:

@@ -19,10 +19,9 @@ def build_models(
 ) -> dict[str, DataFrame]:
     """Staging and star schema from raw tables, stored under ``base``.
 
-    Staged products stay a view, as the dimensions read them once each; every other
-    model is stored because several plans read it.
+    Every model is stored because several later plans read it.
     """
-    products = models.stg_products(raw_products)
+    products = store(models.stg_products(raw_products), f"{base}/stg_products")
     reviews = store(models.stg_reviews(raw_reviews), f"{base}/stg_reviews")
     dim_products = store(models.dim_products(products, cuts, top), f"{base}/dim_products")
     return {

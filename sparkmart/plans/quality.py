@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.casts import try_double
 from sparkmart.functions.text import COMPLAINT_TYPES, SENTIMENTS
+from sparkmart.operators.sampling import first_rows
 from sparkmart.plans.models import PRICE_CUTS, TOP_PRICE
 from sparkmart.sources.csv import WRITE_OPTIONS
 from sparkmart.sources.landed import read_or_empty
@@ -67,8 +68,16 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[Any]) -> DataFr
     return df.where(~F.col(column).isin(list(values))).groupBy(column).agg(F.count("*").alias("n_rows"))
 
 
-def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Groups of more than one row; NULLs count as equal."""
+def unique_combination(df: DataFrame, columns: Sequence[str], by_hash: bool = False) -> DataFrame:
+    """Groups of more than one row; NULLs count as equal.
+
+    ``by_hash`` is for keys that hold long texts: rows are first counted by an 8-byte
+    hash of the key, and only rows whose hash repeats are grouped by the key itself.
+    """
+    if by_hash:
+        hashed = df.select(*columns, F.xxhash64(*columns).alias("_hash"))
+        repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1")
+        df = hashed.join(repeated, "_hash", "left_semi")
     return df.groupBy(*columns).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
@@ -141,7 +150,7 @@ ROW_RULES: dict[str, Callable[..., Column]] = {
 GROUP_RULES: dict[str, Callable[[Tables, Check], DataFrame]] = {
     "unique": lambda t, c: unique(t[c.table], c.columns[0]),
     "accepted_values": lambda t, c: accepted_values(t[c.table], c.columns[0], c.args["values"]),
-    "unique_combination": lambda t, c: unique_combination(t[c.table], c.columns),
+    "unique_combination": lambda t, c: unique_combination(t[c.table], c.columns, **c.args),
     "relationships": lambda t, c: relationships(t[c.table], c.columns[0], t[c.args["to"]], c.args["field"]),
 }
 
@@ -177,7 +186,7 @@ def standard_suite(
         _check("raw_reviews", "product_id", "relationships", "warn", to="stg_products", field="product_id"),
         _check("raw_reviews", "review_text", "not_blank", "warn"),
         _check("raw_reviews", "rating", "accepted_range", "warn", **stars),
-        _check("raw_reviews", "author_id product_id submission_time review_text", "unique_combination", "warn"),
+        _check("raw_reviews", "author_id product_id submission_time review_text", "unique_combination", "warn", by_hash=True),
         _check("raw_products", "price_usd", "accepted_range", "warn", **prices),
         _check("review_tags", "review_id labeler", "unique_combination"),
         _check("review_tags", "review_id", "not_null"),
@@ -279,7 +288,7 @@ def read_failures(spark: SparkSession, check: Check, audit: str) -> DataFrame:
 
 def export_sample(df: DataFrame, rows: int = EXPORT_ROWS) -> DataFrame:
     """At most ``rows`` failing rows for people to read, the same ones on every run."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in df.columns]).limit(rows)
+    return first_rows(df, rows)
 
 
 def export_failures(spark: SparkSession, check: Check, audit: str, folder: str) -> str:

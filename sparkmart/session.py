@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,9 @@ RUNTIME_SETTINGS = {
     # its join partition even when that costs one more shuffle downstream.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method above 8,000 bytes of code. A wide staging
+    # projection fused into one larger method would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -42,6 +46,11 @@ def local_session(cores: int | str = 8, app: str = "sparkmart") -> SparkSession:
     return spark
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="sparkmart-")
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
@@ -52,6 +61,5 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="sparkmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

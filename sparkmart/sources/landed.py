@@ -23,6 +23,16 @@ def read_newest(spark: SparkSession, base: str) -> DataFrame:
     return read_partitions(spark, base, partition_values(spark, base, "load_date")[-1:])
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan over all cores, when its files give fewer splits than that.
+
+    One row group is one task however many rows it holds. A large table has more
+    splits than cores and is left as it is. Rows are hashed whole, which needs no sort.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *scan.columns)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, or an empty typed one before its first write."""
     if exists(spark, path):
