@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkmart.catalog.inputs import oracle_inputs, spark_input, table
 from sparkmart.functions import casts
 from sparkmart.functions.text import assemble_text
+from sparkmart.plans.models import REVIEW_KEY
 
 JUNK = """
   select l_orderkey, l_linenumber, l_suppkey,
@@ -33,8 +34,8 @@ def safe_casts(spark, sf_dir):
         "l_linenumber",
         "l_suppkey",
         casts.try_int("number_text").alias("as_int"),
-        F.when(~F.isnan(casts.try_double("number_text")), casts.try_double("number_text")).alias("as_double"),
-        casts.double_to_int(F.col("half").cast("double")).alias("half_to_int"),
+        F.nullif(casts.try_double("number_text"), F.lit(float("nan"))).alias("as_double"),
+        casts.double_to_int("cast(half as double)").alias("half_to_int"),
     )
 
 
@@ -61,7 +62,7 @@ def blank_to_null(spark, sf_dir):
 
 
 def surrogate_key(spark, sf_dir):
-    key = casts.surrogate_key("author_id", "product_id", "submission_time", F.coalesce("review_text", F.lit("")))
+    key = casts.surrogate_key(*REVIEW_KEY)
     return spark_input(spark, sf_dir, "source_reviews").select("author_id", "product_id", key.alias("review_id"))
 
 

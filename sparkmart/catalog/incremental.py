@@ -12,6 +12,7 @@ from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.landing import land_partition
 from sparkmart.operators.merge import apply_delete_insert, new_partitions
 from sparkmart.plans import models
+from sparkmart.plans.build import store
 from sparkmart.session import work_dir
 from sparkmart.sources.landed import read_landed
 
@@ -58,7 +59,7 @@ def fact_incremental(spark, sf_dir):
     source = f"{base}/source"
     spark_input(spark, sf_dir, "raw_reviews").write.partitionBy("load_date").parquet(source)
     raw = read_landed(spark, source)
-    products = models.stg_products(spark_input(spark, sf_dir, "raw_products"))
+    products = store(models.stg_products(spark_input(spark, sf_dir, "raw_products")), f"{base}/products")
     rounds = ([date(2000, 12, 31)], [date(2001, 6, 30), date(2001, 12, 31), date(2002, 1, 31)])
     for dates in rounds:
         for d in dates:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from sparkmart.catalog.inputs import oracle_inputs, spark_input, table
-from sparkmart.functions.casts import leading_date
+from sparkmart.functions.casts import leading_date, surrogate_key
 from sparkmart.operators.landing import (
     batch_log,
     land_batch,
@@ -16,7 +16,7 @@ from sparkmart.operators.landing import (
     slice_bounds,
     source_date_range,
 )
-from sparkmart.functions.casts import surrogate_key
+from sparkmart.plans.models import REVIEW_KEY
 from sparkmart.session import work_dir
 from sparkmart.sources.csv import WRITE_OPTIONS, read_csv_by_name, read_csv_snapshot
 from sparkmart.sources.landed import read_landed
@@ -138,8 +138,7 @@ def land_exhausted(spark, sf_dir):
 
 def late(spark, sf_dir):
     """Rows of the source that a landed table missed."""
-    key = surrogate_key("author_id", "product_id", "submission_time", F.coalesce("review_text", F.lit("")))
-    keyed = spark_input(spark, sf_dir, "source_reviews").withColumn("review_id", key)
+    keyed = spark_input(spark, sf_dir, "source_reviews").withColumn("review_id", surrogate_key(*REVIEW_KEY))
     landed = keyed.where(F.col("eye_color") != "R")
     return late_rows(keyed, _day(), CUTOFF, landed, "review_id").select("review_id", "author_id", _day().alias("day"))
 

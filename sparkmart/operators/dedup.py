@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], named: Sequence[str]) -> DataFrame:
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], named: Sequence[str]) -> DataFrame:
     # Every other column breaks ties, so the winner never depends on task order.
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys and c not in named]
-    by_key = Window.partitionBy(*keys).orderBy(*order, *ties)
+    ties = [f"`{c}` asc nulls last" for c in df.columns if c not in keys and c not in named]
+    by = ", ".join(f"`{k}`" for k in keys)
+    rank = F.expr(f"row_number() over (partition by {by} order by {', '.join([*order, *ties])})")
     # The filter on the rank lets each map task keep one row per key before the
     # shuffle, so a key with a third of all copies sends one row per task.
-    return df.withColumn("_rank", F.row_number().over(by_key)).where("_rank = 1").drop("_rank")
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key by ``order``, NULLs last."""
-    return _one_per_key(df, keys, [F.col(c).asc_nulls_last() for c in order], order)
+    return _one_per_key(df, keys, [f"`{c}` asc nulls last" for c in order], order)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order``; NULLs count as oldest."""
-    return _one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order], order)
+    return _one_per_key(df, keys, [f"`{c}` desc nulls last" for c in order], order)
 
 
 def latest_snapshot(df: DataFrame, column: str) -> DataFrame:

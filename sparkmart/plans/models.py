@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from sparkmart.functions import casts
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.median import exact_median
-from sparkmart.operators.merge import apply_delete_insert, append_partitions
+from sparkmart.operators.merge import append_partitions, apply_delete_insert, replace_partitions
 from sparkmart.sources.landed import read_partitions
 from sparkmart.sources.paths import partition_values
 
 # The price bands.
 PRICE_CUTS = [(25, "1. <$25"), (50, "2. $25-50"), (100, "3. $50-100")]
 TOP_PRICE = "4. $100+"
+# What makes a review: the raw values of these.
+REVIEW_KEY = ("author_id", "product_id", "submission_time", "coalesce(review_text, '')")
 
 
 def stg_products(raw: DataFrame, exclusive_flag: str = "store_exclusive") -> DataFrame:
@@ -57,13 +59,11 @@ def typed_reviews(raw: DataFrame) -> DataFrame:
     """
     text, num, whole = casts.blank_to_null, casts.try_double, casts.try_int
     typed = raw.select(
-        casts.surrogate_key(
-            "author_id", "product_id", "submission_time", F.coalesce("review_text", F.lit(""))
-        ).alias("review_id"),
+        casts.surrogate_key(*REVIEW_KEY).alias("review_id"),
         F.trim("author_id").alias("author_id"),
         F.trim("product_id").alias("product_id"),
         whole("rating").alias("rating"),
-        (casts.double_to_int(num("is_recommended")) == 1).alias("is_recommended"),
+        casts.double_flag("is_recommended").alias("is_recommended"),
         num("helpfulness").alias("helpfulness"),
         whole("total_feedback_count").alias("total_feedback_count"),
         whole("total_neg_feedback_count").alias("total_neg_feedback_count"),
@@ -167,13 +167,7 @@ def extend_staged_reviews(spark: SparkSession, raw_base: str, path: str) -> list
     if stored:
         known = _stored_copies(spark.read.parquet(path), typed)
         fresh = fresh.join(known, "review_id", "left_anti")
-    (
-        fresh.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("load_date")
-        .parquet(path)
-    )
+    replace_partitions(fresh, path)
     return missing
 
 
@@ -199,9 +193,12 @@ def extend_fact(
 ) -> list[str]:
     """Bring the stored fact table up to the staged reviews; returns the partitions written.
 
-    Reads staged partitions newer than the fact's newest one. A review whose product
-    only shows up in a later catalogue stays out, unless ``reprocess_orphans`` reads
-    the older partitions again for reviews the fact lacks.
+    Reads staged partitions newer than the fact's newest one and writes just those.
+    Staged reviews are unique over all partitions, so no stored row shares a key with
+    them and there is nothing to delete. ``reload_fact`` handles staged rows that
+    replace stored ones. A review whose product only shows up in a later catalogue
+    stays out, unless ``reprocess_orphans`` reads the older partitions again for
+    reviews the fact lacks.
     """
     held = partition_values(spark, path, "load_date")
     staged_dates = partition_values(spark, staged_path, "load_date")
@@ -213,7 +210,16 @@ def extend_fact(
     if reprocess_orphans and held:
         batch = batch.join(spark.read.parquet(path).select("review_id"), "review_id", "left_anti")
         return append_partitions(batch, path)
-    return apply_delete_insert(spark, path, batch, "review_id")
+    replace_partitions(batch, path)
+    return staged_dates
+
+
+def reload_fact(spark: SparkSession, reviews: DataFrame, products: DataFrame, path: str) -> list[str]:
+    """Delete the fact rows whose key is in ``reviews`` and insert the new ones.
+
+    For stored reviews that were landed again with other values or under another date.
+    """
+    return apply_delete_insert(spark, path, fct_reviews(reviews, products), "review_id")
 
 
 def complaint_counts(tags: DataFrame, facts: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def is_blank(column: str) -> Column:
 
 def out_of_range(column: str, low: float | None = None, high: float | None = None, cast: str = "double") -> Column:
     """Not NULL, and not castable or outside the closed range. NaN is above every bound."""
-    value = try_double(F.col(column).cast("string")) if cast == "double" else F.col(column).try_cast(cast)
+    value = try_double(f"cast({column} as string)") if cast == "double" else F.col(column).try_cast(cast)
     bad = value.isNull()
     if low is not None:
         bad = bad | (value < low)

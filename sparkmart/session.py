@@ -38,6 +38,8 @@ def local_session(cores: int | str = 8, app: str = "sparkmart") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "16g")
+        # Call sites are recorded per column operation, over several calls to the JVM.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)

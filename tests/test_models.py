@@ -134,6 +134,18 @@ def test_orphans_stay_out_unless_asked_for(spark, base):
     assert models.extend_fact(spark, f"{base}/models/stg_reviews", products, path, True) == []
 
 
+def test_reloaded_reviews_replace_their_rows(spark, base):
+    batches = [(D[0], [review(f"a{i}", "p0", D[0]) for i in range(6)]), (D[1], [review("c", "p0", D[1])])]
+    grow(spark, base, batches, lambda d: [product("p0")])
+    products, path = spark.read.parquet(f"{base}/models/dim_products"), f"{base}/models/fct_reviews"
+    staged = spark.read.parquet(f"{base}/models/stg_reviews")
+    changed = staged.where("author_id in ('a1', 'c')").withColumns({"rating": F.lit(1), "load_date": F.lit(D[1])})
+    changed.write.parquet(f"{base}/changed")
+    assert models.reload_fact(spark, spark.read.parquet(f"{base}/changed"), products, path) == [str(D[0]), str(D[1])]
+    got = spark.read.parquet(path)
+    assert rows(got.where("rating = 1"), "author_id", "load_date") == [("a1", D[1]), ("c", D[1])] and got.count() == 7
+
+
 def test_staging_a_batch_twice_changes_nothing(spark, base):
     land_reviews(spark, base, D[0], [review("a", "p", D[0])])
     assert models.extend_staged_reviews(spark, f"{base}/raw/reviews", f"{base}/staged") == [str(D[0])]
