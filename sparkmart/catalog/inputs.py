@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.session import configure
-from sparkmart.sources.landed import spread
+from sparkmart.sources.landed import read_in_splits
 
 CATALOGUE = """
   select
@@ -128,13 +128,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_in_splits(configure(spark), f"{sf_dir}/{name}.parquet")
+
+
 def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input as a DataFrame."""
     text = INPUTS[name]
-    used = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text}
-    if name in HEAVY:
-        used = {t: spread(df) for t, df in used.items()}
-    return spark.sql(text, **used)
+    read = heavy_table if name in HEAVY else table
+    return spark.sql(text, **{t: read(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text})
 
 
 def oracle_inputs(*names: str) -> str:
