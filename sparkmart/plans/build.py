@@ -38,7 +38,7 @@ def build_models(
 def update_models(spark: SparkSession, raw: str, base: str) -> dict[str, DataFrame]:
     """Bring stored models up to the landed partitions; only new partitions are read."""
     models.extend_staged_reviews(spark, f"{raw}/reviews", f"{base}/stg_reviews")
-    products = models.stg_products(read_newest(spark, f"{raw}/products"))
+    products = store(models.stg_products(read_newest(spark, f"{raw}/products")), f"{base}/stg_products")
     dim_products = store(models.dim_products(products), f"{base}/dim_products")
     dim_brands = store(models.dim_brands(products), f"{base}/dim_brands")
     models.extend_fact(spark, f"{base}/stg_reviews", dim_products, f"{base}/fct_reviews")

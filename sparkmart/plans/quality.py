@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.casts import try_double
@@ -235,8 +236,8 @@ def _result(check: Check, failures: str) -> Column:
     )
 
 
-def suite_results(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: table, severity, status and number of failures.
+def _result_parts(tables: Tables, checks: Sequence[Check]) -> list[DataFrame]:
+    """The results of a suite in pieces that each need one pass.
 
     All checks on single rows of a table share one scan that reads only the checked
     columns. Each check on keys is one aggregate.
@@ -252,7 +253,21 @@ def suite_results(tables: Tables, checks: Sequence[Check]) -> DataFrame:
         counts = [F.count_if(c.row_rule()).alias(f"c{i}") for i, c in enumerate(group)]
         results = F.array(*[_result(c, f"c{i}") for i, c in enumerate(group)])
         parts.append(tables[table].agg(*counts).select(F.inline(results)))
-    return reduce(DataFrame.unionByName, parts)
+    return parts
+
+
+def suite_results(tables: Tables, checks: Sequence[Check]) -> DataFrame:
+    """One row per check: table, severity, status and number of failures."""
+    return reduce(DataFrame.unionByName, _result_parts(tables, checks))
+
+
+def collect_results(tables: Tables, checks: Sequence[Check], jobs: int = 8) -> list[Row]:
+    """The same rows on the driver, with up to ``jobs`` passes running side by side.
+
+    As separate jobs, no pass waits for another to be planned again.
+    """
+    with ThreadPoolExecutor(jobs) as pool:
+        return [row for rows in pool.map(DataFrame.collect, _result_parts(tables, checks)) for row in rows]
 
 
 def store_failures(
@@ -320,7 +335,7 @@ def run_suite(
     run_at = datetime.now(timezone.utc).replace(microsecond=0)
     run_id = run_id or run_at.strftime("%Y%m%dT%H%M%SZ")
     # One row per declared check comes to the driver, to decide what to write.
-    results = suite_results(tables, checks).collect()
+    results = collect_results(tables, checks)
     flagged = [r["check"] for r in results if r["failures"] > 0]
     store_failures(tables, checks, audit, flagged)
     if export:

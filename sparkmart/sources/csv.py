@@ -129,5 +129,6 @@ def _read_split(spark: SparkSession, paths: list[str], header: Sequence[str]) ->
     )
     records = numbered.where("single").select("file", "text").unionByName(joined)
     records = records.withColumn("text", F.rtrim("text", F.lit("\r"))).where("text != ''")
-    parsed = F.from_csv("text", _schema(header).simpleString()[len("struct<"):-1].replace(":", " "), {"escape": '"'})
+    columns = ", ".join("`{}` string".format(c.replace("`", "``")) for c in header)
+    parsed = F.from_csv("text", columns, {"escape": '"'})
     return records.select(parsed.alias("row"), "file").select("row.*", F.col("file").alias("filename"))

@@ -46,6 +46,13 @@ def test_split_reading_gives_the_same_records(spark, tmp_path, end, split_bytes)
     assert sorted((int(r["i"]), r["text"] or "", r["tail"]) for r in got) == [(int(i), t, tail) for i, t, tail in rows]
 
 
+def test_odd_column_names_survive_both_readers(spark, tmp_path):
+    write(tmp_path / "x.csv", ["a b", "c:d", "e.f"], [["1", "2", "3"]])
+    for split_above in (0, 1 << 30):
+        df = read_csv_snapshot(spark, f"{tmp_path}/x.csv", split_above=split_above)
+        assert df.columns == ["a b", "c:d", "e.f"] and tuple(df.first()) == ("1", "2", "3")
+
+
 def test_split_and_whole_readers_agree_on_several_files(spark, tmp_path):
     for n in range(3):
         write(tmp_path / f"reviews{n}.csv", ["i", "text"], [[f"{n}-{i}", TEXTS[(n + i) % len(TEXTS)]] for i in range(50)])

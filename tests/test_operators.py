@@ -57,6 +57,7 @@ def test_median_is_exact(spark, seed):
             lambda: float(rnd.randrange(-3, 3))][seed]
     rows = [("hot" if i % 3 == 0 else f"g{rnd.randrange(9)}", None if i % 11 == 0 else draw()) for i in range(700)]
     rows += [("one", 7.0), ("empty", None), (None, 1.0), (None, 4.0)]
+    rows += [("inf", v) for v in (float("inf"), float("inf"), 1e300, float("-inf"), -1e300)]
     df = spark.createDataFrame(rows, "g string, v double")
     want = {}
     for g, v in rows:
