@@ -12,7 +12,7 @@ from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import append_partitions, apply_delete_insert, replace_partitions
 from sparkmart.sources.landed import read_partitions
-from sparkmart.sources.paths import partition_values
+from sparkmart.sources.paths import exists, partition_values
 
 # The price bands.
 PRICE_CUTS = [(25, "1. <$25"), (50, "2. $25-50"), (100, "3. $50-100")]
@@ -200,17 +200,29 @@ def extend_fact(
     stays out, unless ``reprocess_orphans`` reads the older partitions again for
     reviews the fact lacks.
     """
-    held = partition_values(spark, path, "load_date")
+    # A first build that did not finish left no marker and is done again in full.
+    held = partition_values(spark, path, "load_date") if exists(spark, f"{path}/_SUCCESS") else []
     staged_dates = partition_values(spark, staged_path, "load_date")
     if held and not reprocess_orphans:
         staged_dates = [d for d in staged_dates if d > held[-1]]
     if not staged_dates:
         return []
     batch = fct_reviews(read_partitions(spark, staged_path, staged_dates), products)
-    if reprocess_orphans and held:
+    if not held:
+        (
+            batch.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("compression", "zstd")
+            .partitionBy("load_date")
+            .parquet(path)
+        )
+        return staged_dates
+    if reprocess_orphans:
         batch = batch.join(spark.read.parquet(path).select("review_id"), "review_id", "left_anti")
         return append_partitions(batch, path)
-    replace_partitions(batch, path)
+    # Oldest first and one at a time, so that a failed run leaves no gap below the newest.
+    for day in staged_dates:
+        replace_partitions(fct_reviews(read_partitions(spark, staged_path, [day]), products), path)
     return staged_dates
 
 

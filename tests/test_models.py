@@ -134,6 +134,17 @@ def test_orphans_stay_out_unless_asked_for(spark, base):
     assert models.extend_fact(spark, f"{base}/models/stg_reviews", products, path, True) == []
 
 
+def test_a_first_build_that_died_is_done_again(spark, base):
+    batches = [(d, [review(f"a{d}", "p0", d)]) for d in D[:3]]
+    grow(spark, base, batches, lambda d: [product("p0")])
+    products, staged = spark.read.parquet(f"{base}/models/dim_products"), f"{base}/models/stg_reviews"
+    path = f"{base}/half"
+    newest = spark.read.parquet(f"{base}/models/fct_reviews").where(F.col("load_date") == F.lit(D[2]))
+    newest.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("load_date").parquet(path)
+    models.extend_fact(spark, staged, products, path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_reloaded_reviews_replace_their_rows(spark, base):
     batches = [(D[0], [review(f"a{i}", "p0", D[0]) for i in range(6)]), (D[1], [review("c", "p0", D[1])])]
     grow(spark, base, batches, lambda d: [product("p0")])
