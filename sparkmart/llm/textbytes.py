@@ -21,6 +21,11 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE = _BYTE[_LOWER]
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes between the parts of a text that hold ASCII letters, digits or any other character.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[128:] = False
+for _a, _b in ("09", "AZ", "az"):
+    NO_LETTER[ord(_a) : ord(_b) + 1] = False
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -74,11 +79,11 @@ def chunks(bounds: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         row = min(end, rows)
 
 
-def word_spans(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of one piece of text."""
+def word_spans(body: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of one piece of text: its runs without bytes of ``gap``."""
     inside = np.empty(len(body) + 2, dtype=bool)
     inside[0] = inside[-1] = False
-    np.logical_not(SPACE[body], out=inside[1:-1])
+    np.logical_not(gap[body], out=inside[1:-1])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
@@ -90,11 +95,11 @@ def _hash_piece(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
-def doc_words(body: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def doc_words(body: np.ndarray, bounds: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, index of the first word of each row plus the total) of consecutive texts.
 
     Texts are separated first, so words never join across rows. Long texts are hashed
-    in pieces that end at a space.
+    in pieces that end at a byte of ``gap``.
     """
     rows = len(bounds) - 1
     lo, hi = int(bounds[0]), int(bounds[-1])
@@ -103,21 +108,21 @@ def doc_words(body: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
         while at < hi:
             end = min(at + CHUNK_BYTES, hi)
             if end < hi:
-                gaps = np.flatnonzero(SPACE[body[at:end]])
+                gaps = np.flatnonzero(gap[body[at:end]])
                 if len(gaps):
                     end = at + int(gaps[-1]) + 1
                 else:  # a single word longer than a piece: go on to its end
-                    more = np.flatnonzero(SPACE[body[end:hi]])
+                    more = np.flatnonzero(gap[body[end:hi]])
                     end = end + int(more[0]) + 1 if len(more) else hi
             piece = body[at:end]
-            s, e = word_spans(piece)
+            s, e = word_spans(piece, gap)
             parts.append(_hash_piece(piece, s, e))
             at = end
         words = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         return words, np.array([0, len(words)])
     piece = body[lo:hi]
     local = bounds - lo
-    starts, ends = word_spans(piece)
+    starts, ends = word_spans(piece, gap)
     cuts = local[1:-1]
     # A word that runs over a row border is two words: add the borders that lie inside words.
     if len(cuts) and len(starts):
@@ -144,3 +149,39 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     for k in range(size):
         total += words[k : n - size + 1 + k] * _STEP[k % 8]
     return np.unique(mix(total))
+
+
+def byte_grams(piece: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, index of each word's first code) of the letters and digits of one text.
+
+    The code of a byte holds it in its low 8 bits and the up to ``order`` - 1 bytes before it
+    in the same word above; bytes before the word are 0. At most 7 bytes fit.
+    """
+    gap = NO_LETTER[piece]
+    text = _LOWER[piece].astype(np.uint64)
+    text[gap] = 0
+    codes = text.copy()
+    inside = ~gap
+    for back in range(1, order):
+        inside[back:] &= ~gap[:-back]
+        inside[:back] = False
+        earlier = np.zeros_like(text)
+        earlier[back:] = text[:-back]
+        earlier[~inside] = 0
+        codes |= earlier << np.uint64(8 * back)
+    kept = np.flatnonzero(~gap)
+    first = np.ones(len(kept), dtype=bool)
+    first[1:] = kept[1:] != kept[:-1] + 1
+    return codes[kept], np.flatnonzero(first)
+
+
+def text_pieces(body: np.ndarray, start: int, end: int) -> Iterator[np.ndarray]:
+    """One text in pieces of bounded size that end between words where there is a gap."""
+    while start < end:
+        stop = min(start + CHUNK_BYTES, end)
+        if stop < end:
+            gaps = np.flatnonzero(NO_LETTER[body[start:stop]])
+            if len(gaps):
+                stop = start + int(gaps[-1]) + 1
+        yield body[start:stop]
+        start = stop
