@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkmart.llm import exact_dedup, near_dedup, toxicity
+from sparkmart.llm import exact_dedup, language, near_dedup, packing, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +26,41 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify_languages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.concat_ws(" ", "languages").alias("languages"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_toxicity": op4_toxicity,
+    "op6_url_filter": op6_url_filter,
+    "op8_language_id": op8_language_id,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {
@@ -37,4 +69,21 @@ ORACLES: dict[str, str] = {
                coalesce(doc_id = max(doc_id) over g, max(doc_id) over g is null) as kept,
                sha256(coalesce(text, '')) as text_sha256
         from documents window g as (partition by coalesce(text, ''))""",
+    "op6_url_filter": r"""
+        with parts as (
+            select page_id,
+                   case when contains(url, '://')
+                        then translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                        else '' end as host,
+                   case when contains(url, '://') then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) else '' end as path
+            from pages),
+        rules(verdict, rule_host, rule_path) as (
+            values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                   ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        fits as (
+            select p.*, r.rule_host || r.rule_path as rule, r.verdict,
+                   row_number() over (partition by p.page_id order by r.rule_host is null, length(r.rule_host) desc, length(r.rule_path) desc) as place
+            from parts p left join rules r
+              on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path))
+        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fits where place = 1""",
 }

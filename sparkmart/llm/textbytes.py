@@ -18,7 +18,7 @@ _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_BYTE = _BYTE[_LOWER]
+_EXACT, _BYTE = _BYTE, _BYTE[_LOWER]
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Bytes between the parts of a text that hold ASCII letters, digits or any other character.
@@ -95,6 +95,63 @@ def _hash_piece(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
+_CLASS = np.full(256, 4, dtype=np.uint8)
+_CLASS[SPACE] = 0
+_CLASS[33:128] = 3
+_CLASS[[ord("'"), ord("<")]] = 4
+for _a, _b, _c in ("AZ1", "az1", "092"):
+    _CLASS[ord(_a) : ord(_b) + 1] = int(_c)
+
+
+def token_units(piece: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, ends, simple) of parts of words that a splitter by letters, digits and others keeps apart.
+
+    A word of ASCII and accented Latin letters, digits and marks falls into runs of letters, single
+    digits and runs of marks; its hashes ignore the case of A-Z. A word with an apostrophe, ``<``
+    or any other character stays whole, case counts, and it is not simple. No unit runs over a cut.
+    """
+    starts, ends = _cut_words(*word_spans(piece), cuts)
+    if not len(starts):
+        return np.empty(0, np.uint64), starts, ends, np.empty(0, bool)
+    kind = _CLASS[piece]
+    lead = np.flatnonzero(piece[:-1] == 0xC3)
+    after = piece[lead + 1]
+    lead = lead[(after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)]
+    kind[lead] = kind[lead + 1] = 1
+    values = _BYTE[piece]
+    odd = np.flatnonzero(kind == 4)
+    if len(odd):
+        whole = np.unique(np.searchsorted(starts, odd, side="right") - 1)
+        inside = np.zeros(len(piece) + 1, np.int8)
+        inside[starts[whole]] += 1
+        inside[ends[whole]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        kind[inside] = 4
+        values[inside] = _EXACT[piece[inside]]
+    begins = (kind != 0) & ((kind == 2) | np.concatenate([[True], kind[1:] != kind[:-1]]))
+    begins[starts] = True
+    first = np.flatnonzero(begins)
+    # A unit ends where the next one begins, or at the end of its word.
+    last = ends[np.searchsorted(starts, first, side="right") - 1]
+    last[:-1] = np.minimum(last[:-1], first[1:])
+    power, inverse = _tables(len(piece) + 1)
+    sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+    np.cumsum(values * power[: len(piece)], out=sums[1:])
+    return mix((sums[last] - sums[first]) * inverse[first]), first, last, kind[first] != 4
+
+
+def _cut_words(starts: np.ndarray, ends: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A word that runs over a row border is two words: add the borders that lie inside words."""
+    if len(cuts) and len(starts):
+        at = np.searchsorted(starts, cuts, side="left") - 1
+        inner = cuts[(at >= 0) & (cuts < ends[np.maximum(at, 0)]) & (cuts > starts[np.maximum(at, 0)])]
+        if len(inner):
+            inner = np.unique(inner)
+            starts = np.sort(np.concatenate([starts, inner]))
+            ends = np.sort(np.concatenate([ends, inner]))
+    return starts, ends
+
+
 def doc_words(body: np.ndarray, bounds: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, index of the first word of each row plus the total) of consecutive texts.
 
@@ -122,16 +179,7 @@ def doc_words(body: np.ndarray, bounds: np.ndarray, gap: np.ndarray = SPACE) ->
         return words, np.array([0, len(words)])
     piece = body[lo:hi]
     local = bounds - lo
-    starts, ends = word_spans(piece, gap)
-    cuts = local[1:-1]
-    # A word that runs over a row border is two words: add the borders that lie inside words.
-    if len(cuts) and len(starts):
-        at = np.searchsorted(starts, cuts, side="left") - 1
-        inner = cuts[(at >= 0) & (cuts < ends[np.maximum(at, 0)]) & (cuts > starts[np.maximum(at, 0)])]
-        if len(inner):
-            inner = np.unique(inner)
-            starts = np.sort(np.concatenate([starts, inner]))
-            ends = np.sort(np.concatenate([ends, inner]))
+    starts, ends = _cut_words(*word_spans(piece, gap), local[1:-1])
     words = _hash_piece(piece, starts, ends) if len(starts) else np.empty(0, np.uint64)
     return words, np.searchsorted(starts, local, side="left")
 
@@ -175,12 +223,12 @@ def byte_grams(piece: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     return codes[kept], np.flatnonzero(first)
 
 
-def text_pieces(body: np.ndarray, start: int, end: int) -> Iterator[np.ndarray]:
-    """One text in pieces of bounded size that end between words where there is a gap."""
+def text_pieces(body: np.ndarray, start: int, end: int, limit: int = CHUNK_BYTES, gap: np.ndarray = NO_LETTER) -> Iterator[np.ndarray]:
+    """One text in pieces of bounded size that end between words; a longer word is cut."""
     while start < end:
-        stop = min(start + CHUNK_BYTES, end)
+        stop = min(start + limit, end)
         if stop < end:
-            gaps = np.flatnonzero(NO_LETTER[body[start:stop]])
+            gaps = np.flatnonzero(gap[body[start:stop]])
             if len(gaps):
                 stop = start + int(gaps[-1]) + 1
         yield body[start:stop]
