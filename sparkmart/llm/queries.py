@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import exact_dedup, language, near_dedup, packing, toxicity, url_filter
+from sparkmart.llm import exact_dedup, hash_forest, html_text, language, near_dedup, packing, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -54,13 +58,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return hash_forest.nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_html_text": op5_html_text,
     "op6_url_filter": op6_url_filter,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLES: dict[str, str] = {
