@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import exact_dedup, hash_forest, html_text, language, near_dedup, packing, toxicity, url_filter
+from sparkmart.llm import exact_dedup, hash_forest, html_text, language, mixing, near_dedup, packing, quality, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.quality_scores(docs, _table(spark, sf_dir, "labels"), host=F.col("source"), path=F.col("lang"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -30,6 +35,19 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
 
+MIXTURE = mixing.Mixture(
+    {
+        "source": {"src0": 0.25, "src1": 0.06, mixing.OTHER: 0.69},
+        "lang": {"en": 0.55, "de": 0.17, "fr": 0.16, "es": 0.12, mixing.OTHER: 0.01},
+        "topic": {"prose": 0.9, "license": 0.04, "table": 0.03, mixing.OTHER: 0.03},
+    }
+)
+
+
+def mixture_columns() -> dict:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
+
+
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -43,6 +61,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(_table(spark, sf_dir, "documents"), mixture_columns(), MIXTURE)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify_languages(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", F.concat_ws(" ", "languages").alias("languages"))
@@ -66,9 +88,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_html_text": op5_html_text,
     "op6_url_filter": op6_url_filter,
+    "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_neighbours": op10_neighbours,

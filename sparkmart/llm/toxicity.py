@@ -202,6 +202,65 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return mean, scale, beta
 
 
+@dataclass(frozen=True)
+class Model:
+    """What scoring needs; picklable. ``tables`` is a broadcast of the ratios, or None for a constant score."""
+
+    tables: object
+    curve: tuple | None
+    base: float
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        if self.tables is None:
+            return np.full(len(column), self.base)
+        mean, scale, beta = self.curve
+        seen, unseen = self.tables.value
+        body, bounds = text_buffers(column)
+        x = [features(body, bounds[r], bounds[r + 1], seen, unseen) for r in range(len(column))]
+        z = beta[0] + (np.array(x).reshape(-1, 3) - mean) / scale @ beta[1:]
+        return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+
+
+def learn(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
+    """The model from all rows that may be learned from; see ``toxicity_scores``."""
+    spark = prepare(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(learned(F.col("doc_id"), 3, 1))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    taught = docs.where(learned(F.col("doc_id"), 3, 1)).join(known, "doc_id")
+    half = F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string")).cast("binary")) % 2
+    group = ((1 - F.col("toxic")) * 2 + half).cast("int").alias("group")
+    taught = stored(taught.select("doc_id", "text", group), "taught")
+    groups = {r["group"]: r["count"] for r in taught.groupBy("group").count().collect()}
+    total, toxic = sum(groups.values()), groups.get(0, 0) + groups.get(1, 0)
+    if not toxic or toxic == total:
+        return Model(None, None, toxic / total if total else 0.0)
+
+    grams = stored(count_grams(taught), "grams")
+    seen, unseen = (t.toArrow() for t in ratios(grams, p.discount, p.slots))
+    seen, unseen = _tables(seen, p.slots, np.nan), _tables(unseen, p.slots, 0.0)
+    halves = spark.sparkContext.broadcast((seen[1:], unseen[1:]))
+    tables = spark.sparkContext.broadcast((seen[0], unseen[0]))
+    share = min(1.0, p.calibration_rows / total)
+    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+    ddl = "a double, b double, c double, y double"
+    schema = arrow_schema(ddl)
+
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, unseen = halves.value
+        for batch in batches:
+            body, bounds = text_buffers(batch.column(0))
+            out = []
+            for r, group in enumerate(batch.column(1).to_pylist()):
+                other = 1 - group % 2
+                out.append((*features(body, bounds[r], bounds[r + 1], seen[other], unseen[other]), float(group < 2)))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.float64()) for i in range(4)], schema=schema)
+
+    sample = taught.where(picked).select("text", "group").mapInArrow(crossed, ddl).toPandas()
+    sample = sample.sort_values(["a", "b", "c", "y"]).to_numpy()
+    return Model(tables, _fit(sample[:, :3], sample[:, 3]), toxic / total)
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
 
@@ -213,60 +272,33 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()
     - Without labels of both classes every score is the share of toxic labels (0 without labels).
     - Repeated rows are scored alike; other columns are ignored; an empty table gives no rows.
     """
-    spark = prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    known = labels.where("toxic in (0, 1) and doc_id is not null").where(learned(F.col("doc_id"), 3, 1))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    taught = docs.where(learned(F.col("doc_id"), 3, 1)).join(known, "doc_id")
-    half = F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string")).cast("binary")) % 2
-    taught = stored(taught.select("doc_id", "text", "toxic", ((1 - F.col("toxic")) * 2 + half).cast("int").alias("group")), "taught")
-    groups = {r["group"]: r["count"] for r in taught.groupBy("group").count().collect()}
-    total = sum(groups.values())
-    toxic = groups.get(0, 0) + groups.get(1, 0)
-
-    if toxic and toxic < total:
-        grams = stored(count_grams(taught), "grams")
-        seen, unseen = (t.toArrow() for t in ratios(grams, p.discount, p.slots))
-        seen, unseen = _tables(seen, p.slots, np.nan), _tables(unseen, p.slots, 0.0)
-        halves = spark.sparkContext.broadcast((seen[1:], unseen[1:]))
-        model = spark.sparkContext.broadcast((seen[0], unseen[0]))
-        share = min(1.0, p.calibration_rows / total)
-        picked = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-
-        def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen, unseen = halves.value
-            for batch in batches:
-                body, bounds = text_buffers(batch.column(0))
-                out = []
-                for r, group in enumerate(batch.column(1).to_pylist()):
-                    other = 1 - group % 2
-                    out.append((*features(body, bounds[r], bounds[r + 1], seen[other], unseen[other]), float(group < 2)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in zip(*out)] if out else [pa.array([], pa.float64())] * 4, names=["a", "b", "c", "y"])
-
-        sample = taught.where(picked).select("text", "group").mapInArrow(crossed, "a double, b double, c double, y double").toPandas()
-        sample = sample.sort_values(["a", "b", "c", "y"]).to_numpy()
-        mean, scale, beta = _fit(sample[:, :3], sample[:, 3])
-    else:
-        model = None
-        base = toxic / total if total else 0.0
-
-    schema = arrow_schema("doc_id long, score double")
+    model = learn(docs, labels, p)
+    ddl = "doc_id long, score double"
+    schema = arrow_schema(ddl)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if model is None:
-                scores = np.full(batch.num_rows, base)
-            else:
-                body, bounds = text_buffers(batch.column(1))
-                x = np.array([features(body, bounds[r], bounds[r + 1], *model.value) for r in range(batch.num_rows)]).reshape(-1, 3)
-                z = beta[0] + (x - mean) / scale @ beta[1:]
-                scores = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], schema=schema)
-
-    out = docs.mapInArrow(score, "doc_id long, score double")
-    return out.select(
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(batch.column(1)))], schema=schema)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
+    return rows.mapInArrow(score, ddl).select(
         "doc_id",
         held_out(F.col("doc_id"), 3, 1).alias("held_out"),
         "score",
         (F.col("score") >= p.threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_ordinary(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> DataFrame:
+    """The rows of ``docs`` whose score is below the threshold, with all their columns.
+
+    Rows are judged where they are, so neither a join on ids nor a shuffle of texts is needed.
+    """
+    model = learn(docs, labels, p)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(at)) < p.threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
