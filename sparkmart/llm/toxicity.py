@@ -227,7 +227,8 @@ def learn(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(learned(F.col("doc_id"), 3, 1))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    taught = docs.where(learned(F.col("doc_id"), 3, 1)).join(known, "doc_id")
+    # Labels grow with the corpus: no broadcast, at any size.
+    taught = docs.where(learned(F.col("doc_id"), 3, 1)).join(known.hint("merge"), "doc_id")
     half = F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string")).cast("binary")) % 2
     group = ((1 - F.col("toxic")) * 2 + half).cast("int").alias("group")
     taught = stored(taught.select("doc_id", "text", group), "taught")
