@@ -9,7 +9,8 @@ Steps, each over all documents:
 3. Where a bucket still holds several components, its members are compared block against
    block inside tasks, signature batch by signature batch: a pair is dropped once the
    posterior probability that its similarity reaches the threshold falls below
-   ``miss_probability``. Only pairs of different components with compatible sizes are
+   ``miss_probability``. Documents that share a bucket get ``wide`` more hashes of one byte
+   for this, so that few pairs below the threshold are left for the texts to decide. Only pairs of different components with compatible sizes are
    looked at, each in its first common band. Blocks bound the memory of a task.
 4. Pairs that survive are verified on their full shingle sets, recomputed from the texts.
 
@@ -47,19 +48,28 @@ class NearDedup:
     bands: int = 24
     rows: int = 6
     batch: int = 16
+    wide: int = 512
+    wide_batch: int = 64
     miss_probability: float = 1e-4
-    block: int = 512
+    block: int = 256
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
+    def tests(self) -> list[tuple[int, int, int]]:
+        """(from, to, fewest equal hashes so far) of each signature batch, over both signatures."""
+        ends = [*range(self.batch, self.hashes, self.batch), self.hashes]
+        ends += [*range(self.hashes + self.wide_batch, self.hashes + self.wide, self.wide_batch), self.hashes + self.wide]
+        least = (fewest_matches(n, self.similarity / 100, self.miss_probability) for n in ends)
+        return list(zip([0, *ends], ends, least))
+
 
 @cache
 def _functions(hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(7)
-    odd = rng.integers(0, 2**31, hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    return odd[:, None], rng.integers(0, 2**32, hashes, dtype=np.uint32)[:, None]
+    """Factors and summands; those of fewer hashes are the first of more."""
+    numbers = np.random.default_rng(7).integers(0, 2**32, (hashes, 2), dtype=np.uint32)
+    return numbers[:, :1] | np.uint32(1), numbers[:, 1:]
 
 
 def signature(items: np.ndarray, hashes: int) -> np.ndarray:
@@ -72,22 +82,19 @@ def signature(items: np.ndarray, hashes: int) -> np.ndarray:
 
 
 @cache
-def fewest_matches(hashes: int, batch: int, threshold: float, miss: float) -> tuple[tuple[int, int], ...]:
-    """(n, m) for each batch end n: with fewer than m equal hashes of n a pair is dropped.
+def fewest_matches(n: int, threshold: float, miss: float) -> int:
+    """With fewer equal hashes of n than this a pair is dropped.
 
     With a uniform prior the posterior of the similarity is Beta(m + 1, n - m + 1), and
-    P(similarity >= t) equals P(Binomial(n + 1, t) <= m).
+    P(similarity >= t) equals P(Binomial(n + 1, t) <= m). One-byte hashes also agree by
+    chance, once in 256, which only makes a drop rarer.
     """
-    out = []
-    for n in [*range(batch, hashes, batch), hashes]:
-        total, m = 0.0, 0
-        while m <= n:
-            total += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
-            if total >= miss:
-                break
-            m += 1
-        out.append((n, m))
-    return tuple(out)
+    total = 0.0
+    for m in range(n + 1):
+        total += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+        if total >= miss:
+            return m
+    return n + 1
 
 
 FINGERPRINT = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
@@ -121,21 +128,57 @@ def fingerprints(docs: DataFrame, p: NearDedup, id_col: str = "doc_id", text_col
     return rows.mapInArrow(work, FINGERPRINT)
 
 
-def _signatures(column: pa.Array | pa.ChunkedArray, hashes: int) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    body, _ = text_buffers(column)
-    _, bounds = body, np.frombuffer(column.cast(pa.large_binary()).buffers()[1], np.int64, len(column) + 1)
-    return body[bounds[0] : bounds[-1]].view(np.uint8).copy().view(np.uint32).reshape(-1, hashes)
+NODE = "doc_id long, n_shingles long, signature binary, wide binary"
+
+
+def wide_signatures(texts: DataFrame, p: NearDedup) -> DataFrame:
+    """Both signatures of (doc_id, text); the wide one has further hashes, of which one byte is kept."""
+    schema = arrow_schema(NODE)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for items in _sets(batch.column(1), p.words):
+                every = signature(items, p.hashes + p.wide)
+                last = (every[p.hashes :] >> np.uint32(8)).astype(np.uint8)
+                rows.append((len(items), every[: p.hashes].tobytes(), last.tobytes()))
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(schema.types[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
+
+    return texts.mapInArrow(work, NODE)
+
 
+def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    body, bounds = text_buffers(column)
+    for lo, hi in chunks(bounds):
+        words, first = doc_words(body, bounds[lo : hi + 1])
+        for r in range(hi - lo):
+            yield shingles(words[first[r] : first[r + 1]], width)
 
-def _plausible(x: np.ndarray, y: np.ndarray, alive: np.ndarray, tests) -> np.ndarray:
+
+def _hashes(column: pa.Array | pa.ChunkedArray, kind: type, n: int) -> np.ndarray:
+    """A column of equally long binaries as rows of n numbers."""
+    body, bounds = text_buffers(column)
+    return body[bounds[0] : bounds[-1]].copy().view(kind).reshape(-1, n)
+
+
+class _Signatures:
+    def __init__(self, signature, wide, p: NearDedup):
+        self.narrow, self.wide = _hashes(signature, np.uint32, p.hashes), _hashes(wide, np.uint8, p.wide)
+
+    def batch(self, rows: np.ndarray, start: int, end: int) -> np.ndarray:
+        n = self.narrow.shape[1]
+        return self.narrow[rows, start:end] if end <= n else self.wide[rows, start - n : end - n]
+
+
+def _plausible(x: _Signatures, y: _Signatures, alive: np.ndarray, tests: list[tuple[int, int, int]]) -> np.ndarray:
     """Of the index pairs in ``alive``, those no batch of hashes rules out."""
-    matches, done = np.zeros(len(alive), np.int32), 0
-    for n, least in tests:
-        matches += (x[alive[:, 0], done:n] == y[alive[:, 1], done:n]).sum(axis=1, dtype=np.int32)
+    matches = np.zeros(len(alive), np.int32)
+    for start, end, least in tests:
+        equal = x.batch(alive[:, 0], start, end) == y.batch(alive[:, 1], start, end)
+        matches += equal.sum(axis=1, dtype=np.int32)
         keep = matches >= least
-        alive, matches, done = alive[keep], matches[keep], n
+        alive, matches = alive[keep], matches[keep]
         if not len(alive):
             break
     return alive
@@ -147,18 +190,19 @@ def _sizes_fit(a: np.ndarray, b: np.ndarray, similarity: int) -> np.ndarray:
 
 def prune_pairs(pairs: DataFrame, nodes: DataFrame, p: NearDedup) -> DataFrame:
     """Of the pairs (x, y), those that the signatures leave plausible."""
-    tests = fewest_matches(p.hashes, p.batch, p.similarity / 100, p.miss_probability)
-    left = nodes.select(F.col("doc_id").alias("x"), F.col("n_shingles").alias("nx"), F.col("signature").alias("sx"))
-    right = nodes.select(F.col("doc_id").alias("y"), F.col("n_shingles").alias("ny"), F.col("signature").alias("sy"))
-    both = pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "ny", "sx", "sy")
+    tests = p.tests()
+    left = nodes.select(*(F.col(c).alias(f"{c}_x") for c in nodes.columns)).withColumnRenamed("doc_id_x", "x")
+    right = nodes.select(*(F.col(c).alias(f"{c}_y") for c in nodes.columns)).withColumnRenamed("doc_id_y", "y")
+    both = pairs.join(left, "x").join(right, "y")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sx, sy = _signatures(batch.column(4), p.hashes), _signatures(batch.column(5), p.hashes)
-            fit = np.flatnonzero(_sizes_fit(batch.column(2).to_numpy(), batch.column(3).to_numpy(), p.similarity))
-            kept = _plausible(sx, sy, np.stack([fit, fit], axis=1), tests)[:, 0]
+            x, y = (_Signatures(batch.column(f"signature_{s}"), batch.column(f"wide_{s}"), p) for s in "xy")
+            sizes = (batch.column(f"n_shingles_{s}").to_numpy() for s in "xy")
+            fit = np.flatnonzero(_sizes_fit(*sizes, p.similarity))
+            kept = _plausible(x, y, np.stack([fit, fit], axis=1), tests)[:, 0]
             yield batch.select(["x", "y"]).take(pa.array(kept))
 
     return both.mapInArrow(work, "x long, y long")
@@ -170,17 +214,10 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, p: NearDedup) -> DataFrame:
     right = texts.select(F.col("doc_id").alias("y"), F.col("text").alias("ty"))
     both = pairs.join(left, "x").join(right, "y").select("x", "y", "tx", "ty")
 
-    def sets(column: pa.Array) -> Iterator[np.ndarray]:
-        body, bounds = text_buffers(column)
-        for lo, hi in chunks(bounds):
-            words, first = doc_words(body, bounds[lo : hi + 1])
-            for r in range(hi - lo):
-                yield shingles(words[first[r] : first[r + 1]], p.words)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for r, (a, b) in enumerate(zip(sets(batch.column(2)), sets(batch.column(3)))):
+            for r, (a, b) in enumerate(zip(_sets(batch.column(2), p.words), _sets(batch.column(3), p.words))):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 if both and 100 * both >= p.similarity * (len(a) + len(b) - both):
                     linked.append(r)
@@ -192,17 +229,17 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, p: NearDedup) -> DataFrame:
 def compare_blocks(rows: DataFrame, p: NearDedup) -> DataFrame:
     """Plausible pairs (x, y) of different components within the buckets of ``rows``.
 
-    ``rows``: bucket, band, doc_id, center, component, members, n_shingles, signature. A bucket
+    ``rows``: bucket, band, doc_id, center, component, members, n_shingles, signature, wide. A bucket
     of n members is cut into n / block blocks, and each pair of blocks is one group, so no
     task holds more than two blocks however large a bucket is.
     """
-    tests = fewest_matches(p.hashes, p.batch, p.similarity / 100, p.miss_probability)
+    tests = p.tests()
     blocks = F.ceil(F.col("members") / F.lit(p.block)).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
     keys = ["bucket", "low", "high"]
-    rows = rows.select(*keys, "own", "band", "doc_id", "center", "component", "n_shingles", "signature")
+    rows = rows.select(*keys, "own", "band", "doc_id", "center", "component", "n_shingles", "signature", "wide")
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "doc_id")
     schema = arrow_schema("x long, y long")
 
@@ -213,7 +250,7 @@ def compare_blocks(rows: DataFrame, p: NearDedup) -> DataFrame:
             col = {c: group.column(c).to_numpy() for c in ("own", "doc_id", "component", "n_shingles")}
             low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
             band, center = group.column("band")[0].as_py(), group.column("center")[0].as_py()
-            signs = _signatures(group.column("signature"), p.hashes)
+            signs = _Signatures(group.column("signature"), group.column("wide"), p)
             ids = col["doc_id"]
             for i in range(len(ids)):
                 if ids[i] == center:
@@ -227,7 +264,7 @@ def compare_blocks(rows: DataFrame, p: NearDedup) -> DataFrame:
                     continue
                 pair = _plausible(signs, signs, np.stack([np.full(len(j), i), j], axis=1), tests)
                 if len(pair) and band:
-                    same = signs[pair[:, 0], : band * p.rows] == signs[pair[:, 1], : band * p.rows]
+                    same = signs.batch(pair[:, 0], 0, band * p.rows) == signs.batch(pair[:, 1], 0, band * p.rows)
                     earlier = same.reshape(len(pair), band, p.rows).all(axis=2).any(axis=1)
                     pair = pair[~earlier]
                 if len(pair):
@@ -260,9 +297,9 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     buckets = stored(banded.join(heads, ["bucket", "band"]), "buckets")
 
     near = buckets.select("doc_id").distinct()
-    near_nodes = stored(nodes.join(near, "doc_id", "left_semi"), "near-nodes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(F.col(text_col)).alias("text"))
-    texts = stored(texts.join(near, "doc_id", "left_semi"), "near-texts")
+    texts = stored(texts.join(near.hint("merge"), "doc_id", "left_semi"), "near-texts")
+    near_nodes = stored(wide_signatures(texts, p), "near-nodes")
 
     first = buckets.where("doc_id <> center").select(F.col("center").alias("x"), F.col("doc_id").alias("y")).distinct()
     links = verify_pairs(prune_pairs(first, near_nodes, p), texts, p)
