@@ -121,5 +121,6 @@ ORACLES = {
       priced as (select trim(product_id) as product_id, try_cast(price_usd as double) as price_usd from catalogue)
       select *, {BAND_SQL} as price_band from priced""",
     "review_text_assembly": f"""{oracle_inputs('text_reviews')}
-      select review_id, left(coalesce(review_title || '. ', '') || review_text, 1500) as text from text_reviews""",
+      select review_id, case when review_title is null then review_text else review_title || '. ' || review_text end as text
+      from text_reviews""",
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.catalog.casts import PRICE_CUTS, TOP_PRICE
@@ -12,6 +15,8 @@ from sparkmart.functions.text import COMPLAINT_TYPES
 from sparkmart.plans import models, quality, tagging
 from sparkmart.plans.build import build_models, store
 from sparkmart.session import work_dir
+from sparkmart.sources.csv import read_csv_snapshot
+from sparkmart.sources.paths import exists
 
 BANDS = [*[label for _, label in PRICE_CUTS], TOP_PRICE]
 RAW_KEY = ["author_id", "product_id", "submission_time", "review_text"]
@@ -95,23 +100,37 @@ def _raw_checks():
 
 
 def dq_store_failures(spark, sf_dir):
-    """Every stored failing row of the single-row checks on raw reviews."""
+    """Stored failing rows per check, counted from the audit tables of the whole suite."""
     base = work_dir(spark, "audit")
-    quality.store_failures({"raw_reviews": _raw_reviews(spark, sf_dir)}, _raw_checks(), base)
-    return spark.read.parquet(f"{base}/raw_reviews").select(
-        "check", *RAW_KEY, "rating", "load_date"
-    )
+    tables, suite = suite_tables(spark, sf_dir, base), _suite()
+    quality.store_failures(tables, suite, f"{base}/audit")
+    # A check that finds nothing may leave no file.
+    held = [c for c in suite if exists(spark, quality.audit_path(c, f"{base}/audit"))]
+    names = spark.createDataFrame([(c.name,) for c in suite], "check string")
+    rows = [quality.read_failures(spark, c, f"{base}/audit").select(F.lit(c.name).alias("check"), F.lit(1).alias("n")) for c in held]
+    counts = reduce(DataFrame.unionByName, rows).groupBy("check").agg(F.count("*").alias("n"))
+    return names.join(counts, "check", "left").select("check", F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"))
+
+
+def dq_export(spark, sf_dir):
+    """Failing rows of a check, exported to CSV in full and read back."""
+    base = work_dir(spark, "audit")
+    check = quality.Check("lineitem", ("l_partkey",), "unique")
+    quality.store_failures({"lineitem": table(spark, sf_dir, "lineitem")}, [check], f"{base}/audit")
+    path = quality.export_failures(spark, check, f"{base}/audit", f"{base}/export")
+    return read_csv_snapshot(spark, f"{path}/*.csv", line_breaks=False).select("l_partkey", "n_rows")
 
 
 def dq_export_sample(spark, sf_dir):
     failing = quality.unique(table(spark, sf_dir, "lineitem"), "l_partkey")
-    return quality.export_sample(failing)
+    return quality.export_sample(failing, 100)
 
 
 def dq_log(spark, sf_dir):
     base = _run(spark, sf_dir)
     log = quality.flagged_results(quality.read_log(spark, f"{base}/log"))
-    return log.select("run_id", "check", "status", "failures")
+    audit = F.regexp_extract("audit_table", "/audit/(.*)$", 1)
+    return log.select("run_id", "check", "status", "failures", audit.alias("audit_table"))
 
 
 def dq_latest_run(spark, sf_dir):
@@ -124,7 +143,7 @@ def dq_latest_run(spark, sf_dir):
         (first.agg(F.max("run_at")).scalar() + F.expr("interval 1 day")).alias("run_at"),
         "check", "table", "severity", "status", "failures",
     )
-    return quality.latest_run(first.unionByName(second))
+    return quality.latest_run(first.unionByName(second, allowMissingColumns=True))
 
 
 QUERIES = {
@@ -138,6 +157,7 @@ QUERIES = {
     "dq_batch_overlap": dq_batch_overlap,
     "dq_suite": dq_suite,
     "dq_store_failures": dq_store_failures,
+    "dq_export": dq_export,
     "dq_export_sample": dq_export_sample,
     "dq_log": dq_log,
     "dq_latest_run": dq_latest_run,
@@ -213,15 +233,17 @@ ORACLES = {
     "dq_batch_overlap": f"""{_RAW} select author_id, product_id, submission_time, count(distinct _batch_id) as n_batches
       from raw_reviews group by all having count(distinct _batch_id) > 1""",
     "dq_suite": f"{_RESULTS} select * from results",
-    "dq_store_failures": f"""{_RAW},
-      hits as (
-        select 'not_null_raw_reviews_product_id' as "check", * from raw_reviews where product_id is null
-        union all select 'not_blank_raw_reviews_review_text', * from raw_reviews where {_BLANK}
-        union all select 'accepted_range_raw_reviews_rating', * from raw_reviews where {_RANGE})
-      select "check", author_id, product_id, submission_time, review_text, rating, load_date from hits""",
+    "dq_store_failures": f"""{_SUITE_MODELS},
+  counts as ({_COUNTS})
+  select check_name as "check", cast(failures as bigint) as n_rows from counts""",
+    "dq_export": """select cast(l_partkey as varchar) as l_partkey, cast(count(*) as varchar) as n_rows
+      from lineitem group by 1 having count(*) > 1""",
     "dq_export_sample": """select l_partkey, count(*) as n_rows from lineitem group by l_partkey having count(*) > 1
-      order by l_partkey, n_rows limit 10000""",
-    "dq_log": f"""{_RESULTS} select 'first' as run_id, "check", status, failures from results where failures > 0""",
+      order by l_partkey, n_rows limit 100""",
+    "dq_log": f"""{_RESULTS} select 'first' as run_id, "check", status, failures,
+      case when "check" like 'not\\_%' escape '\\' or "check" like 'accepted\\_range%' escape '\\'
+           then "table" || '/check=' || "check" else "check" end as audit_table
+      from results where failures > 0""",
     "dq_latest_run": f"""{_RAW},
       counts as (
         select 'not_null_raw_reviews_product_id' as "check", count(*) as failures from raw_reviews where product_id is null

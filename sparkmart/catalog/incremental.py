@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from sparkmart.catalog.inputs import oracle_inputs, spark_input, table
 from sparkmart.catalog.models import FACT_SQL
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
-from sparkmart.operators.landing import land_partition
+from sparkmart.functions.casts import leading_date
+from sparkmart.operators.landing import land_partition, land_slices
 from sparkmart.operators.merge import apply_delete_insert, new_partitions
 from sparkmart.plans import models
-from sparkmart.plans.build import store
+from sparkmart.plans.build import store, update_models
 from sparkmart.session import work_dir
 from sparkmart.sources.landed import read_landed
+from sparkmart.streaming.reviews import land_stream
 
 
 def latest(spark, sf_dir):
@@ -53,21 +55,87 @@ def partitions_after(spark, sf_dir):
     return new_partitions(orders, orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")))
 
 
+FIRST, REST = [date(2000, 12, 31)], [date(2001, 6, 30), date(2001, 12, 31), date(2002, 1, 31)]
+STAMPS = ("load_date", "_batch_id", "_loaded_at")
+
+
+class _Lake:
+    """Raw batches, staged reviews and the fact table of one query."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.base = spark, work_dir(spark, "fact")
+        spark_input(spark, sf_dir, "raw_reviews").write.partitionBy("load_date").parquet(f"{self.base}/source")
+        self.raw = read_landed(spark, f"{self.base}/source")
+        self.products = store(models.stg_products(spark_input(spark, sf_dir, "raw_products")), f"{self.base}/products")
+
+    def land(self, dates, change=lambda rows: rows):
+        for d in dates:
+            rows = change(self.raw.where(F.col("load_date") == F.lit(d)).drop(*STAMPS))
+            land_partition(rows, f"{self.base}/raw", d, f"batch_{d}", "2002-02-01T06:00:00+00:00")
+
+    def build(self):
+        models.extend_staged_reviews(self.spark, f"{self.base}/raw", f"{self.base}/staged")
+        models.extend_fact(self.spark, f"{self.base}/staged", self.products, f"{self.base}/fact")
+
+    def fact(self):
+        return self.spark.read.parquet(f"{self.base}/fact").select(*models.FACT_COLUMNS)
+
+
 def fact_incremental(spark, sf_dir):
     """Raw batches landed in two rounds, staged and loaded after each."""
-    base = work_dir(spark, "fact")
-    source = f"{base}/source"
-    spark_input(spark, sf_dir, "raw_reviews").write.partitionBy("load_date").parquet(source)
-    raw = read_landed(spark, source)
-    products = store(models.stg_products(spark_input(spark, sf_dir, "raw_products")), f"{base}/products")
-    rounds = ([date(2000, 12, 31)], [date(2001, 6, 30), date(2001, 12, 31), date(2002, 1, 31)])
-    for dates in rounds:
-        for d in dates:
-            rows = raw.where(F.col("load_date") == F.lit(d)).drop("load_date", "_batch_id", "_loaded_at")
-            land_partition(rows, f"{base}/raw", d, f"batch_{d}", "2002-02-01T06:00:00+00:00")
-        models.extend_staged_reviews(spark, f"{base}/raw", f"{base}/staged")
-        models.extend_fact(spark, f"{base}/staged", products, f"{base}/fact")
-    return spark.read.parquet(f"{base}/fact").select(*models.FACT_COLUMNS)
+    lake = _Lake(spark, sf_dir)
+    for dates in (FIRST, REST):
+        lake.land(dates)
+        lake.build()
+    return lake.fact()
+
+
+def fact_after_reland(spark, sf_dir):
+    """Two batches land with part of their rows and wrong titles, and again in full after a build."""
+    lake = _Lake(spark, sf_dir)
+    wrong = lambda rows: rows.where("eye_color = 'R'").withColumn("review_title", F.lit("wrong"))
+    lake.land(FIRST + REST[:1], wrong)
+    lake.land(REST[1:])
+    lake.build()
+    lake.land(FIRST + REST[:1])
+    lake.build()
+    return lake.fact()
+
+
+def fact_after_late_partition(spark, sf_dir):
+    """The oldest batch lands last, so its copies win over stored ones."""
+    lake = _Lake(spark, sf_dir)
+    for dates in (REST, FIRST):
+        lake.land(dates)
+        lake.build()
+    return lake.fact()
+
+
+def fact_after_stream(spark, sf_dir):
+    """A stream lands in two runs into the same load dates, with a build after each."""
+    lake = _Lake(spark, sf_dir)
+    rows = lake.raw.drop("_batch_id", "_loaded_at").withColumnRenamed("load_date", "due")
+    for part in ("eye_color = 'R'", "eye_color is distinct from 'R'"):
+        rows.where(part).write.mode("append").parquet(f"{lake.base}/feed")
+        feed = spark.readStream.schema(rows.schema).parquet(f"{lake.base}/feed")
+        query = land_stream(feed, f"{lake.base}/raw", f"{lake.base}/checkpoint", F.col("due"))
+        query.awaitTermination()
+        lake.build()
+    return lake.fact().drop("batch_id")
+
+
+def build_any_catalogue(spark, sf_dir):
+    """Land, build, land and build again, with other names for the flag column and the bands."""
+    base = work_dir(spark, "build")
+    reviews = spark_input(spark, sf_dir, "source_reviews")
+    catalogue = spark_input(spark, sf_dir, "catalogue").withColumnRenamed("store_exclusive", "shop_exclusive")
+    names = {"exclusive_flag": "shop_exclusive", "cuts": [(940, "low"), (960, "middle")], "top": "high"}
+    for cutoff in (date(2000, 12, 31), None):
+        land_slices(spark, reviews, catalogue, f"{base}/raw", leading_date("submission_time"), cutoff, days=4000, limit=1)
+        tables = update_models(spark, f"{base}/raw", f"{base}/models", **names)
+    products = tables["dim_products"].select("product_id", "is_shop_exclusive", "price_band")
+    fact = tables["fct_reviews"].select("review_id", "product_id", "rating", "review_date")
+    return fact.join(products, "product_id")
 
 
 QUERIES = {
@@ -77,6 +145,10 @@ QUERIES = {
     "delete_insert": delete_insert,
     "new_partitions": partitions_after,
     "fact_incremental": fact_incremental,
+    "fact_after_reland": fact_after_reland,
+    "fact_after_late_partition": fact_after_late_partition,
+    "fact_after_stream": fact_after_stream,
+    "build_any_catalogue": build_any_catalogue,
 }
 
 _TIES = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -98,4 +170,18 @@ ORACLES = {
       where {_YEAR} > (select coalesce(max({_YEAR}), date '1900-01-01') from orders
                        where o_orderdate < timestamp '1998-01-01 00:00:00')""",
     "fact_incremental": FACT_SQL,
+    "fact_after_reland": FACT_SQL,
+    "fact_after_late_partition": FACT_SQL,
+    "fact_after_stream": FACT_SQL.replace("select * from fct_reviews", "select * exclude (batch_id) from fct_reviews"),
+    "build_any_catalogue": f"""{oracle_inputs('source_reviews', 'catalogue')},
+      keyed as (
+        select md5(concat_ws('|', author_id, product_id, submission_time, ifnull(review_text, ''))) as review_id, *
+        from source_reviews)
+      select distinct k.review_id, trim(c.product_id) as product_id, try_cast(k.rating as integer) as rating,
+        try_cast(left(k.submission_time, 10) as date) as review_date,
+        try_cast(c.store_exclusive as integer) = 1 as is_shop_exclusive,
+        case when try_cast(c.price_usd as double) < 940 then 'low' when try_cast(c.price_usd as double) < 960 then 'middle'
+             when try_cast(c.price_usd as double) >= 960 then 'high' end as price_band
+      from keyed k join catalogue c on trim(c.product_id) = trim(k.product_id)
+      where try_cast(k.rating as integer) between 1 and 5 and try_cast(left(k.submission_time, 10) as date) is not null""",
 }

@@ -12,6 +12,7 @@ from sparkmart.operators.landing import (
     batch_log,
     land_batch,
     land_partition,
+    land_slices,
     late_rows,
     slice_bounds,
     source_date_range,
@@ -37,13 +38,12 @@ def csv_union_by_name(spark, sf_dir):
     """Two sets of review files: other column order, and one column short."""
     base = work_dir(spark, "csv")
     reviews = spark_input(spark, sf_dir, "source_reviews")
-    texts = ["author_id", "product_id", "submission_time", "rating", "review_text"]
     shipped = F.col("skin_type") == "O"
-    _write_csv(reviews.where(shipped).select(*texts), f"{base}/reviews_a")
-    _write_csv(reviews.where(~shipped).select(*reversed(texts), "skin_tone"), f"{base}/reviews_b")
+    _write_csv(reviews.where(shipped).drop("skin_tone"), f"{base}/reviews_a")
+    _write_csv(reviews.where(~shipped).select(*reversed(reviews.columns)), f"{base}/reviews_b")
     landed = read_csv_by_name(spark, f"{base}/reviews*/*.csv")
     origin = F.regexp_extract("filename", r"/(reviews_\w+)/", 1)
-    return landed.select(*texts, "skin_tone", origin.alias("origin"))
+    return landed.select(*reviews.columns, origin.alias("origin"))
 
 
 def csv_snapshot_scan(spark, sf_dir):
@@ -54,12 +54,12 @@ def csv_snapshot_scan(spark, sf_dir):
     return scanned.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("chars"), "lang", "source")
 
 
-def csv_split_scan(spark, sf_dir):
-    """The same scan, with every file read in splits and records put together."""
+def csv_line_scan(spark, sf_dir):
+    """Reviews through CSV in files that are read in splits, as no value holds a line break."""
     base = work_dir(spark, "csv")
-    _write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), f"{base}/documents")
-    scanned = read_csv_snapshot(spark, f"{base}/documents/*.csv", split_above=0)
-    return scanned.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("chars"), "lang", "source")
+    reviews = spark_input(spark, sf_dir, "source_reviews")
+    _write_csv(reviews, f"{base}/reviews")
+    return read_csv_snapshot(spark, f"{base}/reviews/*.csv", line_breaks=False).select(*reviews.columns)
 
 
 def partitioned_scan(spark, sf_dir):
@@ -101,9 +101,7 @@ def land_backfill(spark, sf_dir):
 def _land_three(spark, sf_dir):
     base = work_dir(spark, "raw")
     reviews, products = _sources(spark, sf_dir)
-    land_batch(spark, reviews, products, base, _day(), backfill_until=CUTOFF)
-    land_batch(spark, reviews, products, base, _day(), days=STEP)
-    land_batch(spark, reviews, products, base, _day(), days=STEP)
+    land_slices(spark, reviews, products, base, _day(), backfill_until=CUTOFF, days=STEP, limit=3)
     return base
 
 
@@ -146,7 +144,7 @@ def late(spark, sf_dir):
 QUERIES = {
     "csv_union_by_name": csv_union_by_name,
     "csv_snapshot_scan": csv_snapshot_scan,
-    "csv_split_scan": csv_split_scan,
+    "csv_line_scan": csv_line_scan,
     "partitioned_scan": partitioned_scan,
     "source_date_range": source_range,
     "batch_window": batch_window,
@@ -172,14 +170,16 @@ _BATCH_ID = "case when load_date = date '2000-12-31' then 'backfill_' else 'dail
 _DOCUMENTS = """select cast(doc_id as varchar) as doc_id, md5(text) as text_md5, cast(length(text) as integer) as chars,
   lang, source from documents"""
 
+# An empty value in a file is no value.
+_BLANKS = "nullif(columns(*), '')"
+
 ORACLES = {
     "csv_union_by_name": f"""{_REVIEWS}
-      select author_id, product_id, submission_time, rating, review_text,
-        case when skin_type <> 'O' then nullif(skin_tone, '') end as skin_tone,
+      select * exclude (skin_tone), case when skin_type <> 'O' then skin_tone end as skin_tone,
         case when skin_type = 'O' then 'reviews_a' else 'reviews_b' end as origin
-      from source_reviews""",
+      from (select {_BLANKS} from source_reviews)""",
     "csv_snapshot_scan": _DOCUMENTS,
-    "csv_split_scan": _DOCUMENTS,
+    "csv_line_scan": f"{_REVIEWS} select {_BLANKS} from source_reviews",
     "partitioned_scan": f"""{oracle_inputs('raw_products')}
       select * exclude (_loaded_at, store_exclusive),
         case when load_date = date '2001-02-01' then store_exclusive end as store_exclusive

@@ -49,7 +49,7 @@ QUERIES = {
 ORACLES = {
     "stream_land": """select cast(event_id as varchar) as event_id, cast(ts as varchar) as ts,
         cast(user_id as varchar) as user_id, event_type, cast(value as varchar) as value, props,
-        cast(ts as date) as load_date, 'stream_' || cast(cast(ts as date) as varchar) as _batch_id
+        cast(ts as date) as load_date, 'stream_' || cast(cast(ts as date) as varchar) || '_0' as _batch_id
       from events""",
     "stream_dedup": "select * from events",
     "stream_daily_counts": """select cast(ts as date) as day, count(*) as n from events group by 1

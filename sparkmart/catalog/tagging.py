@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import functions as F
 
 from sparkmart.catalog.inputs import oracle_inputs, spark_input
@@ -60,7 +63,7 @@ def tag_resume(spark, sf_dir):
 
 def _requests(spark, sf_dir):
     reviews = _reviews(spark, sf_dir).withColumnRenamed("review_text", "text")
-    return tagging.request_batches(reviews, order="review_id", shard_digits=2)
+    return tagging.request_batches(reviews, order="review_id")
 
 
 def label_request_batches(spark, sf_dir):
@@ -95,7 +98,36 @@ def label_response_parse(spark, sf_dir):
     return tagging.parse_responses(answered).drop("batch")
 
 
+def _length_labeler(prompt: str) -> str:
+    """Stands in for a model: calls a text a complaint by its length, and quotes the length."""
+    items = re.findall(r"^\[r(\d+)\] (.*?)(?=\n\[r\d+\] |\Z)", prompt.split("Reviews:\n", 1)[1], re.S | re.M)
+    return json.dumps(
+        [
+            {
+                "id": f"r{i}",
+                "sentiment": "neutral",
+                "complaint_type": "texture" if len(text) % 2 else "none",
+                "evidence": str(len(text)),
+            }
+            for i, text in items
+        ]
+    )
+
+
+def label_documents(spark, sf_dir):
+    """Every document labelled through requests, in two rounds of two runs; the second run finds nothing to ask."""
+    base = work_dir(spark, "labels")
+    todo = _reviews(spark, sf_dir).select("review_id", "rating", F.col("review_text").alias("text"))
+    todo = todo.where("text is not null").withColumn("rn", F.col("review_id").cast("long"))
+    for _ in range(2):
+        tagging.label_reviews(
+            spark, todo, f"{base}/tags", f"{base}/outcomes", _length_labeler, "outside", "length", workers=8, per_round=400, pause=0
+        )
+    return tagging.read_tags(spark, f"{base}/tags").drop("tagged_at")
+
+
 QUERIES = {
+    "label_documents": label_documents,
     "stratified_sample": sample,
     "keyword_tag": keyword_tag,
     "tag_rows": tag_rows,
@@ -119,26 +151,33 @@ def keyword_sql(lexicon) -> str:
 
 KEYWORD_TAGS = keyword_sql(LEXICON)
 _REVIEWS = oracle_inputs("text_reviews")
+# The sample by its rule: a review is in if fewer than the quota of its stars come before it.
 _RANKED = f"""{_REVIEWS},
-  candidates as (
-    select *, row_number() over (partition by rating order by md5(review_id || '42'), review_id) as rn
-    from text_reviews where review_text is not null and length(review_text) >= 20),
-  sampled as (select * from candidates where rn <= {SAMPLE // 5})"""
+  eligible as (
+    select r.*, concat(md5(concat(review_id, '42')), review_id) as draw from text_reviews r where length(review_text) > 19),
+  placed as (select e.*, count(*) over (partition by rating order by draw) as rn from eligible e),
+  sampled as (from placed where rn <= {SAMPLE} / 5)"""
 _SAMPLE_TAGS = f"""{_RANKED},
-  assembled as (select review_id, rating, left(coalesce(review_title || '. ', '') || review_text, 1500) as text from sampled),
-  {KEYWORD_TAGS.format(source='assembled', name='labelled')}
-  select review_id, 'keyword_baseline' as labeler, 'regex-v1' as model, sentiment, complaint_type,
-    complaint_type <> 'none' as is_complaint, left(quote, 200) as evidence
+  whole_texts as (
+    select review_id, rating, concat(case when review_title is not null then review_title || '. ' end, review_text) as text
+    from sampled),
+  {KEYWORD_TAGS.format(source='whole_texts', name='labelled')}
+  select review_id, sentiment, complaint_type, complaint_type != 'none' as is_complaint, quote as evidence,
+    'regex-v1' as model, 'keyword_baseline' as labeler
   from labelled"""
 _TYPES = ", ".join(f"'{t}'" for t in COMPLAINT_TYPES)
 
 ORACLES = {
+    "label_documents": f"""{_REVIEWS}
+      select review_id, 'outside' as labeler, 'length' as model, 'neutral' as sentiment,
+        case length(review_text) % 2 when 1 then 'texture' else 'none' end as complaint_type,
+        length(review_text) % 2 = 1 as is_complaint, cast(length(review_text) as varchar) as evidence
+      from text_reviews where review_text is not null""",
     "stratified_sample": f"{_RANKED} select review_id, rating, cast(rn as integer) as rn, brand_id from sampled",
     "keyword_tag": f"""{_REVIEWS},
       texts as (select review_id, rating, review_text as text from text_reviews),
       {KEYWORD_TAGS.format(source='texts', name='labelled')}
-      select review_id, rating, sentiment, complaint_type, complaint_type <> 'none' as is_complaint,
-        left(quote, 200) as evidence
+      select review_id, rating, sentiment, complaint_type, complaint_type <> 'none' as is_complaint, quote as evidence
       from labelled""",
     "tag_rows": _SAMPLE_TAGS,
     "tag_resume": _SAMPLE_TAGS,

@@ -21,14 +21,20 @@ LEXICON = [
     ("ineffective", r"did nothing|no difference|didn'?t (work|do)|no results|waste"),
 ]
 
+# What an outside labeler takes per request item, and what its tag table used to hold.
 REQUEST_CHARS = 1500
 EVIDENCE_CHARS = 200
 
 
-def assemble_text(title: str, text: str, max_chars: int = REQUEST_CHARS) -> Column:
-    """``title. text`` as sent to a labeler, which takes ``max_chars`` characters."""
+def shortened(text: Column, max_chars: int | None) -> Column:
+    """The first ``max_chars`` characters, or all without a limit."""
+    return text if max_chars is None else F.left(text, F.lit(max_chars))
+
+
+def assemble_text(title: str, text: str, max_chars: int | None = None) -> Column:
+    """``title. text``, whole unless a limit is asked for."""
     lead = F.coalesce(F.concat(F.col(title), F.lit(". ")), F.lit(""))
-    return F.left(F.concat(lead, F.col(text)), F.lit(max_chars))
+    return shortened(F.concat(lead, F.col(text)), max_chars)
 
 
 def sentiment(rating: Column) -> Column:

@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart.operators.merge import replace_partitions
 from sparkmart.sources.landed import read_or_empty
 
 BACKFILL_GAP_DAYS = 30
@@ -123,6 +124,71 @@ def land_batch(
     return part
 
 
+def due_slices(
+    watermark: date | None, max_date: date, backfill_until: date | None, days: int, limit: int
+) -> list[Slice]:
+    """The next slices, each as ``plan_slice`` gives it after the one before."""
+    parts: list[Slice] = []
+    while len(parts) < limit and (part := plan_slice(watermark, max_date, backfill_until, days)):
+        parts.append(part)
+        watermark = part.high
+    return parts
+
+
+def land_slices(
+    spark: SparkSession,
+    reviews: DataFrame,
+    products: DataFrame,
+    base: str,
+    day: Column,
+    backfill_until: date | None = None,
+    days: int = 1,
+    source: str = "dir",
+    limit: int = 1000,
+) -> list[Slice]:
+    """Land up to ``limit`` due slices with one pass over the source, besides that for its range.
+
+    The table is the one that as many calls of ``land_batch`` give, except that a slice
+    without reviews leaves no folder of them. All slices are logged together, last.
+    """
+    span = source_date_range(reviews, day).first()
+    if span["max_date"] is None:
+        raise ValueError("the source has no row with a parseable date")
+    parts = due_slices(load_watermark(spark, base), span["max_date"], backfill_until, days, limit)
+    if not parts:
+        return []
+    loaded_at = utc_now()
+    known = F.col("_day")
+    low = F.lit(parts[0].low) if parts[0].low else None
+    due = known <= F.lit(parts[-1].high)
+    due = F.coalesce(due, F.lit(True)) if low is None else due & (known > low)
+    # Undated rows go with the backfill; a later slice ends at its step or at the newest day.
+    high = F.lit(parts[0].high)
+    if len(parts) > 1:
+        steps = F.ceil(F.date_diff(known, high) / F.lit(days)).cast("int")
+        later = F.least(F.date_add(high, steps * days), F.lit(parts[-1].high))
+        high = F.when(known > high, later).otherwise(high)
+    rows = reviews.withColumn("_day", day).where(due).withColumn("load_date", high).drop("_day")
+    kind = F.when(F.col("load_date") == F.lit(parts[0].high), F.lit(parts[0].batch_id.split("_")[0])).otherwise("daily")
+    stamps = {"_batch_id": F.concat_ws("_", kind, F.col("load_date").cast("string")), "_loaded_at": F.lit(loaded_at)}
+    seen = Observation()
+    dated = rows.withColumns(stamps).observe(seen, *_per_slice(parts))
+    replace_partitions(dated, f"{base}/reviews")
+    shots = products.withColumn("load_date", F.explode(F.array(*(F.lit(p.high) for p in parts))))
+    counted = Observation()
+    replace_partitions(shots.withColumns(stamps).observe(counted, *_per_slice(parts)), f"{base}/products")
+    entries = [
+        (p.batch_id, p.high, seen.get[f"n{i}"], counted.get[f"n{i}"], utc_now(), source, span["min_date"], span["max_date"])
+        for i, p in enumerate(parts)
+    ]
+    spark.createDataFrame(entries, BATCH_LOG).coalesce(1).write.mode("append").parquet(f"{base}/batch_log")
+    return parts
+
+
+def _per_slice(parts: list[Slice]) -> list[Column]:
+    return [F.count_if(F.col("load_date") == F.lit(p.high)).alias(f"n{i}") for i, p in enumerate(parts)]
+
+
 def slice_bounds(watermark: Column, max_date: Column, days: int = 1) -> Column:
     """The bounds ``plan_slice`` would give, as columns: low, high and default cutoff."""
     return F.struct(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,16 +76,16 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def number_batches(
-    df: DataFrame, key: str, group: str, order: str, size: int, shard_digits: int = 0
+    df: DataFrame, key: str, group: str, order: Sequence[str], size: int, shard_digits: int = 2
 ) -> DataFrame:
     """Add ``batch`` (an id) and ``pos`` (0-based) so that no batch exceeds ``size``.
 
-    A sample is bounded and needs no shards. For a whole table, ``shard_digits``
-    hex digits of the key's md5 split each group, so that no task numbers a hot
-    group alone; each shard may end with one short batch.
+    ``shard_digits`` hex digits of the key's md5 split each group, so that no task
+    numbers a hot group alone; each shard may end with one short batch. A bounded
+    sample may do without (0).
     """
     shard = F.left(F.md5(F.col(key).cast("string")), F.lit(shard_digits))
-    by = Window.partitionBy(group, "_shard").orderBy(order, key)
+    by = Window.partitionBy(group, "_shard").orderBy(*order, key)
     at = F.col("_at")
     return (
         df.withColumn("_shard", shard)

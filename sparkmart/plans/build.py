@@ -5,47 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.plans import models
+from sparkmart.plans.models import store
 from sparkmart.sources.landed import read_newest
 
 
-def store(df: DataFrame, path: str) -> DataFrame:
-    """Write a table, replacing an older one, and read it back."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def build_models(
-    raw_reviews: DataFrame, raw_products: DataFrame, base: str, cuts=tuple(models.PRICE_CUTS), top=models.TOP_PRICE
+    raw_reviews: DataFrame,
+    raw_products: DataFrame,
+    base: str,
+    cuts=tuple(models.PRICE_CUTS),
+    top=models.TOP_PRICE,
+    exclusive_flag: str = models.EXCLUSIVE_FLAG,
 ) -> dict[str, DataFrame]:
     """Staging and star schema from raw tables, stored under ``base``.
 
-    Every model is stored because several later plans read it.
+    Every model is stored because several later plans read it. ``exclusive_flag`` names
+    the catalogue column that marks retailer exclusives, ``cuts`` and ``top`` the price bands.
     """
-    products = store(models.stg_products(raw_products), f"{base}/stg_products")
     reviews = store(models.stg_reviews(raw_reviews), f"{base}/stg_reviews")
-    dim_products = store(models.dim_products(products, cuts, top), f"{base}/dim_products")
+    tables = _products(raw_products, base, cuts, top, exclusive_flag)
+    fact = store(models.fct_reviews(reviews, tables["dim_products"]), f"{base}/fct_reviews")
+    raw = {"raw_reviews": raw_reviews, "raw_products": raw_products}
+    return raw | tables | {"stg_reviews": reviews, "fct_reviews": fact}
+
+
+def _products(raw_products: DataFrame, base: str, cuts, top, exclusive_flag: str) -> dict[str, DataFrame]:
+    products = store(models.stg_products(raw_products, exclusive_flag), f"{base}/stg_products")
     return {
-        "raw_reviews": raw_reviews,
-        "raw_products": raw_products,
         "stg_products": products,
-        "stg_reviews": reviews,
+        "dim_products": store(models.dim_products(products, cuts, top, exclusive_flag), f"{base}/dim_products"),
         "dim_brands": store(models.dim_brands(products), f"{base}/dim_brands"),
-        "dim_products": dim_products,
-        "fct_reviews": store(models.fct_reviews(reviews, dim_products), f"{base}/fct_reviews"),
     }
 
 
-def update_models(spark: SparkSession, raw: str, base: str) -> dict[str, DataFrame]:
-    """Bring stored models up to the landed partitions; only new partitions are read."""
+def update_models(
+    spark: SparkSession,
+    raw: str,
+    base: str,
+    cuts=tuple(models.PRICE_CUTS),
+    top=models.TOP_PRICE,
+    exclusive_flag: str = models.EXCLUSIVE_FLAG,
+) -> dict[str, DataFrame]:
+    """Bring stored models up to the landed files; only new and changed files are read."""
     models.extend_staged_reviews(spark, f"{raw}/reviews", f"{base}/stg_reviews")
-    products = store(models.stg_products(read_newest(spark, f"{raw}/products")), f"{base}/stg_products")
-    dim_products = store(models.dim_products(products), f"{base}/dim_products")
-    dim_brands = store(models.dim_brands(products), f"{base}/dim_brands")
-    models.extend_fact(spark, f"{base}/stg_reviews", dim_products, f"{base}/fct_reviews")
-    return {
-        "stg_products": products,
+    tables = _products(read_newest(spark, f"{raw}/products"), base, cuts, top, exclusive_flag)
+    models.extend_fact(spark, f"{base}/stg_reviews", tables["dim_products"], f"{base}/fct_reviews")
+    return tables | {
         "stg_reviews": spark.read.parquet(f"{base}/stg_reviews"),
-        "dim_brands": dim_brands,
-        "dim_products": dim_products,
         "fct_reviews": spark.read.parquet(f"{base}/fct_reviews"),
     }

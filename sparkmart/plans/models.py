@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,18 +12,25 @@ from pyspark.sql import functions as F
 from sparkmart.functions import casts
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.median import exact_median
-from sparkmart.operators.merge import append_partitions, apply_delete_insert, replace_partitions
-from sparkmart.sources.landed import read_partitions
-from sparkmart.sources.paths import exists, partition_values
+from sparkmart.operators.merge import append_partitions, apply_delete_insert
+from sparkmart.sources.landed import read_landed, read_or_empty
+from sparkmart.sources.paths import exists, file_states, partition_values
 
 # The price bands.
 PRICE_CUTS = [(25, "1. <$25"), (50, "2. $25-50"), (100, "3. $50-100")]
 TOP_PRICE = "4. $100+"
+EXCLUSIVE_FLAG = "store_exclusive"
 # What makes a review: the raw values of these.
 REVIEW_KEY = ("author_id", "product_id", "submission_time", "coalesce(review_text, '')")
 
 
-def stg_products(raw: DataFrame, exclusive_flag: str = "store_exclusive") -> DataFrame:
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a table, replacing an older one, and read it back."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stg_products(raw: DataFrame, exclusive_flag: str = EXCLUSIVE_FLAG) -> DataFrame:
     """One typed row per product from the newest snapshot.
 
     ``exclusive_flag`` names the catalogue column that marks retailer exclusives.
@@ -112,7 +121,7 @@ def dim_products(
     products: DataFrame,
     cuts: Sequence[tuple[float, str]] = tuple(PRICE_CUTS),
     top: str = TOP_PRICE,
-    exclusive_flag: str = "store_exclusive",
+    exclusive_flag: str = EXCLUSIVE_FLAG,
 ) -> DataFrame:
     """Products with a price band."""
     return products.select(
@@ -152,40 +161,70 @@ def fct_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     return reviews.join(products.select("product_id", "brand_id"), "product_id").select(*FACT_COLUMNS)
 
 
+FILES = "file string, bytes long, modified long, load_date date, run int, gone boolean"
+
+
+def _raw_files(spark: SparkSession, raw_base: str) -> DataFrame:
+    """Files of a landed table (file, bytes, modified, load_date). A stream's output is taken from its commit log."""
+    schema = "file string, bytes long, modified long, load_date date"
+    if not exists(spark, raw_base):
+        return spark.createDataFrame([], schema)
+    states = file_states(spark, spark.read.parquet(raw_base).inputFiles())
+    rows = [(f, *s, date.fromisoformat(f.rsplit("/load_date=", 1)[1].split("/")[0])) for f, s in states.items()]
+    return spark.createDataFrame(rows, schema)
+
+
 def extend_staged_reviews(spark: SparkSession, raw_base: str, path: str) -> list[str]:
-    """Stage the raw partitions that are not stored yet; returns their dates.
+    """Bring the staged reviews up to the landed files; returns the load dates with new, changed or gone files.
 
-    Copies of a review that is stored already are dropped, because the first copy
-    wins. Only new raw folders are read.
+    Raw files are compared one by one with those staged before, so rows that reach an older
+    date, replace a partition or come from a stream's next run are staged too. Of all copies
+    of a review the earliest landed stays, whatever the order of arrival. The keys concerned
+    are kept for ``extend_fact``; the file log is written last, so a run that dies is repeated.
     """
-    stored = set(partition_values(spark, path, "load_date"))
-    missing = [d for d in partition_values(spark, raw_base, "load_date") if d not in stored]
-    if not missing:
+    log = read_or_empty(spark, f"{path}_files", FILES)
+    done = log.agg(F.max("run")).first()[0] or 0
+    same = ["file", "bytes", "modified"]
+    before = keep_last(log, same, ["run"]).where("not gone")
+    now = _raw_files(spark, raw_base)
+    # One entry per file of this run, as Spark's own listing holds on the driver.
+    fresh, gone = now.join(before, same, "left_anti").collect(), before.join(now, same, "left_anti").collect()
+    if not fresh and not gone:
         return []
-    typed = typed_reviews(read_partitions(spark, raw_base, missing))
-    fresh = keep_first(typed, ["review_id"], ["load_date"])
-    if stored:
-        known = _stored_copies(spark.read.parquet(path), typed)
-        fresh = fresh.join(known, "review_id", "left_anti")
-    replace_partitions(fresh, path)
-    return missing
-
-
-def _stored_copies(stored: DataFrame, typed: DataFrame) -> DataFrame:
-    """Keys of ``typed`` reviews that are stored already.
-
-    Two rows with one key were submitted at the same time, so only stored rows of the
-    days in ``typed`` can match. The exception is a key whose author or product could
-    be read in two ways: such stored rows always stay in, and such new rows make the
-    lookup cover all days.
-    """
-    unclear = F.col("author_id").isNull() | F.contains("author_id", F.lit("|")) | F.contains("product_id", F.lit("|"))
-    span = typed.agg(
-        F.min("review_date").alias("low"), F.max("review_date").alias("high"), F.count_if(unclear).alias("unclear")
-    ).first()
-    if not span["unclear"]:
-        stored = stored.where(F.col("review_date").between(F.lit(span["low"]), F.lit(span["high"])) | unclear)
-    return stored.select("review_id").join(typed.select("review_id").distinct(), "review_id", "left_semi")
+    work = f"{path}_run"
+    copies = []
+    if fresh:
+        raw = spark.read.option("mergeSchema", True).option("basePath", raw_base).parquet(*(r["file"] for r in fresh))
+        copies.append(typed_reviews(raw))
+    old = spark.read.parquet(path) if done else None
+    keys = []
+    if gone and old is not None:
+        # What a replaced partition held is staged again from the files that are there now.
+        dates = sorted({r["load_date"] for r in gone})
+        lost = store(old.where(F.col("load_date").isin(dates)).select("review_id"), f"{work}/lost")
+        keys.append(lost)
+        if not now.isEmpty():
+            copies.append(typed_reviews(read_landed(spark, raw_base)).join(lost, "review_id", "left_semi"))
+        old = old.join(lost, "review_id", "left_anti")
+    if copies:
+        first = keep_first(reduce(DataFrame.unionByName, copies), ["review_id"], ["load_date"])
+        first = store(first, f"{work}/first")
+        if old is not None:
+            # Stored copies of the same reviews compete; those that stay first need no rewriting.
+            held = old.join(first.select("review_id"), "review_id", "left_semi").select(*first.columns)
+            both = held.withColumn("new", F.lit(0)).unionByName(first.withColumn("new", F.lit(1)))
+            first = keep_first(both, ["review_id"], ["load_date"]).where("new = 1").drop("new")
+        winners = store(first, f"{work}/winners")
+        keys.append(winners.select("review_id"))
+    else:
+        winners = old.where("false")
+    changed = store(reduce(DataFrame.unionByName, keys).distinct(), f"{work}/keys")
+    # A run that died before its log was written leaves its keys; they are applied with these.
+    changed.write.mode("append").parquet(f"{path}_keys/run={done + 1}")
+    apply_delete_insert(spark, path, winners, "review_id", keys=changed)
+    entries = [(*(r[c] for c in (*same, "load_date")), done + 1, rows is gone) for rows in (fresh, gone) for r in rows]
+    spark.createDataFrame(entries, FILES).coalesce(1).write.mode("append").parquet(f"{path}_files")
+    return sorted({str(r["load_date"]) for r in [*fresh, *gone]})
 
 
 def extend_fact(
@@ -193,22 +232,20 @@ def extend_fact(
 ) -> list[str]:
     """Bring the stored fact table up to the staged reviews; returns the partitions written.
 
-    Reads staged partitions newer than the fact's newest one and writes just those.
-    Staged reviews are unique over all partitions, so no stored row shares a key with
-    them and there is nothing to delete. ``reload_fact`` handles staged rows that
-    replace stored ones. A review whose product only shows up in a later catalogue
-    stays out, unless ``reprocess_orphans`` reads the older partitions again for
-    reviews the fact lacks.
+    Takes the keys of all staging runs that are not applied yet, and replaces the fact's rows
+    of those keys in one write. A review whose product only shows up in a later catalogue
+    stays out, unless ``reprocess_orphans`` looks for staged reviews that the fact lacks.
     """
-    # A first build that did not finish left no marker and is done again in full.
-    held = partition_values(spark, path, "load_date") if exists(spark, f"{path}/_SUCCESS") else []
-    staged_dates = partition_values(spark, staged_path, "load_date")
-    if held and not reprocess_orphans:
-        staged_dates = [d for d in staged_dates if d > held[-1]]
-    if not staged_dates:
+    log = read_or_empty(spark, f"{staged_path}_files", FILES)
+    newest = log.agg(F.max("run")).first()[0]
+    if newest is None or not partition_values(spark, staged_path, "load_date"):
         return []
-    batch = fct_reviews(read_partitions(spark, staged_path, staged_dates), products)
-    if not held:
+    staged = spark.read.parquet(staged_path)
+    applied = f"{path}_applied"
+    done = read_or_empty(spark, applied, "run int").agg(F.max("run")).first()[0]
+    # A first build that did not finish left no mark and is done again in full.
+    if done is None or not exists(spark, path):
+        batch = fct_reviews(staged, products)
         (
             batch.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -216,14 +253,20 @@ def extend_fact(
             .partitionBy("load_date")
             .parquet(path)
         )
-        return staged_dates
-    if reprocess_orphans:
-        batch = batch.join(spark.read.parquet(path).select("review_id"), "review_id", "left_anti")
-        return append_partitions(batch, path)
-    # Oldest first and one at a time, so that a failed run leaves no gap below the newest.
-    for day in staged_dates:
-        replace_partitions(fct_reviews(read_partitions(spark, staged_path, [day]), products), path)
-    return staged_dates
+        written = partition_values(spark, path, "load_date")
+    elif reprocess_orphans:
+        lacking = staged.join(spark.read.parquet(path).select("review_id"), "review_id", "left_anti")
+        return append_partitions(fct_reviews(lacking, products), path)
+    elif done == newest:
+        return []
+    else:
+        runs = [f"{staged_path}_keys/run={r}" for r in range(done + 1, newest + 1)]
+        keys = spark.read.schema("review_id string").parquet(*runs).distinct()
+        batch = fct_reviews(staged.join(keys, "review_id", "left_semi"), products)
+        batch = store(batch, f"{path}_run")
+        written = apply_delete_insert(spark, path, batch, "review_id", keys=keys)
+    spark.createDataFrame([(newest,)], "run int").coalesce(1).write.mode("append").parquet(applied)
+    return written
 
 
 def reload_fact(spark: SparkSession, reviews: DataFrame, products: DataFrame, path: str) -> list[str]:

@@ -19,8 +19,10 @@ from sparkmart.plans.models import PRICE_CUTS, TOP_PRICE
 from sparkmart.sources.csv import WRITE_OPTIONS
 from sparkmart.sources.landed import read_or_empty
 
-EXPORT_ROWS = 10_000
-LOG = "run_id string, run_at timestamp, check string, table string, severity string, status string, failures long"
+LOG = (
+    "run_id string, run_at timestamp, check string, table string, severity string, status string, failures long, "
+    "audit_table string, export_path string"
+)
 
 
 # --- checks: failing rows -------------------------------------------------------
@@ -301,19 +303,26 @@ def read_failures(spark: SparkSession, check: Check, audit: str) -> DataFrame:
     return spark.read.parquet(f"{audit}/{check.table}").where(F.col("check") == check.name).drop("check")
 
 
-def export_sample(df: DataFrame, rows: int = EXPORT_ROWS) -> DataFrame:
+def export_sample(df: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` failing rows for people to read, the same ones on every run."""
     return first_rows(df, rows)
 
 
-def export_failures(spark: SparkSession, check: Check, audit: str, folder: str) -> str:
-    """Write the sample as one CSV file with a header; the audit table keeps all rows."""
+def export_failures(spark: SparkSession, check: Check, audit: str, folder: str, rows: int | None = None) -> str:
+    """Write failing rows as CSV files with headers: all of them, unless ``rows`` asks for a sample."""
     path = f"{folder}/{check.name}"
-    sample = export_sample(read_failures(spark, check, audit))
-    sample.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
+    failing = read_failures(spark, check, audit)
+    if rows is not None:
+        failing = export_sample(failing, rows)
+    failing.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
     return path
 
 
+def audit_path(check: Check, audit: str) -> str:
+    """Where ``store_failures`` keeps the failing rows of a check."""
+    return f"{audit}/{check.name}" if check.row_rule() is None else f"{audit}/{check.table}/check={check.name}"
+
+
 class ChecksFailed(Exception):
     """A check of severity error has failing rows."""
 
@@ -326,6 +335,7 @@ def run_suite(
     log: str,
     export: str | None = None,
     run_id: str | None = None,
+    export_rows: int | None = None,
 ) -> DataFrame:
     """Run all checks, keep failing rows, log the run, then raise on errors.
 
@@ -338,11 +348,14 @@ def run_suite(
     results = collect_results(tables, checks)
     flagged = [r["check"] for r in results if r["failures"] > 0]
     store_failures(tables, checks, audit, flagged)
+    audits = {c.name: audit_path(c, audit) for c in checks if c.name in flagged}
+    exports = {}
     if export:
         for check in checks:
             if check.name in flagged:
-                export_failures(spark, check, audit, f"{export}/{run_at:%Y-%m-%d}")
-    rows = [(run_id, run_at, *r) for r in results]
+                folder = f"{export}/{run_at:%Y-%m-%d}"
+                exports[check.name] = export_failures(spark, check, audit, folder, export_rows)
+    rows = [(run_id, run_at, *r, audits.get(r["check"]), exports.get(r["check"])) for r in results]
     entries = spark.createDataFrame(rows, LOG)
     entries.coalesce(1).write.mode("append").parquet(log)
     broken = [r["check"] for r in results if r["status"] == "fail"]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import os
 import uuid
-from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from sparkmart.sources.paths import delete
+
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -29,8 +32,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, app: str = "sparkmart") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(cores: int | str = 8, app: str = "sparkmart", work: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the benchmark; ``work`` is its work folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -43,25 +46,41 @@ def local_session(cores: int | str = 8, app: str = "sparkmart") -> SparkSession:
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
+    if work:
+        builder = builder.config("spark.checkpoint.dir", work)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="sparkmart-")
+def share_package(spark: SparkSession) -> None:
+    """Put this package on the path of Python workers that see the same folder."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
+_MADE: list[tuple[SparkSession, str]] = []
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder that every executor can reach.
+    """A new folder that every executor can reach; it is deleted when the application ends.
 
-    Lives under ``spark.checkpoint.dir``. Only a local session without that
-    setting falls back to a folder on this machine.
+    Lives under ``spark.checkpoint.dir``, or under the warehouse where that is not set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = _local_dir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    if not _MADE:
+        atexit.register(_delete_work)
+    _MADE.append((spark, path))
+    return path
+
+
+def _delete_work() -> None:
+    for spark, path in _MADE:
+        try:
+            delete(spark, path)
+        except Exception:  # the session may have ended before: the folder is the operator's to clear
+            return

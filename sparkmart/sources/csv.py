@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.sources.paths import matching_files
+from sparkmart.sources.paths import first_lines, matching_files
 
-# A quote inside a value is doubled, and a quoted value may hold line breaks.
-CSV_OPTIONS = {"escape": '"', "multiLine": True}
+# A quote inside a value is doubled.
+CSV_OPTIONS = {"escape": '"'}
 # The writer would strip blanks around values.
 WRITE_OPTIONS = {
     "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
-# A file with line breaks in values cannot be split by the reader and is one task;
-# above this size its records are put together from split lines instead.
-SPLIT_ABOVE = 512 * 1024 * 1024
+# Lines are read as one column. The separator only has to be no part of any line; a line that holds it raises.
+NO_SEPARATOR = "\u0001\u0002\u0001"
+END_MARK = "\u0003end\u0003"
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
@@ -31,104 +33,76 @@ def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return files
 
 
+def column_names(header: str) -> list[str]:
+    """Names in a header record. An unnamed column i is ``column<i>``; a name that occurs twice gets its place."""
+    names = next(csv.reader([header], doublequote=True), [])
+    count = Counter(n.lower() for n in names)
+    return [f"column{i}" if not n else f"{n}{i}" if count[n.lower()] > 1 else n for i, n in enumerate(names)]
+
+
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns)
+    """Read by the driver from the start of the file: no Spark job, however many files there are."""
+    record = ""
+    for line in first_lines(spark, path):
+        if not record and not line.strip():
+            continue
+        record = f"{record}\n{line}" if record else line.lstrip("﻿")
+        if record.count('"') % 2 == 0:
+            break
+    return tuple(column_names(record))
 
 
 def _schema(header: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in header])
 
 
-def _column_names(header: Sequence[str]) -> list[str]:
-    # The reader calls an unnamed column _c<i>; the landed name is column<i>.
-    return [f"column{i}" if name == f"_c{i}" else name for i, name in enumerate(header)]
-
-
-def read_csv_by_name(
-    spark: SparkSession, pattern: str, filename: bool = True, split_above: int = SPLIT_ABOVE
-) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, pattern: str, filename: bool = True, line_breaks: bool = True) -> DataFrame:
     """All files that match ``pattern`` as text columns, aligned by column name.
 
     A column missing from a file is NULL there. ``filename`` adds the file path.
     Files with the same header share one scan, so columns never shift between
     files that order them differently.
+
+    ``line_breaks`` says whether values may hold line breaks. If so, a file is one
+    task, whatever its size. If not, files are read in splits, and a value whose
+    quote is not closed on its line raises an error. Both give the same rows.
     """
     files = list_files(spark, pattern)
-    with ThreadPoolExecutor(8) as pool:
+    with ThreadPoolExecutor(16) as pool:
         headers = list(pool.map(lambda f: _header(spark, f[0]), files))
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for (path, size), header in zip(files, headers):
-        groups.setdefault((header, size > split_above), []).append(path)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for (path, _), header in zip(files, headers):
+        groups.setdefault(header, []).append(path)
+    read = _read_records if line_breaks else _read_lines
     parts = []
-    for (header, large), paths in groups.items():
-        read = _read_split if large else _read_whole
-        part = read(spark, paths, header).toDF(*_column_names(header), "filename")
+    for header, paths in groups.items():
+        part = read(spark, paths, header)
         parts.append(part if filename else part.drop("filename"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_csv_snapshot(spark: SparkSession, path: str, split_above: int = SPLIT_ABOVE) -> DataFrame:
+def read_csv_snapshot(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """One CSV source as text columns."""
-    return read_csv_by_name(spark, path, filename=False, split_above=split_above)
+    return read_csv_by_name(spark, path, filename=False, line_breaks=line_breaks)
 
 
-def _read_whole(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
-    rows = spark.read.schema(_schema(header)).options(header=True, **CSV_OPTIONS).csv(paths)
+def _read_records(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
+    rows = spark.read.schema(_schema(header)).options(header=True, multiLine=True, **CSV_OPTIONS).csv(paths)
     return rows.select(*[F.col(f"`{c}`") for c in header], F.col("_metadata.file_path").alias("filename"))
 
 
-def _read_split(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
-    """Records of large files, parsed from lines that Spark reads in splits.
-
-    A line starts a record when the quotes before it in the file are even in
-    number. That count is a running sum inside each split plus the sums of the
-    splits before it, of which there is one row per split. Only records of more
-    than one line are grouped.
-    """
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(paths)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.col("value").alias("text"),
-            (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
-        )
-    )
-    in_block = Window.partitionBy("file", "block").orderBy("line")
-    lines = lines.withColumn("before", F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = lines.withColumn("before", F.col("before") - F.col("quotes"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        lines.groupBy("file", "block")
-        .agg(
-            F.sum("quotes").alias("q"),
-            F.count_if(F.col("before") % 2 == 0).alias("even"),
-            F.count_if(F.col("before") % 2 == 1).alias("odd"),
-        )
-        .withColumn("open", F.coalesce(F.sum("q").over(earlier), F.lit(0)) % 2)
-        .withColumn("starts", F.when(F.col("open") == 0, F.col("even")).otherwise(F.col("odd")))
-        .withColumn("base", F.coalesce(F.sum("starts").over(earlier), F.lit(0)))
-        .select("file", "block", "open", "base")
-    )
-    first = (F.col("open") + F.col("before")) % 2 == 0
-    last = (F.col("open") + F.col("before") + F.col("quotes")) % 2 == 0
-    numbered = (
-        lines.join(blocks, ["file", "block"])
-        .withColumn("first", first)
-        .withColumn("single", first & last)
-        .withColumn("record", F.col("base") + F.sum(F.col("first").cast("long")).over(in_block))
-        .where("record > 1")  # the first record is the header
-    )
-    joined = (
-        numbered.where("not single")
-        .groupBy("file", "record")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "line", "text"))).alias("lines"))
-        .select("file", F.array_join("lines.text", "\n").alias("text"))
-    )
-    records = numbered.where("single").select("file", "text").unionByName(joined)
-    records = records.withColumn("text", F.rtrim("text", F.lit("\r"))).where("text != ''")
-    columns = ", ".join("`{}` string".format(c.replace("`", "``")) for c in header)
-    parsed = F.from_csv("text", columns, {"escape": '"'})
-    return records.select(parsed.alias("row"), "file").select("row.*", F.col("file").alias("filename"))
+def _read_lines(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
+    """Each line is parsed with a mark as one more value; an open quote swallows the mark."""
+    lines = spark.read.schema("line string, rest string").options(header=True, sep=NO_SEPARATOR, quote="").csv(paths)
+    lines = lines.select("line", "rest", F.col("_metadata.file_path").alias("filename"))
+    columns = ", ".join("`{}` string".format(c.replace("`", "``")) for c in [*header, "_end"])
+    parsed = F.from_csv(F.concat("line", F.lit(f",{END_MARK}")), columns, dict(CSV_OPTIONS))
+    rows = lines.withColumn("row", parsed)
+    values = [F.col("row").getField(c) for c in header]
+    swallowed = [F.coalesce(F.endswith(v, F.lit(f",{END_MARK}")), F.lit(False)) for v in values]
+    bad = reduce(lambda a, b: a | b, swallowed, F.col("rest").isNotNull())
+    message = F.concat(F.lit("a value is not closed on its line, in "), F.col("filename"))
+    rows = rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    # A line with fewer values than the header has the mark among them.
+    cells = [F.when(v != END_MARK, v).alias(c) for v, c in zip(values, header)]
+    return rows.select(*cells, "filename")

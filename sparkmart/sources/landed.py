@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.session import work_dir
 from sparkmart.sources.paths import exists, partition_values
 
-_SPLIT_COPIES: dict[tuple[str, str], str] = {}
-
 
 def read_landed(spark: SparkSession, base: str) -> DataFrame:
     """All partitions, with columns joined by name and ``load_date`` as a date."""
@@ -26,26 +23,6 @@ def read_newest(spark: SparkSession, base: str) -> DataFrame:
     return read_partitions(spark, base, partition_values(spark, base, "load_date")[-1:])
 
 
-def read_in_splits(spark: SparkSession, path: str) -> DataFrame:
-    """A table that every core can work on from the scan on.
-
-    One row group is one task however many rows it holds. When the files give fewer
-    splits than there are cores, they are written once per application in as many
-    parts; such a table is smaller than one split per core. A larger one is read in
-    place. Rows are hashed whole, which needs no sort.
-    """
-    scan = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    done = (spark.sparkContext.applicationId, path)
-    if done not in _SPLIT_COPIES:
-        copy = work_dir(spark, "splits")
-        scan.repartition(cores, *scan.columns).write.parquet(copy)
-        _SPLIT_COPIES[done] = copy
-    return spark.read.schema(scan.schema).parquet(_SPLIT_COPIES[done])
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, or an empty typed one before its first write."""
     if exists(spark, path):

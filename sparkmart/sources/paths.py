@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +35,39 @@ def matching_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return sorted((s.getPath().toString(), s.getLen()) for s in found if s.isFile())
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = _fs(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def first_lines(spark: SparkSession, path: str) -> Iterator[str]:
+    """The lines of a text file from its start, unpacked where the name says it is compressed."""
+    fs, p = _fs(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p)
+    try:
+        raw = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8"))
+        while (line := reader.readLine()) is not None:
+            yield line
+    finally:
+        stream.close()
+
+
+def file_states(spark: SparkSession, paths: list[str]) -> dict[str, tuple[int, int]]:
+    """``(bytes, modification time)`` of files given by URI, by path, with one listing for each folder they are in."""
+    jvm = spark._jvm
+    names = {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(p)).toString() for p in paths}
+    out = {}
+    for folder in sorted({n.rsplit("/", 1)[0] for n in names}):
+        fs, p = _fs(spark, folder)
+        for s in fs.listStatus(p):
+            if (name := s.getPath().toString()) in names:
+                out[name] = (s.getLen(), s.getModificationTime())
+    return out
+
+
 def partition_values(spark: SparkSession, base: str, column: str) -> list[str]:
     """Values of a partition column, read from folder names and not from data."""
     fs, p = _fs(spark, base)

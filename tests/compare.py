@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -54,7 +55,7 @@ def main(sf_dir: str, only: list[str]) -> int:
     from __spark_entry__ import oracle_sql, queries
     from sparkmart.session import local_session
 
-    spark, con, oracles, failed = local_session(8), connect(sf_dir), oracle_sql(), 0
+    spark, con, oracles, failed = local_session(8, work=tempfile.mkdtemp(prefix="compare-")), connect(sf_dir), oracle_sql(), 0
     for name, query in queries().items():
         if only and name not in only:
             continue

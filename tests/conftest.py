@@ -14,8 +14,8 @@ from sparkmart.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "tests")
+def spark(tmp_path_factory):
+    session = local_session(4, "tests", str(tmp_path_factory.mktemp("work")))
     yield session
     session.stop()
 

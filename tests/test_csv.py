@@ -1,4 +1,5 @@
 import csv
+import gzip
 
 import pytest
 
@@ -28,35 +29,48 @@ def test_missing_files_are_an_error(spark, tmp_path):
         read_csv_by_name(spark, f"{tmp_path}/reviews*.csv")
 
 
-TEXTS = ['say ""twice""', 'a "quote"', "line\nbreak", "two\n\nbreaks, and, commas", " padded ", '"', "\n", "plain", "", 'end"\n"start']
+TEXTS = ['say ""twice""', 'a "quote"', "comma, s", " padded ", '"', '""', "plain", "", 'end"start', '5" pump']
+
+
+def both(spark, path):
+    rows = [sorted(map(tuple, read_csv_snapshot(spark, path, line_breaks=b).collect()), key=str) for b in (True, False)]
+    assert rows[0] == rows[1]
+    return rows[0]
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
-@pytest.mark.parametrize("split_bytes", [64, 1000, 1 << 20])
-def test_split_reading_gives_the_same_records(spark, tmp_path, end, split_bytes):
-    """Records with line breaks that cross many split borders."""
+@pytest.mark.parametrize("split_bytes", [64, 1 << 20])
+def test_both_readers_give_the_same_records(spark, tmp_path, end, split_bytes):
     rows = [[str(i), TEXTS[i % len(TEXTS)] * (1 + i % 7), f"t{i}"] for i in range(200)]
     write(tmp_path / "x.csv", ["i", "text", "tail"], rows, end)
-    rows = [[i, t.replace("\r\n", "\n"), tail] for i, t, tail in rows]
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     try:
-        got = read_csv_snapshot(spark, f"{tmp_path}/x.csv", split_above=0).collect()
+        got = both(spark, f"{tmp_path}/x.csv")
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert sorted((int(r["i"]), r["text"] or "", r["tail"]) for r in got) == [(int(i), t, tail) for i, t, tail in rows]
+    assert sorted((int(i), t or "", tail) for i, t, tail in got) == [(int(i), t, tail) for i, t, tail in rows]
+
+
+def test_line_breaks_in_values(spark, tmp_path):
+    texts = ["line\nbreak", "two\n\nbreaks, and, commas", "\n", 'end"\n"start']
+    write(tmp_path / "x.csv", ["i", "text"], [[str(i), t] for i, t in enumerate(texts)])
+    assert [r["text"] for r in read_csv_snapshot(spark, f"{tmp_path}/x.csv").orderBy("i").collect()] == texts
+    with pytest.raises(Exception, match="not closed on its line"):
+        read_csv_snapshot(spark, f"{tmp_path}/x.csv", line_breaks=False).collect()
 
 
-def test_odd_column_names_survive_both_readers(spark, tmp_path):
-    write(tmp_path / "x.csv", ["a b", "c:d", "e.f"], [["1", "2", "3"]])
-    for split_above in (0, 1 << 30):
-        df = read_csv_snapshot(spark, f"{tmp_path}/x.csv", split_above=split_above)
-        assert df.columns == ["a b", "c:d", "e.f"] and tuple(df.first()) == ("1", "2", "3")
+def test_stray_quotes_blank_lines_and_odd_lengths(spark, tmp_path):
+    body = '\n\ni,text,tail\n1,a 5" pump,x\n2,"b ""c""",\n\n3,short\n4,d,e,too many\n5,"x" y,z\n'
+    (tmp_path / "x.csv").write_text(body)
+    assert both(spark, f"{tmp_path}/x.csv") == [
+        ("1", 'a 5" pump', "x"), ("2", 'b "c"', None), ("3", "short", None), ("4", "d", "e"), ("5", '"x" y', "z")]
 
 
-def test_split_and_whole_readers_agree_on_several_files(spark, tmp_path):
-    for n in range(3):
-        write(tmp_path / f"reviews{n}.csv", ["i", "text"], [[f"{n}-{i}", TEXTS[(n + i) % len(TEXTS)]] for i in range(50)])
-    whole = read_csv_by_name(spark, f"{tmp_path}/reviews*.csv").collect()
-    split = read_csv_by_name(spark, f"{tmp_path}/reviews*.csv", split_above=0).collect()
-    key = lambda r: tuple(str(v) for v in r)
-    assert sorted(whole, key=key) == sorted(split, key=key) and len(whole) == 150
+def test_odd_headers_survive_both_readers(spark, tmp_path):
+    write(tmp_path / "x.csv", ["a b", "c:d", "e.f", "", "same", "Same", "two\nlines"], [["1", "2", "3", "4", "5", "6", "7"]])
+    df = read_csv_snapshot(spark, f"{tmp_path}/x.csv")
+    assert df.columns == ["a b", "c:d", "e.f", "column3", "same4", "Same5", "two\nlines"] and tuple(df.first()) == tuple("1234567")
+    with gzip.open(tmp_path / "y.csv.gz", "wt") as f:
+        f.write("\ufeffa b,\n1,2\n")
+    assert read_csv_snapshot(spark, f"{tmp_path}/y.csv.gz").columns == ["a b", "column1"]
+    assert both(spark, f"{tmp_path}/y.csv.gz") == [("1", "2")]

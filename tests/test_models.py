@@ -161,6 +161,9 @@ def test_staging_a_batch_twice_changes_nothing(spark, base):
     land_reviews(spark, base, D[0], [review("a", "p", D[0])])
     assert models.extend_staged_reviews(spark, f"{base}/raw/reviews", f"{base}/staged") == [str(D[0])]
     assert models.extend_staged_reviews(spark, f"{base}/raw/reviews", f"{base}/staged") == []
+    land_reviews(spark, base, D[0], [review("a", "p", D[0]), review("b", "p", D[0])])
+    assert models.extend_staged_reviews(spark, f"{base}/raw/reviews", f"{base}/staged") == [str(D[0])]
+    assert spark.read.parquet(f"{base}/staged").count() == 2
     assert partition_values(spark, f"{base}/staged", "load_date") == [str(D[0])]
 
 

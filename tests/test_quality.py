@@ -93,7 +93,16 @@ def test_a_clean_run_replaces_old_warnings(spark, reviews, base):
     assert quality.latest_run(quality.read_log(spark, f"{base}/none")).count() == 0
 
 
-def test_the_export_is_bounded_and_repeatable(spark):
+def test_exports_are_whole_and_logged(spark, base):
+    tables = {"t": spark.range(30_000).select((F.col("id") % 15_000).cast("string").alias("author"))}
+    with pytest.raises(quality.ChecksFailed):
+        quality.run_suite(spark, tables, [Check("t", ("author",), "unique")], f"{base}/audit", f"{base}/log", f"{base}/csv")
+    entry = quality.read_log(spark, f"{base}/log").first()
+    assert spark.read.parquet(entry["audit_table"]).count() == 15_000
+    assert spark.read.option("header", True).csv(entry["export_path"]).count() == 15_000
+
+
+def test_an_export_sample_is_bounded_and_repeatable(spark):
     df = spark.range(300).select((F.col("id") * 31 % 300).alias("v")).repartition(5)
     assert sorted(r["v"] for r in quality.export_sample(df, 10).collect()) == list(range(10))
 
