@@ -20,7 +20,11 @@ from sparkmart.streaming.reviews import land_stream
 
 
 def latest(spark, sf_dir):
-    return latest_snapshot(spark_input(spark, sf_dir, "raw_products"), "load_date")
+    """From stored snapshots: only the newest folder is read."""
+    base = work_dir(spark, "snapshots")
+    raw = spark_input(spark, sf_dir, "raw_products")
+    raw.write.partitionBy("load_date").parquet(base)
+    return latest_snapshot(read_landed(spark, base), "load_date")
 
 
 def dedup_first(spark, sf_dir):

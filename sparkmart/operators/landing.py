@@ -60,8 +60,15 @@ def slice_rows(df: DataFrame, day: Column, part: Slice) -> DataFrame:
 
 
 def late_rows(df: DataFrame, day: Column, watermark: date, landed: DataFrame, key: str) -> DataFrame:
-    """Rows at or below the watermark whose key never landed: no slice takes them."""
-    return df.where(day <= F.lit(watermark)).join(landed.select(key).distinct(), key, "left_anti")
+    """Rows at or below the watermark whose key never landed: no slice takes them.
+
+    ``day`` is read from ``landed`` too. Only landed rows of days that such rows have are
+    compared, and each key once.
+    """
+    early = df.where(day <= F.lit(watermark))
+    days = early.select(day.alias("_day")).distinct()
+    near = landed.select(key, day.alias("_day")).join(days, "_day", "left_semi")
+    return early.join(near.select(key).distinct(), key, "left_anti")
 
 
 def land_partition(

@@ -13,7 +13,7 @@ from sparkmart.functions import casts
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import append_partitions, apply_delete_insert
-from sparkmart.sources.landed import read_landed, read_or_empty
+from sparkmart.sources.landed import read_or_empty
 from sparkmart.sources.paths import exists, file_states, partition_values
 
 # The price bands.
@@ -61,6 +61,14 @@ def stg_products(raw: DataFrame, exclusive_flag: str = EXCLUSIVE_FLAG) -> DataFr
     return keep_last(typed, ["product_id"], ["_loaded_at"]).drop("_loaded_at")
 
 
+RAW_REVIEW = (
+    "author_id string, product_id string, submission_time string, review_text string, rating string, "
+    "is_recommended string, helpfulness string, total_feedback_count string, total_neg_feedback_count string, "
+    "total_pos_feedback_count string, review_title string, skin_tone string, skin_type string, eye_color string, "
+    "hair_color string, price_usd string, _batch_id string, load_date date"
+)
+
+
 def typed_reviews(raw: DataFrame) -> DataFrame:
     """Typed reviews; rows without a product, a rating of 1 to 5 or a date are dropped.
 
@@ -164,14 +172,18 @@ def fct_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
 FILES = "file string, bytes long, modified long, load_date date, run int, gone boolean"
 
 
-def _raw_files(spark: SparkSession, raw_base: str) -> DataFrame:
-    """Files of a landed table (file, bytes, modified, load_date). A stream's output is taken from its commit log."""
-    schema = "file string, bytes long, modified long, load_date date"
+RawFile = tuple[str, int, int, date]
+
+
+def _raw_files(spark: SparkSession, raw_base: str) -> set[RawFile]:
+    """Files of a landed table (file, bytes, modified, load_date), as Spark's own listing holds on the driver.
+
+    A stream's output is taken from its commit log.
+    """
     if not exists(spark, raw_base):
-        return spark.createDataFrame([], schema)
-    states = file_states(spark, spark.read.parquet(raw_base).inputFiles())
-    rows = [(f, *s, date.fromisoformat(f.rsplit("/load_date=", 1)[1].split("/")[0])) for f, s in states.items()]
-    return spark.createDataFrame(rows, schema)
+        return set()
+    states = file_states(spark, spark.read.schema(RAW_REVIEW).parquet(raw_base).inputFiles())
+    return {(f, *s, date.fromisoformat(f.rsplit("/load_date=", 1)[1].split("/")[0])) for f, s in states.items()}
 
 
 def extend_staged_reviews(spark: SparkSession, raw_base: str, path: str) -> list[str]:
@@ -183,48 +195,48 @@ def extend_staged_reviews(spark: SparkSession, raw_base: str, path: str) -> list
     are kept for ``extend_fact``; the file log is written last, so a run that dies is repeated.
     """
     log = read_or_empty(spark, f"{path}_files", FILES)
-    done = log.agg(F.max("run")).first()[0] or 0
-    same = ["file", "bytes", "modified"]
-    before = keep_last(log, same, ["run"]).where("not gone")
+    newest = keep_last(log, ["file", "bytes", "modified"], ["run"]).collect()
+    done = max((r["run"] for r in newest), default=0)
+    before = {(r["file"], r["bytes"], r["modified"], r["load_date"]) for r in newest if not r["gone"]}
     now = _raw_files(spark, raw_base)
-    # One entry per file of this run, as Spark's own listing holds on the driver.
-    fresh, gone = now.join(before, same, "left_anti").collect(), before.join(now, same, "left_anti").collect()
+    fresh, gone = sorted(now - before), sorted(before - now)
     if not fresh and not gone:
         return []
     work = f"{path}_run"
     copies = []
     if fresh:
-        raw = spark.read.option("mergeSchema", True).option("basePath", raw_base).parquet(*(r["file"] for r in fresh))
+        # Landed values are text, so the schema is known and no footer is read for it.
+        raw = spark.read.schema(RAW_REVIEW).option("basePath", raw_base).parquet(*(f for f, *_ in fresh))
         copies.append(typed_reviews(raw))
     old = spark.read.parquet(path) if done else None
-    keys = []
+    lost = None
     if gone and old is not None:
         # What a replaced partition held is staged again from the files that are there now.
-        dates = sorted({r["load_date"] for r in gone})
+        dates = sorted({d for *_, d in gone})
         lost = store(old.where(F.col("load_date").isin(dates)).select("review_id"), f"{work}/lost")
-        keys.append(lost)
-        if not now.isEmpty():
-            copies.append(typed_reviews(read_landed(spark, raw_base)).join(lost, "review_id", "left_semi"))
+        if now:
+            copies.append(typed_reviews(spark.read.schema(RAW_REVIEW).parquet(raw_base)).join(lost, "review_id", "left_semi"))
         old = old.join(lost, "review_id", "left_anti")
     if copies:
-        first = keep_first(reduce(DataFrame.unionByName, copies), ["review_id"], ["load_date"])
-        first = store(first, f"{work}/first")
+        winners = keep_first(reduce(DataFrame.unionByName, copies), ["review_id"], ["load_date"])
+        winners = store(winners, f"{work}/first")
         if old is not None:
             # Stored copies of the same reviews compete; those that stay first need no rewriting.
-            held = old.join(first.select("review_id"), "review_id", "left_semi").select(*first.columns)
-            both = held.withColumn("new", F.lit(0)).unionByName(first.withColumn("new", F.lit(1)))
-            first = keep_first(both, ["review_id"], ["load_date"]).where("new = 1").drop("new")
-        winners = store(first, f"{work}/winners")
-        keys.append(winners.select("review_id"))
+            held = old.join(winners.select("review_id"), "review_id", "left_semi").select(*winners.columns)
+            both = held.withColumn("new", F.lit(0)).unionByName(winners.withColumn("new", F.lit(1)))
+            winners = keep_first(both, ["review_id"], ["load_date"]).where("new = 1").drop("new")
+            winners = store(winners, f"{work}/winners")
     else:
         winners = old.where("false")
-    changed = store(reduce(DataFrame.unionByName, keys).distinct(), f"{work}/keys")
+    changed = winners.select("review_id")
+    if lost is not None:
+        changed = changed.unionByName(lost)
     # A run that died before its log was written leaves its keys; they are applied with these.
     changed.write.mode("append").parquet(f"{path}_keys/run={done + 1}")
     apply_delete_insert(spark, path, winners, "review_id", keys=changed)
-    entries = [(*(r[c] for c in (*same, "load_date")), done + 1, rows is gone) for rows in (fresh, gone) for r in rows]
+    entries = [(*f, done + 1, files is gone) for files in (fresh, gone) for f in files]
     spark.createDataFrame(entries, FILES).coalesce(1).write.mode("append").parquet(f"{path}_files")
-    return sorted({str(r["load_date"]) for r in [*fresh, *gone]})
+    return sorted({str(d) for *_, d in [*fresh, *gone]})
 
 
 def extend_fact(

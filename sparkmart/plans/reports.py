@@ -27,8 +27,7 @@ def top_complaints(mart: DataFrame, labeler: str, top_n: int = TOP_BRANDS) -> Da
     """Complaint counts and shares of the brands with most complaints."""
     complaints = _complaints(mart, labeler)
     top = top_k_groups(complaints, "brand_id", F.col("n_reviews"), top_n)
-    # top has at most top_n rows.
-    return complaints.join(F.broadcast(top), "brand_id", "left_semi").select(
+    return complaints.join(top, "brand_id", "left_semi").select(
         "brand_id", "brand_name", "complaint_type", "n_reviews", "share_of_brand_reviews"
     )
 
