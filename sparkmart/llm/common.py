@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable, Iterator
-from pathlib import Path
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sparkmart.session import configure, work_dir
-
-ROOT = str(Path(__file__).resolve().parents[2])
+from sparkmart.session import configure, share_package, work_dir
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -22,10 +18,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    env = spark.sparkContext.environment
-    known = env.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in known:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+    share_package(spark)
     return spark
 
 
@@ -36,11 +29,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow``: ``work`` gets the batches of a partition and yields batches of ``schema``."""
-    return df.mapInArrow(work, schema)
-
-
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 

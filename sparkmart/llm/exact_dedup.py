@@ -10,7 +10,6 @@ hit is checked byte for byte. Members join their slot; nonmembers are grouped am
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
