@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.plans import models
@@ -22,8 +24,10 @@ def build_models(
     Every model is stored because several later plans read it. ``exclusive_flag`` names
     the catalogue column that marks retailer exclusives, ``cuts`` and ``top`` the price bands.
     """
-    reviews = store(models.stg_reviews(raw_reviews), f"{base}/stg_reviews")
-    tables = _products(raw_products, base, cuts, top, exclusive_flag)
+    with ThreadPoolExecutor(2) as pool:
+        staged = pool.submit(store, models.stg_reviews(raw_reviews), f"{base}/stg_reviews")
+        tables = _products(raw_products, base, cuts, top, exclusive_flag)
+        reviews = staged.result()
     fact = store(models.fct_reviews(reviews, tables["dim_products"]), f"{base}/fct_reviews")
     raw = {"raw_reviews": raw_reviews, "raw_products": raw_products}
     return raw | tables | {"stg_reviews": reviews, "fct_reviews": fact}
@@ -47,8 +51,10 @@ def update_models(
     exclusive_flag: str = models.EXCLUSIVE_FLAG,
 ) -> dict[str, DataFrame]:
     """Bring stored models up to the landed files; only new and changed files are read."""
-    models.extend_staged_reviews(spark, f"{raw}/reviews", f"{base}/stg_reviews")
-    tables = _products(read_newest(spark, f"{raw}/products"), base, cuts, top, exclusive_flag)
+    with ThreadPoolExecutor(2) as pool:
+        staged = pool.submit(models.extend_staged_reviews, spark, f"{raw}/reviews", f"{base}/stg_reviews")
+        tables = _products(read_newest(spark, f"{raw}/products"), base, cuts, top, exclusive_flag)
+        staged.result()
     models.extend_fact(spark, f"{base}/stg_reviews", tables["dim_products"], f"{base}/fct_reviews")
     return tables | {
         "stg_reviews": spark.read.parquet(f"{base}/stg_reviews"),

@@ -283,18 +283,28 @@ def store_failures(
     failures; others are not scanned.
     """
     by_table: dict[str, list[Check]] = {}
+    alone = []
     for check in checks:
         if flagged is not None and check.name not in flagged:
             continue
         if check.row_rule() is not None:
             by_table.setdefault(check.table, []).append(check)
         else:
-            check.failing(tables).write.mode("overwrite").option("compression", "zstd").parquet(f"{audit}/{check.name}")
-    for table, group in by_table.items():
-        names = F.array_compact(F.array(*[F.when(c.row_rule(), F.lit(c.name)) for c in group]))
+            alone.append(check)
+
+    def store_keys(check: Check) -> None:
+        check.failing(tables).write.mode("overwrite").option("compression", "zstd").parquet(f"{audit}/{check.name}")
+
+    def store_rows(table: str) -> None:
+        names = F.array_compact(F.array(*[F.when(c.row_rule(), F.lit(c.name)) for c in by_table[table]]))
         rows = tables[table].withColumn("check", F.explode(names))
         rows.write.mode("overwrite").option("compression", "zstd").partitionBy("check").parquet(f"{audit}/{table}")
 
+    # Separate jobs side by side: few of them fill a cluster alone.
+    with ThreadPoolExecutor(8) as pool:
+        for job in [*(pool.submit(store_keys, c) for c in alone), *(pool.submit(store_rows, t) for t in by_table)]:
+            job.result()
+
 
 def read_failures(spark: SparkSession, check: Check, audit: str) -> DataFrame:
     """The stored failing rows of one check."""
