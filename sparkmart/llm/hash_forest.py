@@ -3,10 +3,12 @@
 Each tree gives every vector a long hash string and keeps the strings sorted. The first symbol
 is the vector's cluster, found on a bounded sample (0: in no dense cluster); the others are
 cross-polytope hashes, under random rotations, of what remains when the cluster's centre is
-taken away. A query descends to its longest matching prefixes and then ascends in all trees at
-once, one symbol at a time, until the trees together hold ``candidates`` vectors under its
-prefixes; past the first symbol it goes on to its whole cluster and last to all vectors. All
-candidates are scored exactly.
+taken away. A query visits every cluster that may hold one of its nearest: cluster 0, and those whose
+largest possible inner product (from the angle to the centre and the widest angle of a member)
+reaches what the sample alone offers. In each of them it descends to its longest matching prefixes
+and then ascends in all trees at once, one symbol at a time, until the trees together hold enough
+vectors under its prefixes; past the last symbol it takes the whole cluster. All candidates are
+scored exactly.
 
 A sorted array is dealt to blocks of at most about ``block`` vectors by the first two symbols and
 a hash of the id, so a common prefix is many blocks. Queries go to the blocks their prefix needs.
@@ -80,6 +82,10 @@ class Hasher:
     centres: np.ndarray
     largest: float
     p: Forest
+    #: Vectors of the index, from which a query learns what it can reach at least.
+    sample: np.ndarray
+    #: Widest angle of a member to its centre, by cluster; set once the index is hashed.
+    widest: np.ndarray | None = None
 
     def __post_init__(self):
         size = self.centres.shape[1]
@@ -88,23 +94,55 @@ class Hasher:
             rng = np.random.default_rng(self.p.seed + tree)
             random = (rng.standard_normal((size, max(size, self.p.axes))) for _ in range(self.p.digits))
             self.turns.append([(np.linalg.qr(r)[0] if r.shape[0] == r.shape[1] else r)[:, : self.p.axes] for r in random])
+        self.units = self.centres / np.linalg.norm(self.centres, axis=1, keepdims=True)
+        # How members spread along the centre and the added component, against the other directions.
+        self.planes, self.spreads = [], []
+        x = self.widened(self.sample, False)
+        cluster = self.clusters(x)[0]
+        for c, centre in enumerate(self.centres):
+            rest = x[cluster == c + 1] - centre
+            plane = np.linalg.qr(np.stack([centre, np.eye(size)[-1]], axis=1))[0]
+            along = rest @ plane
+            others = ((rest * rest).sum() - (along * along).sum()) / max(1, size - 2)
+            self.planes.append(plane)
+            self.spreads.append(along.T @ along / others if others > 0 else np.eye(2))
 
     def widened(self, x: np.ndarray, query: bool) -> np.ndarray:
-        """One more component makes all indexed vectors equally long, so that the largest inner product is the smallest angle."""
-        missing = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.largest**2 - (x * x).sum(axis=1), 0))
-        return np.column_stack([x, missing])
-
-    def strings(self, x: np.ndarray, query: bool) -> np.ndarray:
-        """[tree, row, byte]"""
-        x = self.widened(x.astype(np.float64), query)
-        cluster = np.zeros(len(x), np.int64)
+        """One more component makes all vectors equally long, so that the largest inner product is the smallest angle.
+
+        The length of a query does not change its order, so it is stretched to that of indexed vectors.
+        """
+        if query:
+            x = x * (self.largest / np.linalg.norm(x, axis=1, keepdims=True))
+            return np.column_stack([x, np.zeros(len(x))])
+        return np.column_stack([x, np.sqrt(np.maximum(self.largest**2 - (x * x).sum(axis=1), 0))])
+
+    def clusters(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cluster of each widened index vector, and its angle to the centre (0 in cluster 0)."""
+        cluster, angle = np.zeros(len(x), np.int64), np.zeros(len(x))
         if len(self.centres):
-            cosine = x @ (self.centres / np.linalg.norm(self.centres, axis=1, keepdims=True)).T
-            cosine /= np.linalg.norm(x, axis=1, keepdims=True)
+            cosine = x @ self.units.T / np.linalg.norm(x, axis=1, keepdims=True)
             best = cosine.argmax(axis=1)
-            inside = cosine[np.arange(len(x)), best] >= self.p.cluster_cosine
+            top = cosine[np.arange(len(x)), best]
+            inside = top >= self.p.cluster_cosine
             cluster[inside] = best[inside] + 1
-            x[inside] -= self.centres[best[inside]]
+            angle[inside] = np.arccos(np.minimum(top[inside], 1.0))
+        return cluster, angle
+
+    def visits(self, x: np.ndarray) -> np.ndarray:
+        """[row, cluster]: whether a widened query must visit a cluster; no other cluster holds any of its nearest."""
+        out = np.ones((len(x), 1 + len(self.centres)), bool)
+        top = self.p.nearest + 1  # the query itself may be one of them
+        if len(self.centres) and len(self.sample) >= top:
+            for start in range(0, len(x), 256):
+                some = x[start : start + 256]
+                floor = -np.partition(-(some[:, :-1] @ self.sample.T), top - 1, axis=1)[:, top - 1]
+                angle = np.arccos(np.clip(some @ self.units.T / self.largest, -1, 1))
+                most = self.largest**2 * np.cos(np.maximum(angle - self.widest, 0))
+                out[start : start + 256, 1:] = most >= floor[:, None] - 1e-6 * self.largest**2
+        return out
+
+    def _digits(self, x: np.ndarray, cluster: np.ndarray) -> np.ndarray:
         out = np.empty((self.p.trees, len(x), 2 + self.p.digits), np.uint8)
         out[:, :, 0], out[:, :, 1] = cluster >> 8, cluster & 255
         for tree, turns in enumerate(self.turns):
@@ -114,6 +152,29 @@ class Hasher:
                 out[tree, :, 2 + digit] = 2 * axis + (y[np.arange(len(x)), axis] < 0)
         return out
 
+    def strings(self, x: np.ndarray) -> np.ndarray:
+        """[tree, row, byte] of index vectors."""
+        x = self.widened(x.astype(np.float64), False)
+        cluster, _ = self.clusters(x)
+        inside = cluster > 0
+        x[inside] -= self.centres[cluster[inside] - 1]
+        return self._digits(x, cluster)
+
+    def query_strings(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, [tree, row, byte]) for each cluster and the queries that visit it."""
+        x = self.widened(x.astype(np.float64), True)
+        visits = self.visits(x)
+        for c in range(visits.shape[1]):
+            rows = np.flatnonzero(visits[:, c])
+            if not len(rows):
+                continue
+            some = x[rows]
+            if c:
+                # Where in the cluster the largest inner products are expected, given how its members spread.
+                plane = self.planes[c - 1]
+                some = some + some @ plane @ (self.spreads[c - 1] - np.eye(2)) @ plane.T
+            yield rows, self._digits(some, np.full(len(rows), c))
+
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     body, bounds = text_buffers(column)
@@ -125,7 +186,10 @@ PREFIX = ("tree", "first")
 
 
 def hashed(vectors: DataFrame, hasher, query: bool) -> DataFrame:
-    """A row per vector (rep, vector) and tree, with the first three bytes of its string as ``first``."""
+    """A row per vector (rep, vector) and tree, with the first three bytes of its string as ``first``.
+
+    A query has such rows for each cluster it visits.
+    """
     schema = arrow_schema(HASHED)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,86 +198,35 @@ def hashed(vectors: DataFrame, hasher, query: bool) -> DataFrame:
                 continue
             x = np.array(batch.column(1).to_pylist(), np.float64)
             raw = pa.array([v.tobytes() for v in x], pa.binary())
-            for tree, rows in enumerate(hasher.value.strings(x, query)):
-                names = pa.array([r.tobytes() for r in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), tree, np.int32)), names, batch.column(0), raw], schema=schema)
+            parts = hasher.value.query_strings(x) if query else [(np.arange(len(x)), hasher.value.strings(x))]
+            for which, strings in parts:
+                take = pa.array(which)
+                reps, bodies = batch.column(0).take(take), raw.take(take)
+                for tree, rows in enumerate(strings):
+                    names = pa.array([r.tobytes() for r in rows], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(which), tree, np.int32)), names, reps, bodies], schema=schema)
 
     rows = vectors.select("rep", "vector").mapInArrow(work, HASHED)
     return rows.withColumn("first", F.substring("hash", 1, 3))
 
 
-def _dealt(index: DataFrame, asked: DataFrame, sizes: DataFrame, p: Forest) -> DataFrame:
-    """Index and query rows of each block together, index rows first, strings in order.
-
-    ``index``: tree, first, hash, rep, vector; ``asked``: tree, first, blocks, hash, rep, vector, level.
-    """
-    keys = ["tree", "first", "block"]
-    own = index.join(sizes, list(PREFIX)).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    own = own.select(*keys, F.lit(0).alias("kind"), "hash", "rep", "vector", F.lit(0).alias("level"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asked = asked.select(*keys, F.lit(1).alias("kind"), "hash", "rep", "vector", "level")
-    return own.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys, "kind", "hash")
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.RecordBatch]]:
-    """(index rows, some of the queries) of each block; queries are not held."""
-    held: list[pa.RecordBatch] = []
-    table, last = None, None
-    for batch in batches:
-        keys = list(zip(*(batch.column(i).to_pylist() for i in range(4))))
-        start = 0
-        for i in range(1, len(keys) + 1):
-            if i < len(keys) and keys[i] == keys[start]:
-                continue
-            *block, kind = keys[start]
-            if block != last:
-                held, table, last = [], None, block
-            part = batch.slice(start, i - start)
-            if kind == 0:
-                held.append(part)
-                table = None
-            elif held:
-                table = table if table is not None else pa.Table.from_batches(held).combine_chunks()
-                yield table, part
-            start = i
-
-
-def _ranges(strings: np.ndarray, asked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the sorted strings begin with the first ``length`` bytes of each asked string."""
-    cut = np.ascontiguousarray(strings[:, :length]).view(f"S{length}").ravel() if length else None
-    if cut is None:
-        return np.zeros(len(asked), np.int64), np.full(len(asked), len(strings), np.int64)
-    # Comparison as padded byte strings keeps their order, as symbols are shifted off zero below.
-    wanted = np.ascontiguousarray(asked[:, :length]).view(f"S{length}").ravel()
-    return np.searchsorted(cut, wanted, "left"), np.searchsorted(cut, wanted, "right")
-
-
-def _strings(column) -> np.ndarray:
-    body, bounds = text_buffers(column)
-    n = len(bounds) - 1
-    # Zero bytes at the end of a fixed-width string would be dropped: no symbol is zero here.
-    return (body[bounds[0] : bounds[-1]].reshape(n, -1).astype(np.uint16) + 1).astype(np.uint8)
-
-
-def count_prefixes(index: DataFrame, asked: DataFrame, sizes: DataFrame, p: Forest) -> DataFrame:
-    """(rep, counts): vectors under each longer prefix of a query, from one digit to all, in all trees."""
-    ddl = "rep long, " + ", ".join(f"c{d} long" for d in range(1, p.digits + 1))
+def widest_angles(vectors: DataFrame, hasher, count: int) -> np.ndarray:
+    """Of each of the ``count`` clusters, the widest angle of a member to the centre."""
+    ddl = "cluster long, angle double"
     schema = arrow_schema(ddl)
-    empty = F.lit(b"")
-    index = index.select("tree", "first", "hash", "rep", empty.alias("vector"))
-    asked = asked.join(sizes, list(PREFIX)).withColumn("vector", empty).withColumn("level", F.lit(0))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, queries in _blocks(batches):
-            strings, wanted = _strings(table.column("hash")), _strings(queries.column(4))
-            counts = []
-            for digit in range(1, p.digits + 1):
-                low, high = _ranges(strings, wanted, 2 + digit)
-                counts.append(pa.array(high - low))
-            yield pa.RecordBatch.from_arrays([queries.column(5), *counts], schema=schema)
+        widest = np.zeros(count + 1)
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array(batch.column(0).to_pylist(), np.float64)
+                np.maximum.at(widest, *hasher.value.clusters(hasher.value.widened(x, False)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(count + 1)), pa.array(widest)], schema=schema)
 
-    rows = _dealt(index, asked, sizes, p).mapInArrow(work, ddl)
-    return rows.groupBy("rep").agg(*(F.sum(f"c{d}").alias(f"c{d}") for d in range(1, p.digits + 1)))
+    out = np.zeros(count + 1)
+    for r in vectors.select("vector").mapInArrow(work, ddl).groupBy("cluster").agg(F.max("angle").alias("angle")).collect():
+        out[r["cluster"]] = r["angle"]
+    return out[1:]
 
 
 FOUND = "rep long, other long, score double"
@@ -289,36 +302,34 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, p: Forest = Fores
     share = min(1.0, p.sample / max(1, count))
     picked = reps.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     sample = np.array([r["vector"] for r in picked.orderBy("rep").select("vector").collect()], np.float64).reshape(-1, size)
-    hasher = Hasher(np.empty((0, size + 1)), float(largest or 0.0), p)
+    hasher = Hasher(np.empty((0, size + 1)), float(largest or 0.0), p, sample)
     if len(sample):
-        hasher = Hasher(find_clusters(hasher.widened(sample, False), p), float(largest), p)
+        hasher = Hasher(find_clusters(hasher.widened(sample, False), p), float(largest), p, sample)
     shared = spark.sparkContext.broadcast(hasher)
+    if len(hasher.centres):
+        hasher.widest = widest_angles(reps, shared, len(hasher.centres))
+        shared = spark.sparkContext.broadcast(hasher)
 
     index = stored(hashed(reps, shared, query=False), "index")
-    wanted = asking.select("rep").distinct().join(reps.select("rep", "vector"), "rep")
-    wanted = stored(hashed(wanted, shared, query=True), "asked")
+    asking_reps = asking.select("rep").distinct().join(reps.select("rep", "vector"), "rep")
+    wanted = stored(hashed(asking_reps, shared, query=True), "asked")
     sizes = index.groupBy(*PREFIX).agg(F.count(F.lit(1)).alias("members"))
     sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("members") / p.block).cast("int")), "sizes")
     blocks = sizes.select(*PREFIX, "blocks")
 
-    counts = count_prefixes(index, wanted, blocks, p)
-    cluster = F.substring("first", 1, 2)
-    clusters = sizes.where("tree = 0").groupBy(cluster.alias("cluster")).agg(F.sum("members").alias("c0"))
-    level = wanted.where("tree = 0").select("rep", cluster.alias("cluster")).join(clusters, "cluster", "left").join(counts, "rep", "left")
-    enough = F.lit(-1)
-    for d in range(p.digits + 1):
-        held = F.coalesce(F.col(f"c{d}") * (p.trees if d == 0 else 1), F.lit(0))
-        enough = F.when(held >= p.candidates, F.lit(d)).otherwise(enough)
-    level = stored(level.select("rep", enough.alias("level")), "levels")
-
-    asked = wanted.join(level, "rep")
-    deep = asked.where("level >= 1").join(blocks, list(PREFIX))
-    one = asked.where("tree = 0").drop("tree", "first").withColumn("cluster", F.substring("hash", 1, 2))
-    flat = blocks.where("tree = 0").withColumn("cluster", cluster)
-    whole = one.where("level = 0").join(flat, "cluster").drop("cluster")
-    # The few queries that no cluster serves see all blocks of one tree.
-    every = one.where("level < 0").drop("cluster").withColumn("tree", F.lit(0)).join(flat.drop("cluster"), "tree")
-    sent = deep.unionByName(whole).unionByName(every)
+    counts = stored(count_prefixes(index, wanted, blocks, p), "counts")
+    cluster = F.substring("hash", 1, 2)
+    wanted = wanted.withColumn("cluster", cluster)
+    enough = F.lit(0)
+    for d in range(1, p.digits + 1):
+        enough = F.when(F.col(f"c{d}") >= p.candidates, F.lit(d)).otherwise(enough)
+    # Where no first digit is shared there are no counts: the whole cluster is taken.
+    level = counts.select("rep", "cluster", enough.alias("level"))
+    asked = wanted.join(level, ["rep", "cluster"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    deep = asked.where("level >= 1").drop("cluster").join(blocks, list(PREFIX))
+    flat = blocks.where("tree = 0").withColumn("cluster", F.substring("first", 1, 2))
+    whole = asked.where("level = 0 and tree = 0").drop("tree", "first").join(flat, "cluster").drop("cluster")
+    sent = deep.unionByName(whole)
     found = score_blocks(index, sent, blocks, size, p)
 
     best = F.expr("dense_rank() over (partition by rep order by score desc, other)")

@@ -177,6 +177,40 @@ def test_few_vectors_are_all_found(spark):
     assert hash_forest.nearest_neighbours(table.limit(0), table.limit(0)).collect() == []
 
 
+def found_share(spark, x, asked, p):
+    """Recall of each asked id against brute force."""
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in hash_forest.nearest_neighbours(table, table.where(F.col("vec_id").isin(asked)), p).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    ids = np.arange(len(x))
+    return np.array([len({i for i, _ in exact(x, ids, q, p.nearest)} & got[q]) / p.nearest for q in asked])
+
+
+def test_queries_at_the_edge_of_a_cluster_see_both_sides(spark):
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(rng.normal(size=(3000, 24)))
+    centre = unit(rng.normal(size=24))
+    away = rng.normal(size=(3000, 24))
+    away = unit(away - np.outer(away @ centre, centre))
+    cosine = np.concatenate([rng.uniform(0.9, 1.0, 1500), rng.uniform(0.7, 0.9, 1500)])
+    x = np.concatenate([x, cosine[:, None] * centre + np.sqrt(1 - cosine**2)[:, None] * away])
+    p = hash_forest.Forest(trees=8, axes=6, candidates=600, block=512, nearest=10)
+    asked = [i + 3000 for i in np.flatnonzero((cosine > 0.74) & (cosine < 0.84))[::6].tolist()]
+    share = found_share(spark, x, asked, p)
+    assert share.mean() >= 0.93 and share.min() >= 0.5
+
+
+def test_clusters_of_short_vectors_are_found(spark):
+    rng = np.random.default_rng(6)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = np.concatenate([unit(rng.normal(size=(2500, 24))), 0.6 * unit(unit(rng.normal(size=24)) + 0.08 * rng.normal(size=(1500, 24)))])
+    p = hash_forest.Forest(trees=8, axes=6, candidates=600, block=512, nearest=10)
+    share = found_share(spark, x, list(range(2500, 4000, 25)), p)
+    assert share.mean() >= 0.93 and share.min() >= 0.5
+
+
 # --- pipeline --------------------------------------------------------------------
 
 
