@@ -10,6 +10,10 @@ and then ascends in all trees at once, one symbol at a time, until the trees tog
 vectors under its prefixes; past the last symbol it takes the whole cluster. All candidates are
 scored exactly.
 
+How many are enough is measured: a bounded number of the queries are scored against all vectors,
+and the candidates are raised from ``candidates`` until these find the share ``recall`` of their
+nearest, if need be up to whole clusters. So the depth does not shrink as the table grows.
+
 A sorted array is dealt to blocks of at most about ``block`` vectors by the first two symbols and
 a hash of the id, so a common prefix is many blocks. Queries go to the blocks their prefix needs.
 Candidates are scored where they lie; only the best of each block are sent on. Exact copies are
@@ -35,7 +39,11 @@ class Forest:
     trees: int = 20
     digits: int = 4
     axes: int = 12
+    #: The fewest candidates of a query and cluster, copies in several trees counted; raised to reach ``recall``.
     candidates: int = 16_000
+    recall: float = 0.95
+    #: Queries that are scored against all vectors to measure recall, at most about this many.
+    probes: int = 256
     nearest: int = 20
     block: int = 4_096
     #: Clusters are looked for in at most about this many distinct vectors.
@@ -229,6 +237,149 @@ def widest_angles(vectors: DataFrame, hasher, count: int) -> np.ndarray:
     return out[1:]
 
 
+def probe_matches(vectors: DataFrame, probes: list, hasher: Hasher) -> list[tuple[int, int, int]]:
+    """(rep, cluster, digits) for the nearest of each probe among all vectors.
+
+    ``cluster`` is that of the neighbour, ``digits`` its longest common prefix with the probe in any tree;
+    -1 where the probe does not visit the cluster.
+    """
+    p = hasher.p
+    ddl = "rep long, other long, score double"
+    schema = arrow_schema(ddl)
+    ids = np.array([r["rep"] for r in probes], np.int64)
+    queries = np.array([r["vector"] for r in probes], np.float64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, others = np.full((len(ids), p.nearest), -np.inf), np.zeros((len(ids), p.nearest), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            reps, x = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), np.float64)
+            scores = queries @ x.T
+            scores[ids[:, None] == reps[None, :]] = -np.inf
+            scores = np.concatenate([best, scores], axis=1)
+            names = np.concatenate([others, np.broadcast_to(reps, (len(ids), len(reps)))], axis=1)
+            top = np.argpartition(-scores, p.nearest - 1, axis=1)[:, : p.nearest]
+            best, others = np.take_along_axis(scores, top, axis=1), np.take_along_axis(names, top, axis=1)
+        row, col = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(others[row, col]), pa.array(best[row, col])], schema=schema)
+
+    found = vectors.select("rep", "vector").mapInArrow(work, ddl)
+    order = F.expr("row_number() over (partition by rep order by score desc, other)")
+    found = found.withColumn("place", order).where(F.col("place") <= p.nearest)
+    near = found.select("rep", "other").join(vectors.select(F.col("rep").alias("other"), "vector"), "other").collect()
+    if not near:
+        return []
+    asked = {}
+    for rows, strings in hasher.query_strings(queries):
+        cluster = int.from_bytes(strings[0, 0, :2].tobytes(), "big")
+        asked.update({(int(ids[r]), cluster): strings[:, k, 2:] for k, r in enumerate(rows)})
+    out = []
+    every = hasher.strings(np.array([r["vector"] for r in near], np.float64))
+    for k, r in enumerate(near):
+        cluster = int.from_bytes(every[0, k, :2].tobytes(), "big")
+        wanted = asked.get((r["rep"], cluster))
+        digits = -1 if wanted is None else int(np.cumprod(every[:, k, 2:] == wanted, axis=1).sum(axis=1).max())
+        out.append((r["rep"], cluster, digits))
+    return out
+
+
+def enough_candidates(matches: list, counts: dict, p: Forest) -> float:
+    """The fewest candidates, from ``p.candidates`` in doublings, with which the probes find the share ``recall``.
+
+    ``counts``: by (rep, cluster), vectors under each longer prefix. Two standard errors are left as a margin.
+    Infinity stands for whole clusters.
+    """
+    needed = float(p.candidates)
+    most = max((c[0] for c in counts.values()), default=0)
+    while needed <= most:
+        found: dict[int, list[bool]] = {}
+        for rep, cluster, digits in matches:
+            held = counts.get((rep, cluster), ())
+            level = max((d for d, c in enumerate(held, 1) if c >= needed), default=0)
+            found.setdefault(rep, []).append(digits >= level)
+        share = np.array([np.mean(f) for f in found.values()])
+        if not len(share) or share.mean() - 2 * share.std() / np.sqrt(len(share)) >= p.recall:
+            return needed
+        needed *= 2
+    return float("inf") if most >= p.candidates else needed
+
+
+def _dealt(index: DataFrame, asked: DataFrame, sizes: DataFrame, p: Forest) -> DataFrame:
+    """Index and query rows of each block together, index rows first, strings in order.
+
+    ``index``: tree, first, hash, rep, vector; ``asked``: tree, first, blocks, hash, rep, vector, level.
+    """
+    keys = ["tree", "first", "block"]
+    own = index.join(sizes, list(PREFIX)).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    own = own.select(*keys, F.lit(0).alias("kind"), "hash", "rep", "vector", F.lit(0).alias("level"))
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = asked.select(*keys, F.lit(1).alias("kind"), "hash", "rep", "vector", "level")
+    return own.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys, "kind", "hash")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.RecordBatch]]:
+    """(index rows, some of the queries) of each block; queries are not held."""
+    held: list[pa.RecordBatch] = []
+    table, last = None, None
+    for batch in batches:
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(4))))
+        start = 0
+        for i in range(1, len(keys) + 1):
+            if i < len(keys) and keys[i] == keys[start]:
+                continue
+            *block, kind = keys[start]
+            if block != last:
+                held, table, last = [], None, block
+            part = batch.slice(start, i - start)
+            if kind == 0:
+                held.append(part)
+                table = None
+            elif held:
+                table = table if table is not None else pa.Table.from_batches(held).combine_chunks()
+                yield table, part
+            start = i
+
+
+def _ranges(strings: np.ndarray, asked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the sorted strings begin with the first ``length`` bytes of each asked string."""
+    cut = np.ascontiguousarray(strings[:, :length]).view(f"S{length}").ravel() if length else None
+    if cut is None:
+        return np.zeros(len(asked), np.int64), np.full(len(asked), len(strings), np.int64)
+    # Comparison as padded byte strings keeps their order, as symbols are shifted off zero below.
+    wanted = np.ascontiguousarray(asked[:, :length]).view(f"S{length}").ravel()
+    return np.searchsorted(cut, wanted, "left"), np.searchsorted(cut, wanted, "right")
+
+
+def _strings(column) -> np.ndarray:
+    body, bounds = text_buffers(column)
+    n = len(bounds) - 1
+    # Zero bytes at the end of a fixed-width string would be dropped: no symbol is zero here.
+    return (body[bounds[0] : bounds[-1]].reshape(n, -1).astype(np.uint16) + 1).astype(np.uint8)
+
+
+def count_prefixes(index: DataFrame, asked: DataFrame, sizes: DataFrame, p: Forest) -> DataFrame:
+    """(rep, cluster, counts): vectors under each longer prefix of a query, from one digit to all, in all trees."""
+    ddl = "rep long, cluster binary, " + ", ".join(f"c{d} long" for d in range(1, p.digits + 1))
+    schema = arrow_schema(ddl)
+    empty = F.lit(b"")
+    index = index.select("tree", "first", "hash", "rep", empty.alias("vector"))
+    asked = asked.join(sizes, list(PREFIX)).withColumn("vector", empty).withColumn("level", F.lit(0))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, queries in _blocks(batches):
+            strings, wanted = _strings(table.column("hash")), _strings(queries.column(4))
+            counts = []
+            names = pa.array([h[:2] for h in queries.column(4).to_pylist()], pa.binary())
+            for digit in range(1, p.digits + 1):
+                low, high = _ranges(strings, wanted, 2 + digit)
+                counts.append(pa.array(high - low))
+            yield pa.RecordBatch.from_arrays([queries.column(5), names, *counts], schema=schema)
+
+    rows = _dealt(index, asked, sizes, p).mapInArrow(work, ddl)
+    return rows.groupBy("rep", "cluster").agg(*(F.sum(f"c{d}").alias(f"c{d}") for d in range(1, p.digits + 1)))
+
+
 FOUND = "rep long, other long, score double"
 
 
@@ -318,11 +469,19 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, p: Forest = Fores
     blocks = sizes.select(*PREFIX, "blocks")
 
     counts = stored(count_prefixes(index, wanted, blocks, p), "counts")
+    probes = asking_reps.orderBy(F.xxhash64("rep", F.lit(p.seed)), "rep").limit(p.probes).collect()
+    needed = float(p.candidates)
+    if probes:
+        matches = probe_matches(reps, probes, hasher)
+        held = counts.where(F.col("rep").isin([r["rep"] for r in probes])).collect()
+        held = {(r["rep"], int.from_bytes(r["cluster"], "big")): tuple(r[f"c{d}"] for d in range(1, p.digits + 1)) for r in held}
+        needed = enough_candidates(matches, held, p)
+
     cluster = F.substring("hash", 1, 2)
     wanted = wanted.withColumn("cluster", cluster)
     enough = F.lit(0)
     for d in range(1, p.digits + 1):
-        enough = F.when(F.col(f"c{d}") >= p.candidates, F.lit(d)).otherwise(enough)
+        enough = F.when(F.col(f"c{d}") >= F.lit(needed), F.lit(d)).otherwise(enough)
     # Where no first digit is shared there are no counts: the whole cluster is taken.
     level = counts.select("rep", "cluster", enough.alias("level"))
     asked = wanted.join(level, ["rep", "cluster"], "left").withColumn("level", F.coalesce("level", F.lit(0)))

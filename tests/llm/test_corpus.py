@@ -187,6 +187,14 @@ def found_share(spark, x, asked, p):
     return np.array([len({i for i, _ in exact(x, ids, q, p.nearest)} & got[q]) / p.nearest for q in asked])
 
 
+def test_recall_does_not_fall_where_a_digit_holds_enough(spark):
+    # Twice as many vectors as let two digits of all trees hold the fewest candidates.
+    x = np.random.default_rng(4).normal(size=(6000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    p = hash_forest.Forest(trees=8, axes=6, candidates=150, block=512, nearest=10)
+    assert found_share(spark, x, list(range(0, 6000, 60)), p).mean() >= 0.93
+
+
 def test_queries_at_the_edge_of_a_cluster_see_both_sides(spark):
     rng = np.random.default_rng(5)
     unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
