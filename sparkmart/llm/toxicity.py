@@ -13,7 +13,8 @@ have not seen the document (each half of the labelled rows is scored by the othe
 
 All labelled rows that may be learned from are counted. Only the curve's four numbers are
 fitted on a sample of at most about ``calibration_rows``. The models are sent to the workers as
-tables of ``slots`` entries, whatever the corpus: spellings that share an entry are averaged.
+tables of exact spellings, one entry for each that was counted: what was seen, what was not and
+what only shares a context are never confused, and the tables grow with the distinct spellings.
 """
 
 from __future__ import annotations
@@ -38,7 +39,6 @@ COUNTS = ("ta", "tb", "oa", "ob")
 @dataclass(frozen=True)
 class Toxicity:
     discount: float = 0.75
-    slots: int = 2_097_143
     calibration_rows: int = 20_000
     threshold: float = 0.7
 
@@ -122,14 +122,14 @@ def shared_backoff(grams: DataFrame, discount: float) -> DataFrame:
 MODELS = {"all": ("{c}a + {c}b"), "a": "{c}a", "b": "{c}b"}
 
 
-def ratios(grams: DataFrame, discount: float, slots: int) -> tuple[DataFrame, DataFrame]:
-    """Log-likelihood ratios toxic to ordinary by slot: of seen grams, and of unseen grams by context."""
+def ratios(grams: DataFrame, discount: float) -> tuple[DataFrame, DataFrame]:
+    """Log-likelihood ratios toxic to ordinary by code: of seen grams, and of unseen grams by context."""
     context = F.shiftright("code", 8).alias("context")
     rows = grams.select("code", *COUNTS, context, _last(F.col("code"), ORDER - 1).alias("shorter"))
     count = {(m, k): F.expr(f.format(c=k)) for m, f in MODELS.items() for k in "to"}
     sums = [F.sum(c).alias(f"total_{m}_{k}") for (m, k), c in count.items()]
     kinds = [F.count(F.when(c > 0, 1)).alias(f"kinds_{m}_{k}") for (m, k), c in count.items()]
-    by_context = rows.groupBy("context").agg(F.count(F.lit(1)).alias("w"), *sums, *kinds)
+    by_context = rows.groupBy("context").agg(*sums, *kinds)
 
     def left(m: str, k: str):
         total = F.col(f"total_{m}_{k}")
@@ -140,30 +140,72 @@ def ratios(grams: DataFrame, discount: float, slots: int) -> tuple[DataFrame, Da
         return held + left(m, k) * F.col("p")
 
     lower = shared_backoff(grams, discount).withColumnRenamed("code", "shorter")
-    seen = rows.join(by_context.drop("w"), "context").join(lower, "shorter")
-    weight = F.expr("ta + tb + oa + ob").alias("w")
-    seen = seen.select((F.col("code") % slots).alias("slot"), weight, *(F.log(p(m, "t") / p(m, "o")).alias(m) for m in MODELS))
-    unseen = by_context.select((F.col("context") % slots).alias("slot"), "w", *(F.log(left(m, "t") / left(m, "o")).alias(m) for m in MODELS))
+    seen = rows.join(by_context, "context").join(lower, "shorter")
+    seen = seen.select("code", *(F.log(p(m, "t") / p(m, "o")).cast("float").alias(m) for m in MODELS))
+    unseen = by_context.select(F.col("context").alias("code"), *(F.log(left(m, "t") / left(m, "o")).cast("float").alias(m) for m in MODELS))
+    return seen, unseen
 
-    def by_slot(rows: DataFrame) -> DataFrame:
-        mean = [(F.sum(F.col(m) * F.col("w")) / F.sum("w")).cast("float").alias(m) for m in MODELS]
-        return rows.groupBy("slot").agg(*mean).select(F.col("slot").cast("int"), *MODELS)
 
-    return by_slot(seen), by_slot(unseen)
+#: No gram has this code: codes have five bytes.
+EMPTY = np.uint64(2**64 - 1)
 
 
-def word_ratios(piece: np.ndarray, seen: np.ndarray, unseen: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Table:
+    """Exact codes with open addressing: a code lies at its home or behind it, before the next empty place."""
+
+    codes: np.ndarray
+    values: np.ndarray
+    bits: int
+
+    @staticmethod
+    def homes(codes: np.ndarray, bits: int) -> np.ndarray:
+        return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    @classmethod
+    def of(cls, codes: np.ndarray, values: list[np.ndarray]) -> list[Table]:
+        """A table for each array of values, all with the same codes."""
+        bits = max(1, int(1.5 * len(codes)).bit_length())
+        home = cls.homes(codes, bits)
+        order = np.argsort(home, kind="stable")
+        step = np.arange(len(codes))
+        at = np.maximum.accumulate(home[order] - step) + step
+        # One empty place at the end, so every search stops.
+        size = max(1 << bits, int(at[-1]) + 1 if len(at) else 0) + 1
+        held = np.full(size, EMPTY, np.uint64)
+        held[at] = codes[order]
+        out = []
+        for v in values:
+            placed = np.full(size, np.nan, np.float32)
+            placed[at] = v[order]
+            out.append(cls(held, placed, bits))
+        return out
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The value of each code, nan where it is not held."""
+        out = np.full(len(codes), np.nan, np.float32)
+        at, left = self.homes(codes, self.bits), np.arange(len(codes))
+        while len(left):
+            there = self.codes[at]
+            hit = there == codes[left]
+            out[left[hit]] = self.values[at[hit]]
+            more = ~hit & (there != EMPTY)
+            at, left = at[more] + 1, left[more]
+        return out
+
+
+def word_ratios(piece: np.ndarray, seen: Table, unseen: Table) -> np.ndarray:
     codes, first = byte_grams(piece, ORDER)
     if not len(codes):
         return np.empty(0, np.float32)
-    slots = np.uint64(len(seen))
-    ratio = seen[(codes % slots).astype(np.int64)]
+    ratio = seen.find(codes)
     new = np.flatnonzero(np.isnan(ratio))
-    ratio[new] = unseen[((codes[new] >> np.uint64(8)) % slots).astype(np.int64)]
+    # A context that was never seen is left to the shared backoff alone, which is the same in both classes.
+    ratio[new] = np.nan_to_num(unseen.find(codes[new] >> np.uint64(8)), nan=0.0)
     return np.add.reduceat(ratio, first)
 
 
-def features(body: np.ndarray, start: int, end: int, seen: np.ndarray, unseen: np.ndarray) -> tuple[float, float, float]:
+def features(body: np.ndarray, start: int, end: int, seen: Table, unseen: Table) -> tuple[float, float, float]:
     """Mean ratio over all words, over the five highest, and the highest; zeros without words."""
     total, words, top = 0.0, 0, np.empty(0, np.float32)
     for piece in text_pieces(body, start, end):
@@ -178,13 +220,9 @@ def features(body: np.ndarray, start: int, end: int, seen: np.ndarray, unseen: n
     return total / words, float(top.sum()) / TOP, float(top[-1])
 
 
-def _tables(rows: list, slots: int, fill: float) -> np.ndarray:
-    out = np.full((len(MODELS), slots), fill, np.float32)
-    table = rows
-    at = table.column("slot").to_numpy()
-    for i, m in enumerate(MODELS):
-        out[i, at] = table.column(m).to_numpy()
-    return out
+def _tables(rows: pa.Table) -> list[Table]:
+    codes = rows.column("code").to_numpy().view(np.uint64)
+    return Table.of(codes, [rows.column(m).to_numpy() for m in MODELS])
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,8 +276,8 @@ def learn(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
         return Model(None, None, toxic / total if total else 0.0)
 
     grams = stored(count_grams(taught), "grams")
-    seen, unseen = (t.toArrow() for t in ratios(grams, p.discount, p.slots))
-    seen, unseen = _tables(seen, p.slots, np.nan), _tables(unseen, p.slots, 0.0)
+    seen, unseen = (t.toArrow() for t in ratios(grams, p.discount))
+    seen, unseen = _tables(seen), _tables(unseen)
     halves = spark.sparkContext.broadcast((seen[1:], unseen[1:]))
     tables = spark.sparkContext.broadcast((seen[0], unseen[0]))
     share = min(1.0, p.calibration_rows / total)

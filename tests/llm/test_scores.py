@@ -94,6 +94,31 @@ def test_kneser_ney_by_hand(spark):
     assert p[ab] == pytest.approx(0.125 + 0.75 * order_3[ab])
 
 
+def test_every_gram_keeps_its_own_ratio():
+    # More grams than any table of a fixed size that the models ever had.
+    codes = np.random.default_rng(1).choice(2**40, 2_400_000).astype(np.uint64)
+    codes = np.unique(codes | np.uint64(1))
+    values = np.arange(len(codes), dtype=np.float32)
+    (table,) = toxicity.Table.of(codes, [values])
+    assert (table.find(codes) == values).all()
+    assert np.isnan(table.find(codes - np.uint64(1))).all()
+    (none,) = toxicity.Table.of(codes[:0], [values[:0]])
+    assert np.isnan(none.find(codes[:9])).all()
+
+
+def test_unseen_grams_take_the_backoff_of_their_context(spark):
+    rows = spark.createDataFrame([("ab ab", 0), ("ab ac", 2), ("ac", 3)], "text string, `group` int")
+    seen, unseen = (toxicity._tables(t.toArrow()) for t in toxicity.ratios(toxicity.count_grams(rows), 0.75))
+    a, ab, ad = ord("a"), (ord("a") << 8) | ord("b"), (ord("a") << 8) | ord("d")
+    word = lambda w: float(toxicity.word_ratios(np.frombuffer(w, np.uint8), seen[0], unseen[0])[0])
+    codes = lambda *c: np.array(c, np.uint64)
+    first, second, other = seen[0].find(codes(a, ab, ad)).tolist()
+    assert np.isnan(other) and word(b"ab") == pytest.approx(first + second)
+    assert word(b"ad") == pytest.approx(first + float(unseen[0].find(codes(a))[0]))
+    # b never begins a word: only the empty context is known; after it nothing is.
+    assert word(b"bz") == pytest.approx(float(unseen[0].find(codes(0))[0]))
+
+
 def test_language_on_held_out_rows(spark, data):
     docs, _ = data
     out = {r["doc_id"]: r for r in language.identify_languages(docs).collect() if r["doc_id"] is not None}
