@@ -7,10 +7,13 @@ Parquet to the shared work folder and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import stored
+from sparkmart.llm.common import stored, text_of
 from sparkmart.llm.exact_dedup import exact_duplicates
 from sparkmart.llm.mixing import mix_documents
 from sparkmart.llm.near_dedup import NearDedup, near_duplicates
@@ -19,9 +22,14 @@ from sparkmart.llm.queries import MIXTURE, mixture_columns, tokenizer_path
 from sparkmart.llm.toxicity import keep_ordinary
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``dropped``; rows without an id stay."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def digest() -> Column:
+    """What ``exact_duplicates`` calls text_sha256."""
+    return F.sha2(text_of(F.col("text")).cast("binary"), 256)
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    """Equal in all keys; nulls are equal."""
+    return reduce(and_, (a[k].eqNullSafe(b[k]) for k in keys))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +37,38 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_duplicates(docs).where(~F.col("kept")))
+    """One row per text. Rows are told apart by id and text; of rows alike in both, the least in the other columns stays."""
+    keys = ["__id", "__digest"]
+    marks = exact_duplicates(docs).groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
+    marks = stored(marks.agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "exact-marks")
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__digest", digest())
+    # Copies are folded before any shuffle, so a text repeated under one id is no hot key.
+    again = marks.where("kept and n > 1").select(*keys)
+    rest = [c for c in docs.columns if c != "text"]
+    repeated = keyed.join(again, _same(keyed, again, keys), "left_semi")
+    one = repeated.groupBy(*keys).agg(F.min(F.struct(*rest, F.col("text"))).alias("__row")).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    gone = marks.where("not kept or n > 1").select(*keys)
+    return keyed.join(gone, _same(keyed, gone, keys), "left_anti").select(*docs.columns).unionByName(one)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_duplicates(docs, NearDedup()).where(~F.col("kept")))
+    """One row per group of near copies, that of the smallest id.
+
+    Rows without an id, and all but one of the rows of a repeated id, get a number behind all ids,
+    so that every row is linked, and dropped, by its own text.
+    """
+    keys = ["__id", "__digest"]
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__digest", digest())
+    pairs = stored(keyed.select(*keys).distinct(), "near-rows")
+    first = pairs.where("__id is not null").groupBy("__id").agg(F.min("__digest").alias("__digest"), F.count(F.lit(1)).alias("n"))
+    more = first.where("n > 1").select("__id")
+    odd = pairs.join(more, "__id").join(first.select(*keys), keys, "left_anti").unionByName(pairs.where("__id is null"))
+    top = pairs.agg(F.coalesce(F.max("__id"), F.lit(0)).alias("top")).first()["top"]
+    odd = odd.orderBy(F.col("__id").asc_nulls_last(), "__digest").withColumn("__own", F.lit(max(0, top) + 1) + F.monotonically_increasing_id())
+    odd = stored(odd, "near-numbers")
+    numbered = keyed.join(odd, _same(keyed, odd, keys), "left").select(*(docs[c] for c in docs.columns), F.coalesce("__own", keyed["__id"]).alias("__row"))
+    lost = near_duplicates(numbered, NearDedup(), id_col="__row").where(~F.col("kept")).select(F.col("doc_id").alias("__row")).distinct()
+    return numbered.join(lost, "__row", "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

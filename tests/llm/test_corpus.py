@@ -261,3 +261,30 @@ def test_pipeline_stages_against_plain_python(spark, tmp_path):
     out = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in out} == set(after["mixing"])
     assert sum(r["length"] for r in out) == sum(len(ids_of(t)) for t in after["mixing"].values())
+
+
+def test_pipeline_decides_on_rows_not_ids(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    rows = [
+        (5, a, "x"), (5, b, "x"), (9, b, "x"),  # the unique text a of id 5 stays, b stays with id 9
+        (None, b, "x"), (None, c, "x"), (None, c, "y"),  # copies without an id go; one c stays
+        (7, d, "y"), (7, d, "x"), (7, d, "x"),  # id and text repeated: one stays
+        (11, e, "x"), (11, f, "x"), (3, f + " more", "x"),  # f is a near copy of id 3, e is not
+        (None, g, "x"), (None, g + " more", "x"), (None, e + " more", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.exact_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    exact = sorted(((r["doc_id"], r["text"], r["lang"]) for r in out.collect()), key=str)
+    assert exact == sorted([(5, a, "x"), (9, b, "x"), (None, c, "x"), (7, d, "x"), *rows[9:]], key=str)
+    out = corpus_pipeline.near_dedup(spark, out, "")
+    near = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert out.columns == docs.columns
+    for row in [(5, a), (9, b), (None, c), (7, d)]:
+        assert near.count(row) == 1
+    for one in (e, f, g):
+        assert len([t for _, t in near if t.startswith(one)]) == 1
+    assert len(near) == 7
+    assert (11, e) in near
