@@ -9,7 +9,7 @@ Steps, each over all documents:
 3. Where a bucket still holds several components, its members are compared block against
    block inside tasks, signature batch by signature batch: a pair is dropped once the
    posterior probability that its similarity reaches the threshold falls below
-   ``miss_probability``. Documents that share a bucket get ``wide`` more hashes of one byte
+   the batch's share of ``miss_probability``. Documents that share a bucket get ``wide`` more hashes of one byte
    for this, so that few pairs below the threshold are left for the texts to decide. Only pairs of different components with compatible sizes are
    looked at, each in its first common band. Blocks bound the memory of a task.
 4. Pairs that survive are verified on their full shingle sets, recomputed from the texts.
@@ -39,13 +39,15 @@ from sparkmart.llm.textbytes import chunks, doc_words, mix, shingles, text_buffe
 class NearDedup:
     """Parameters. ``similarity`` is in hundredths, so that the threshold is exact.
 
-    ``bands`` x ``rows`` hashes make a signature; a pair at the threshold s shares a band
-    with probability 1 - (1 - s^rows)^bands, 0.99999 for the defaults at s = 0.85.
+    ``bands`` x ``rows`` hashes make a signature. A pair at the threshold s shares no band with
+    probability (1 - s^rows)^bands; there are as many bands as make this ``band_miss`` at most.
+    All signature batches together drop a pair at the threshold wrongly with probability
+    ``miss_probability`` at most.
     """
 
     words: int = 5
     similarity: int = 80
-    bands: int = 24
+    band_miss: float = 1e-5
     rows: int = 6
     batch: int = 16
     wide: int = 512
@@ -53,6 +55,11 @@ class NearDedup:
     miss_probability: float = 1e-4
     block: int = 256
 
+    @property
+    def bands(self) -> int:
+        apart = 1 - (self.similarity / 100) ** self.rows
+        return max(1, math.ceil(math.log(self.band_miss) / math.log(apart))) if apart > 0 else 1
+
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
@@ -61,7 +68,7 @@ class NearDedup:
         """(from, to, fewest equal hashes so far) of each signature batch, over both signatures."""
         ends = [*range(self.batch, self.hashes, self.batch), self.hashes]
         ends += [*range(self.hashes + self.wide_batch, self.hashes + self.wide, self.wide_batch), self.hashes + self.wide]
-        least = (fewest_matches(n, self.similarity / 100, self.miss_probability) for n in ends)
+        least = (fewest_matches(n, self.similarity / 100, self.miss_probability / len(ends)) for n in ends)
         return list(zip([0, *ends], ends, least))
 
 
@@ -89,12 +96,15 @@ def fewest_matches(n: int, threshold: float, miss: float) -> int:
     P(similarity >= t) equals P(Binomial(n + 1, t) <= m). One-byte hashes also agree by
     chance, once in 256, which only makes a drop rarer.
     """
-    total = 0.0
+    if threshold >= 1:
+        return n
+    total, near, far = 0.0, math.log(threshold), math.log1p(-threshold)
     for m in range(n + 1):
-        total += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+        ways = math.lgamma(n + 2) - math.lgamma(m + 1) - math.lgamma(n + 2 - m)
+        total += math.exp(ways + m * near + (n + 1 - m) * far)
         if total >= miss:
             return m
-    return n + 1
+    return n
 
 
 FINGERPRINT = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -146,3 +147,16 @@ def test_perfect_hash_is_minimal_and_checked():
     with pytest.raises(ValueError):
         exact_dedup.PerfectHash.build(np.concatenate([digests[:2], digests[:1]]))
     assert math.isclose(len(hashed.bits) / 4000, 2.0 * 1.6, rel_tol=0.5)
+
+
+@pytest.mark.parametrize("similarity", [60, 80, 85, 100])
+def test_misses_are_bounded_at_every_threshold(similarity):
+    p = near_dedup.NearDedup(similarity=similarity)
+    s = similarity / 100
+    assert (1 - s**p.rows) ** p.bands <= 1e-5
+    assert p.bands == 1 or (1 - s**p.rows) ** (p.bands - 1) > 1e-5
+    tests = p.tests()
+    assert tests[-1][1] == p.hashes + p.wide
+    # The posterior chance of a pair that is dropped, added up over all batches.
+    dropped = [sum(float(Fraction(math.comb(n + 1, m)) * Fraction(s) ** m * Fraction(1 - s) ** (n + 1 - m)) for m in range(least)) for _, n, least in tests[:12]]
+    assert sum(dropped) <= 1e-4 * len(dropped) / len(tests)
