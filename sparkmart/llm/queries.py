@@ -23,6 +23,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no url: source stands in for the host, lang for the path."""
     docs = _table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, _table(spark, sf_dir, "labels"), host=F.col("source"), path=F.col("lang"))
 
