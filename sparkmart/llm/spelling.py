@@ -6,8 +6,10 @@ disjoint ones one survives: dynamic programming picks as pivots the two disjoint
 least count. If the last prefix bigram of a word is not behind that of its neighbour, one of its pivots stands
 in the neighbour's prefix, and what lies on one side of the two is equal: the edit is on the other side. So
 pivots are joined with prefixes by bigram and side, which fixes the position: equal left sides put the bigram
-at the same place, equal right sides at most one apart, as lengths differ by one at most. Candidates are verified
-inside the join; nothing but true neighbours leaves it. A hot bigram is spread over the sides it occurs with.
+at the same place, equal right sides at most one apart, as lengths differ by one at most. A short side is shared by
+many words; there the first or the last letters of the other side, one of which an edit spares, join the key. So a
+hot bigram is spread over all that it occurs with. Candidates are verified inside the join; nothing but true
+neighbours leaves it.
 
 Letters run over a fixed alphabet of 90 code points, so there are at most 8,100 bigrams, whatever the corpus.
 
@@ -35,6 +37,8 @@ LETTERS = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 GRAM, EDITS = 2, 1
 PREFIX = GRAM * EDITS + 1
+#: Equal sides below this length are refined by blocks of the other side, of these sizes.
+LONG_SIDE, BLOCKS = 6, (2, 4)
 #: Entries a task counts before it passes them on.
 HELD_WORDS = 200_000
 
@@ -121,11 +125,30 @@ def pivots(word: str, places: list[int], order: dict[str, tuple[int, int]], want
     return list(best[wanted][1]) if best[wanted] else places
 
 
+def _blocks(other: str) -> Iterator[str]:
+    """What two sides one edit apart have in common, one of two: their first letters or their last ones.
+
+    Blocks of h letters lie apart in a side of 2 h letters, so one edit spares one of them. Sides just
+    too short for a size also give blocks of that size, as their neighbour may be longer by one.
+    """
+    n = len(other)
+    if n < 2 * BLOCKS[0]:
+        yield ""
+    for h, upto in zip(BLOCKS, [*(2 * b for b in BLOCKS[1:]), n + 1]):
+        if 2 * h - 1 <= n < upto:
+            yield f"{h}<{other[:h]}"
+            yield f"{h}>{other[-h:]}"
+
+
 def _keys(word: str, places: list[int]) -> Iterator[int]:
-    """For each bigram: itself with all to its left, and itself with all to its right."""
+    """For each bigram: itself with all to its left, and itself with all to its right.
+
+    Where that is short, many words share it, so what must agree on the other side is added.
+    """
     for at in places:
-        yield xxhash.xxh3_64_intdigest("<" + word[: at + GRAM]) - 2**63
-        yield xxhash.xxh3_64_intdigest(">" + word[at:]) - 2**63
+        for side, same, other in (("<", word[: at + GRAM], word[at + GRAM :]), (">", word[at:], word[:at])):
+            for block in [""] if len(same) >= LONG_SIDE else _blocks(other):
+                yield xxhash.xxh3_64_intdigest(f"{side}{same} {block}") - 2**63
 
 
 INDEX = "word string, n long, last int, pivot_keys array<long>, prefix_keys array<long>"
