@@ -17,10 +17,11 @@ from sparkmart.operators.landing import (
     slice_bounds,
     source_date_range,
 )
-from sparkmart.plans.models import REVIEW_KEY
+from sparkmart.plans.models import REVIEW_KEY, store
 from sparkmart.session import work_dir
 from sparkmart.sources.csv import WRITE_OPTIONS, read_csv_by_name, read_csv_snapshot
 from sparkmart.sources.landed import read_landed
+from sparkmart.sources.paths import matching_files
 
 CUTOFF = date(2000, 12, 31)
 STEP = 60
@@ -62,6 +63,30 @@ def csv_line_scan(spark, sf_dir):
     return read_csv_snapshot(spark, f"{base}/reviews/*.csv", line_breaks=False).select(*reviews.columns)
 
 
+def csv_multiline_split(spark, sf_dir):
+    """Whole documents in two files of raw CSV with line breaks, doubled and stray quotes, each read in eight splits or more."""
+    base = work_dir(spark, "csv")
+    docs = table(spark, sf_dir, "documents")
+    quote = F.lit('"')
+    text = F.concat(quote, F.replace(F.col("text"), quote, F.lit('""')), quote)
+    note = F.concat(F.when(F.col("doc_id") % 3 == 0, F.lit('5" ')).otherwise(F.lit('"a, ""b" ')), F.coalesce("lang", F.lit("")))
+    record = F.concat_ws(",", F.col("doc_id").cast("string"), F.coalesce(text, F.lit("")), note)
+    lines = docs.select(F.pmod("doc_id", F.lit(2)).alias("file"), F.lit(1).alias("place"), record.alias("line"))
+    heads = spark.range(2).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("doc_id,text,note").alias("line"))
+    dealt = lines.unionByName(heads).repartition(2, "file").sortWithinPartitions("file", "place")
+    dealt.select("file", "line").write.partitionBy("file").text(f"{base}/raw")
+    size = sum(n for _, n in matching_files(spark, f"{base}/raw/*/*.txt"))
+    name = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(max(1024, size // 24)))
+    try:
+        scanned = read_csv_snapshot(spark, f"{base}/raw/*/*.txt")
+        scanned = store(scanned.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), "note"), f"{base}/read")
+    finally:
+        spark.conf.set(name, usual)
+    return scanned
+
+
 def partitioned_scan(spark, sf_dir):
     """Landed partitions with a column that only later ones have."""
     base = work_dir(spark, "landed")
@@ -145,6 +170,7 @@ QUERIES = {
     "csv_union_by_name": csv_union_by_name,
     "csv_snapshot_scan": csv_snapshot_scan,
     "csv_line_scan": csv_line_scan,
+    "csv_multiline_split": csv_multiline_split,
     "partitioned_scan": partitioned_scan,
     "source_date_range": source_range,
     "batch_window": batch_window,
@@ -179,6 +205,11 @@ ORACLES = {
         case when skin_type = 'O' then 'reviews_a' else 'reviews_b' end as origin
       from (select {_BLANKS} from source_reviews)""",
     "csv_snapshot_scan": _DOCUMENTS,
+    # What stands behind a closing quote belongs to the value, with the quotes as they are.
+    "csv_multiline_split": """
+      select cast(doc_id as varchar) as doc_id, md5(coalesce(text, '')) as text_md5,
+        case when doc_id % 3 = 0 then '5" ' else '"a, "b" ' end || coalesce(lang, '') as note
+      from documents""",
     "csv_line_scan": f"{_REVIEWS} select {_BLANKS} from source_reviews",
     "partitioned_scan": f"""{oracle_inputs('raw_products')}
       select * exclude (_loaded_at, store_exclusive),

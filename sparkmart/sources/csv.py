@@ -8,10 +8,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.sources.csv_splits import split_records
 from sparkmart.sources.paths import first_lines, matching_files
 
 # A quote inside a value is doubled.
@@ -56,16 +57,18 @@ def _schema(header: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in header])
 
 
-def read_csv_by_name(spark: SparkSession, pattern: str, filename: bool = True, line_breaks: bool = True) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, pattern: str, filename: bool = True, line_breaks: bool = True, one_task: bool = False) -> DataFrame:
     """All files that match ``pattern`` as text columns, aligned by column name.
 
     A column missing from a file is NULL there. ``filename`` adds the file path.
     Files with the same header share one scan, so columns never shift between
     files that order them differently.
 
-    ``line_breaks`` says whether values may hold line breaks. If so, a file is one
-    task, whatever its size. If not, files are read in splits, and a value whose
-    quote is not closed on its line raises an error. Both give the same rows.
+    ``line_breaks`` says whether values may hold line breaks. If so, the state in which
+    each split starts is found in a pass of its own; ``one_task`` reads a file in one task
+    instead, whatever its size. If not, one pass will do, and a value whose quote is not
+    closed on its line raises an error. All give the same rows, but that Spark's own reader,
+    which ``one_task`` uses, reads files of mixed line ends in its own way.
     """
     files = list_files(spark, pattern)
     with ThreadPoolExecutor(16) as pool:
@@ -73,7 +76,7 @@ def read_csv_by_name(spark: SparkSession, pattern: str, filename: bool = True, l
     groups: dict[tuple[str, ...], list[str]] = {}
     for (path, _), header in zip(files, headers):
         groups.setdefault(header, []).append(path)
-    read = _read_records if line_breaks else _read_lines
+    read = _read_records if one_task else _read_splits if line_breaks else _read_lines
     parts = []
     for header, paths in groups.items():
         part = read(spark, paths, header)
@@ -81,9 +84,9 @@ def read_csv_by_name(spark: SparkSession, pattern: str, filename: bool = True, l
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_csv_snapshot(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+def read_csv_snapshot(spark: SparkSession, path: str, line_breaks: bool = True, one_task: bool = False) -> DataFrame:
     """One CSV source as text columns."""
-    return read_csv_by_name(spark, path, filename=False, line_breaks=line_breaks)
+    return read_csv_by_name(spark, path, filename=False, line_breaks=line_breaks, one_task=one_task)
 
 
 def _read_records(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
@@ -91,13 +94,30 @@ def _read_records(spark: SparkSession, paths: list[str], header: Sequence[str])
     return rows.select(*[F.col(f"`{c}`") for c in header], F.col("_metadata.file_path").alias("filename"))
 
 
+def _parsed(record: Column, header: Sequence[str]) -> Column:
+    """Values of a record with a mark as one more; an open quote swallows the mark."""
+    columns = ", ".join("`{}` string".format(c.replace("`", "``")) for c in [*header, "_end"])
+    return F.from_csv(F.concat(record, F.lit(f",{END_MARK}")), columns, CSV_OPTIONS | {"lineSep": "\n", "multiLine": "true"})
+
+
+def _read_splits(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
+    """Each record is parsed on its own. Only the last one of a file may end within a quote; a quote alone is its own value."""
+    rows = split_records(spark, paths).select(_parsed(F.col("record"), header).alias("row"), F.col("file").alias("filename"))
+    tail = f",{END_MARK}"
+    cells = []
+    for name in header:
+        value = F.col("row").getField(name)
+        cut = F.substring(value, F.lit(1), F.length(value) - len(tail))
+        whole = F.when(value == tail, F.lit('"')).when(value.endswith(tail), cut).otherwise(value)
+        cells.append(F.when(value != END_MARK, whole).alias(name))
+    return rows.select(*cells, "filename")
+
+
 def _read_lines(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
-    """Each line is parsed with a mark as one more value; an open quote swallows the mark."""
+    """A line whose values hold the mark has an open quote."""
     lines = spark.read.schema("line string, rest string").options(header=True, sep=NO_SEPARATOR, quote="").csv(paths)
     lines = lines.select("line", "rest", F.col("_metadata.file_path").alias("filename"))
-    columns = ", ".join("`{}` string".format(c.replace("`", "``")) for c in [*header, "_end"])
-    parsed = F.from_csv(F.concat("line", F.lit(f",{END_MARK}")), columns, dict(CSV_OPTIONS))
-    rows = lines.withColumn("row", parsed)
+    rows = lines.withColumn("row", _parsed(F.col("line"), header))
     values = [F.col("row").getField(c) for c in header]
     swallowed = [F.coalesce(F.endswith(v, F.lit(f",{END_MARK}")), F.lit(False)) for v in values]
     bad = reduce(lambda a, b: a | b, swallowed, F.col("rest").isNotNull())

@@ -1,9 +1,13 @@
 import csv
 import gzip
+import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparkmart.sources.csv import read_csv_by_name, read_csv_snapshot
+from sparkmart.sources.csv_splits import Starts, _lines, ends_open, split_maps, split_records
 
 
 def write(path, header, rows, end="\n"):
@@ -33,8 +37,9 @@ TEXTS = ['say ""twice""', 'a "quote"', "comma, s", " padded ", '"', '""', "plain
 
 
 def both(spark, path):
-    rows = [sorted(map(tuple, read_csv_snapshot(spark, path, line_breaks=b).collect()), key=str) for b in (True, False)]
-    assert rows[0] == rows[1]
+    ways = ({"one_task": True}, {"line_breaks": True}, {"line_breaks": False})
+    rows = [sorted(map(tuple, read_csv_snapshot(spark, path, **way).collect()), key=str) for way in ways]
+    assert rows[0] == rows[1] == rows[2]
     return rows[0]
 
 
@@ -74,3 +79,64 @@ def test_odd_headers_survive_both_readers(spark, tmp_path):
         f.write("\ufeffa b,\n1,2\n")
     assert read_csv_snapshot(spark, f"{tmp_path}/y.csv.gz").columns == ["a b", "column1"]
     assert both(spark, f"{tmp_path}/y.csv.gz") == [("1", "2")]
+
+
+def test_the_state_map_of_a_line():
+    for line, closed, opened in [
+        ("a,b", False, True), ('a,"b', True, False), ('b",c', False, False), ('"a""', True, False), ('x" y,"z"', False, False),
+        ('"a" b,"c', True, True), ("", False, True), ('"', True, False), ('""', False, True), ('a""b,c"', False, False),
+    ]:
+        assert (ends_open(line, False), ends_open(line, True)) == (closed, opened), line
+
+
+@pytest.fixture()
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [60, 400])
+def test_splits_equal_one_task_on_any_quotes(spark, tmp_path, small_splits, end, size):
+    """Random quotes, breaks and separators: files of any form, some of them without a last line break."""
+    r = random.Random(size)
+    for k in range(8):
+        soup = ["a", "b", '"', '""', ",", " ", end, "é", '","', ' "', '" ', end + end]
+        if k % 2:
+            body = "".join(r.choice(soup) for _ in range(r.randint(1, 240)))
+        else:
+            values = [["".join(r.choice(["x", '""', ",", end, "é", " "]) for _ in range(r.choice([0, 5, 90]))) for _ in range(2)] for _ in range(20)]
+            body = end.join(f'{i},"{a}","{b}"' for i, (a, b) in enumerate(values))
+        (tmp_path / f"f{k}.csv").write_bytes(("i,a,b" + end + body + (end if k % 3 else "")).encode())
+    small_splits(size)
+    name = F.substring_index("filename", "/", -1).alias("file")
+    ways = [read_csv_by_name(spark, f"{tmp_path}/*.csv", one_task=one).select("i", "a", "b", name) for one in (True, False)]
+    one, split = (sorted(map(str, map(tuple, way.collect()))) for way in ways)
+    assert one == split and len(one) > 60
+    assert split_maps(_lines(spark, [f"{tmp_path}/*.csv"])).count() > 8
+
+
+def test_a_record_over_many_splits_and_a_header_over_two(spark, tmp_path, small_splits):
+    long = "word \n" * 400
+    (tmp_path / "x.csv").write_text(f'\n\n"i{"i" * 50}\n{"j" * 50}",text\n1,"{long}"\n2,b\n')
+    small_splits(40)
+    assert sorted(map(tuple, read_csv_snapshot(spark, f"{tmp_path}/x.csv").collect())) == [("1", long), ("2", "b")]
+
+
+def test_other_splits_in_the_second_pass_are_an_error(spark, tmp_path, small_splits):
+    (tmp_path / "x.csv").write_text("i\n" + "1234567\n" * 100)
+    small_splits(64)
+    records = split_records(spark, [f"{tmp_path}/x.csv"])
+    assert records.count() == 100
+    small_splits(96)
+    with pytest.raises(Exception, match="split differently"):
+        records.select(F.upper("record")).collect()
+
+
+def test_origins_pass_through_splits_without_a_record_end():
+    maps = [("f", 0, True, False, False), ("f", 10, False, True, False), ("f", 20, True, False, True), ("f", 30, False, False, True)]
+    rows = [dict(zip(("file", "start", "from_closed", "from_open", "ends"), m), filled=True, returns=False, bytes=10, size=40) for m in maps]
+    starts = Starts(rows[::-1])
+    assert [starts.origin("f", s) for s in (0, 10, 20, 30)] == [-1, 0, 0, -1] and starts.crossing and not starts.closing
