@@ -38,7 +38,7 @@ from sparkmart.llm.common import arrow_schema, prepare, stored, text_of
 from sparkmart.llm.textbytes import CHUNK_BYTES, NO_LETTER, text_pieces, word_spans
 
 WORD_BYTES = 64
-HELD_WORDS = 200_000
+HELD_WORDS = 100_000
 #: Levels of word counts per doubling.
 LEVELS = 8
 _PLAIN = bytes(32 if NO_LETTER[b] else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -122,29 +122,41 @@ def run_codes(crc: np.ndarray, length: np.ndarray, row: np.ndarray, shortest: in
 # --- dictionary and automaton -------------------------------------------------------
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.translate(_PLAIN) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """Plain texts one by one, so that a task never holds a batch twice."""
+    return (t.as_py().translate(_PLAIN) for t in batch.column("text").cast(pa.binary()))
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    if len(text) <= CHUNK_BYTES:
+        return iter([text])
+    return (p.tobytes() for p in _whole_words(np.frombuffer(text, np.uint8)))
 
 
 def dictionary(tables: list[DataFrame], settings: Resampling) -> list[str]:
-    """The most frequent words of all texts: whole levels of counts, from the top, as long as they fit."""
+    """The most frequent words of all texts: whole levels of counts, from the top, as long as they fit.
+
+    A task reports words it met twice or more since its last report; a word that no task met twice is
+    no candidate, so the many words that occur once are never shuffled.
+    """
     ddl = "word string, n long"
     schema = arrow_schema(ddl)
 
+    def report(total: Counter) -> pa.RecordBatch:
+        kept = [(w, n) for w, n in total.items() if n > 1 and len(w) <= WORD_BYTES]
+        words = pa.array([w for w, _ in kept], pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array([n for _, n in kept], pa.int64())], schema=schema)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-
-        def full() -> pa.RecordBatch:
-            kept = [(w, n) for w, n in total.items() if len(w) <= WORD_BYTES]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.binary()).cast(pa.string()), pa.array([n for _, n in kept], pa.int64())], schema=schema)
-
         for batch in batches:
             for text in _texts(batch):
-                total.update(text.split())
+                for piece in _pieces(text):
+                    total.update(piece.split())
                 if len(total) >= HELD_WORDS:
-                    yield full()
+                    yield report(total)
                     total.clear()
-        yield full()
+        yield report(total)
 
     parts = [t.mapInArrow(count, ddl) for t in tables]
     for part in parts[1:]:
@@ -190,25 +202,26 @@ class Scanner:
             crc[i] = zlib.crc32(plain[starts[i] : ends[i]])
         return crc, length, starts
 
-    def rows(self, texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    def rows(self, texts: Iterator[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """(first row, rows, CRCs, lengths, row of each word) for blocks of bounded size; a long text is scanned in pieces."""
-        first = 0
-        while first < len(texts):
-            last, size = first, 0
-            while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK_BYTES):
-                size += len(texts[last]) + 1
-                last += 1
-            if size > 2 * CHUNK_BYTES:
-                body = np.frombuffer(texts[first], np.uint8)
-                parts = [self.scan(b" " + p.tobytes() + b" ")[:2] for p in _whole_words(body)]
-                crc, length = (np.concatenate(x) for x in zip(*parts))
-                yield first, 1, crc, length, np.zeros(len(crc), np.int64)
-            else:
-                block = texts[first:last]
-                crc, length, starts = self.scan(b" " + b" ".join(block) + b" ")
-                begins = np.cumsum([1] + [len(t) + 1 for t in block[:-1]])
-                yield first, len(block), crc, length, np.searchsorted(begins, starts, side="right") - 1
-            first = last
+        first, block, size = 0, [], 0
+        for text in texts:
+            if block and size + len(text) > CHUNK_BYTES:
+                yield self._block(first, block)
+                first, block, size = first + len(block), [], 0
+            block.append(text)
+            size += len(text) + 1
+        if block:
+            yield self._block(first, block)
+
+    def _block(self, first: int, block: list[bytes]) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+        if len(block) == 1:
+            parts = [self.scan(b" " + p + b" ")[:2] for p in _pieces(block[0])]
+            crc, length = (np.concatenate(x) for x in zip(*parts))
+            return first, 1, crc, length, np.zeros(len(crc), np.int64)
+        crc, length, starts = self.scan(b" " + b" ".join(block) + b" ")
+        begins = np.cumsum([1] + [len(t) + 1 for t in block[:-1]])
+        return first, len(block), crc, length, np.searchsorted(begins, starts, side="right") - 1
 
 
 def _whole_words(body: np.ndarray) -> Iterator[np.ndarray]:
