@@ -16,6 +16,7 @@ from sparkmart.plans import models
 from sparkmart.plans.build import store, update_models
 from sparkmart.session import work_dir
 from sparkmart.sources.landed import read_landed
+from sparkmart.sources.paths import delete
 from sparkmart.streaming.reviews import land_stream
 
 
@@ -128,6 +129,27 @@ def fact_after_stream(spark, sf_dir):
     return lake.fact().drop("batch_id")
 
 
+def fact_by_key_directory(spark, sf_dir):
+    """Every order of arrival, with the key directory alone to find older copies.
+
+    A batch lands wrong and whole, one late, one twice under two dates, one goes away and comes
+    back; each build looks up its own keys and reads again only files that hold what now comes first.
+    """
+    lake = _Lake(spark, sf_dir)
+    wrong = lambda rows: rows.where("eye_color = 'R'").withColumn("review_title", F.lit("wrong"))
+    lake.land(REST[:1], wrong)
+    lake.land(REST[1:])
+    lake.build()
+    lake.land(FIRST)
+    lake.land(REST[:1])
+    lake.build()
+    delete(spark, f"{lake.base}/raw/load_date={FIRST[0]}")
+    lake.build()
+    lake.land(FIRST)
+    lake.build()
+    return lake.fact()
+
+
 def build_any_catalogue(spark, sf_dir):
     """Land, build, land and build again, with other names for the flag column and the bands."""
     base = work_dir(spark, "build")
@@ -152,6 +174,7 @@ QUERIES = {
     "fact_after_reland": fact_after_reland,
     "fact_after_late_partition": fact_after_late_partition,
     "fact_after_stream": fact_after_stream,
+    "fact_by_key_directory": fact_by_key_directory,
     "build_any_catalogue": build_any_catalogue,
 }
 
@@ -176,6 +199,7 @@ ORACLES = {
     "fact_incremental": FACT_SQL,
     "fact_after_reland": FACT_SQL,
     "fact_after_late_partition": FACT_SQL,
+    "fact_by_key_directory": FACT_SQL,
     "fact_after_stream": FACT_SQL.replace("select * from fct_reviews", "select * exclude (batch_id) from fct_reviews"),
     "build_any_catalogue": f"""{oracle_inputs('source_reviews', 'catalogue')},
       keyed as (

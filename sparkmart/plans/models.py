@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions import casts
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
+from sparkmart.operators.key_directory import KeyDirectory
 from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import append_partitions, apply_delete_insert
 from sparkmart.sources.landed import read_or_empty
@@ -69,10 +69,10 @@ RAW_REVIEW = (
 )
 
 
-def typed_reviews(raw: DataFrame) -> DataFrame:
+def typed_reviews(raw: DataFrame, *extra: Column) -> DataFrame:
     """Typed reviews; rows without a product, a rating of 1 to 5 or a date are dropped.
 
-    The key is taken from the raw, untrimmed values.
+    The key is taken from the raw, untrimmed values. ``extra`` columns are handed on.
     """
     text, num, whole = casts.blank_to_null, casts.try_double, casts.try_int
     typed = raw.select(
@@ -95,6 +95,7 @@ def typed_reviews(raw: DataFrame) -> DataFrame:
         num("price_usd").alias("price_usd_at_review"),
         F.col("load_date").cast("date").alias("load_date"),
         F.col("_batch_id").alias("batch_id"),
+        *extra,
     )
     # The list is one test; a range would evaluate the pushed-down cast twice.
     return typed.where("product_id is not null and rating in (1, 2, 3, 4, 5) and review_date is not null")
@@ -186,59 +187,125 @@ def _raw_files(spark: SparkSession, raw_base: str) -> set[RawFile]:
     return {(f, *s, date.fromisoformat(f.rsplit("/load_date=", 1)[1].split("/")[0])) for f, s in states.items()}
 
 
+CHANGED = "review_id string, prior date, date date"
+
+
+def _file_name(raw_file: RawFile) -> str:
+    """How the key directory calls a raw file: load date and name."""
+    return f"{raw_file[3]}/{raw_file[0].rsplit('/', 1)[1]}"
+
+
+def _filed_reviews(spark: SparkSession, raw_base: str, paths: list[str]) -> DataFrame:
+    """Typed rows of raw files, with the file each comes from.
+
+    Landed values are text, so the schema is known and no footer is read for it.
+    """
+    raw = spark.read.schema(RAW_REVIEW).option("basePath", raw_base).parquet(*paths)
+    return typed_reviews(raw, F.concat(F.col("load_date").cast("string"), F.lit("/"), F.col("_metadata.file_name")).alias("_file"))
+
+
 def extend_staged_reviews(spark: SparkSession, raw_base: str, path: str) -> list[str]:
     """Bring the staged reviews up to the landed files; returns the load dates with new, changed or gone files.
 
     Raw files are compared one by one with those staged before, so rows that reach an older
     date, replace a partition or come from a stream's next run are staged too. Of all copies
-    of a review the earliest landed stays, whatever the order of arrival. The keys concerned
-    are kept for ``extend_fact``; the file log is written last, so a run that dies is repeated.
+    of a review the earliest landed stays, whatever the order of arrival.
+
+    A key directory holds the load date and file of every copy, so neither staged rows nor their keys
+    are searched: the keys of new and gone files are looked up there, and raw files are read again
+    only where they hold the copies that now come first. The keys that changed, with the date they
+    were staged under and the new one, are kept for ``extend_fact``; the file log is written
+    last, so a run that dies is repeated.
     """
     log = read_or_empty(spark, f"{path}_files", FILES)
     newest = keep_last(log, ["file", "bytes", "modified"], ["run"]).collect()
     done = max((r["run"] for r in newest), default=0)
-    before = {(r["file"], r["bytes"], r["modified"], r["load_date"]) for r in newest if not r["gone"]}
+    arrived = {(r["file"], r["bytes"], r["modified"], r["load_date"]): r["run"] for r in newest if not r["gone"]}
     now = _raw_files(spark, raw_base)
-    fresh, gone = sorted(now - before), sorted(before - now)
+    fresh, gone = sorted(now - arrived.keys()), sorted(arrived.keys() - now)
     if not fresh and not gone:
         return []
-    work = f"{path}_run"
-    copies = []
+    run, work = done + 1, f"{path}_run"
+    directory = KeyDirectory(spark, f"{path}_directory")
     if fresh:
-        # Landed values are text, so the schema is known and no footer is read for it.
-        raw = spark.read.schema(RAW_REVIEW).option("basePath", raw_base).parquet(*(f for f, *_ in fresh))
-        copies.append(typed_reviews(raw))
-    old = spark.read.parquet(path) if done else None
-    lost = None
-    if gone and old is not None:
-        # What a replaced partition held is staged again from the files that are there now.
-        dates = sorted({d for *_, d in gone})
-        lost = store(old.where(F.col("load_date").isin(dates)).select("review_id"), f"{work}/lost")
-        if now:
-            copies.append(typed_reviews(spark.read.schema(RAW_REVIEW).parquet(raw_base)).join(lost, "review_id", "left_semi"))
-        old = old.join(lost, "review_id", "left_anti")
-    if copies:
-        winners = keep_first(reduce(DataFrame.unionByName, copies), ["review_id"], ["load_date"])
-        winners = store(winners, f"{work}/first")
-        if old is not None:
-            # Stored copies of the same reviews compete; those that stay first need no rewriting.
-            held = old.join(winners.select("review_id"), "review_id", "left_semi").select(*winners.columns)
-            both = held.withColumn("new", F.lit(0)).unionByName(winners.withColumn("new", F.lit(1)))
-            winners = keep_first(both, ["review_id"], ["load_date"]).where("new = 1").drop("new")
-            winners = store(winners, f"{work}/winners")
+        typed = _filed_reviews(spark, raw_base, [f for f, *_ in fresh])
     else:
-        winners = old.where("false")
-    changed = winners.select("review_id")
-    if lost is not None:
-        changed = changed.unionByName(lost)
-    # A run that died before its log was written leaves its keys; they are applied with these.
-    changed.write.mode("append").parquet(f"{path}_keys/run={done + 1}")
-    apply_delete_insert(spark, path, winners, "review_id", keys=changed)
-    entries = [(*f, done + 1, files is gone) for files in (fresh, gone) for f in files]
-    spark.createDataFrame(entries, FILES).coalesce(1).write.mode("append").parquet(f"{path}_files")
+        typed = typed_reviews(spark.createDataFrame([], RAW_REVIEW), F.lit("").alias("_file"))
+    typed = store(typed, f"{work}/typed")
+    entries = typed.select(F.col("review_id").alias("key"), "load_date", F.col("_file").alias("file"), F.lit(run).alias("arrived")).distinct()
+    directory.add(entries, run)
+    if not done:
+        first = keep_first(typed.drop("_file"), ["review_id"], ["load_date"])
+        first.write.mode("overwrite").option("compression", "zstd").partitionBy("load_date").parquet(path)
+    else:
+        _restage(spark, raw_base, path, typed, directory, run, arrived, set(gone))
+    logged = [(*f, run, files is gone) for files in (fresh, gone) for f in files]
+    spark.createDataFrame(logged, FILES).coalesce(1).write.mode("append").parquet(f"{path}_files")
     return sorted({str(d) for *_, d in [*fresh, *gone]})
 
 
+def _restage(
+    spark: SparkSession,
+    raw_base: str,
+    path: str,
+    typed: DataFrame,
+    directory: KeyDirectory,
+    run: int,
+    arrived: dict[RawFile, int],
+    gone: set[RawFile],
+) -> None:
+    """Replace the staged rows of keys whose first copy changed."""
+    work = f"{path}_run"
+    left_path = f"{path}_keys/run={run}"
+    # Keys that a run which died may have changed already are settled again.
+    left = read_or_empty(spark, left_path, CHANGED).select(F.col("review_id").alias("key")).distinct()
+    known = spark.createDataFrame([(_file_name(f), n, f in gone) for f, n in arrived.items()], "file string, arrived int, gone boolean")
+    lost = directory.arrivals(sorted({n for f, n in arrived.items() if f in gone}))
+    lost = lost.join(known.where("gone"), ["file", "arrived"], "left_semi").select("key")
+    mine = directory.arrivals([run])
+    keys = store(mine.select("key").unionByName(lost).unionByName(left).distinct(), f"{work}/keys")
+    old = directory.lookup(keys).where(F.col("arrived") < run).join(known, ["file", "arrived"]).select("key", "load_date", "file", "gone")
+    old = store(old, f"{work}/old")
+    day, no = F.col("load_date"), F.lit(False)
+    copies = old.select("key", "load_date", "gone", no.alias("fresh"), no.alias("again"))
+    copies = copies.unionByName(mine.select("key", "load_date", no.alias("gone"), F.lit(True).alias("fresh"), no.alias("again")))
+    copies = copies.unionByName(left.select("key", F.lit(None).cast("date").alias("load_date"), no.alias("gone"), no.alias("fresh"), F.lit(True).alias("again")))
+    dates = copies.groupBy("key").agg(
+        F.min(F.when(~F.col("fresh"), day)).alias("prior"),
+        F.min(F.when(F.col("gone"), day)).alias("lost_day"),
+        F.min(F.when(~F.col("fresh") & ~F.col("gone"), day)).alias("old_day"),
+        F.min(F.when(F.col("fresh"), day)).alias("new_day"),
+        F.max("again").alias("again"),
+    )
+    # The staged row may be gone, or may have been changed by a run that died.
+    unsure = F.coalesce(F.col("lost_day") <= F.col("old_day"), no) | F.col("again")
+    is_first = F.col("new_day").isNull() | (F.col("old_day") <= F.col("new_day"))
+    reread = F.col("old_day").isNotNull() & is_first & (unsure | F.coalesce(F.col("old_day") == F.col("new_day"), no))
+    taken = F.col("new_day").isNotNull() & (F.col("old_day").isNull() | (F.col("new_day") <= F.col("old_day")))
+    dates = dates.select("key", "prior", "old_day", "new_day", unsure.alias("unsure"), reread.alias("reread"), taken.alias("taken"))
+    dates = store(dates.where("reread or taken or (old_day is null and new_day is null)"), f"{work}/dates")
+
+    columns = [c for c in typed.columns if c != "_file"]
+    won = dates.where("taken").select(F.col("key").alias("review_id"), F.col("new_day").alias("load_date"), F.col("prior").alias("_prior"))
+    rows = typed.join(won, ["review_id", "load_date"]).select(*columns, "_prior", F.lit(1).alias("_write"))
+    again = dates.where("reread").select("key", F.col("old_day").alias("load_date"), "prior", "unsure")
+    places = old.where("not gone").join(again, ["key", "load_date"])
+    places = store(places.select(F.col("key").alias("review_id"), F.col("file").alias("_file"), F.col("prior").alias("_prior"), "unsure"), f"{work}/places")
+    wanted = {r["_file"] for r in places.select("_file").distinct().collect()}
+    paths = sorted(f[0] for f in arrived if f not in gone and _file_name(f) in wanted)
+    if paths:
+        # A row that stays as it is staged competes, but need not be written.
+        reread_rows = _filed_reviews(spark, raw_base, paths).join(places, ["review_id", "_file"])
+        rows = rows.unionByName(reread_rows.select(*columns, "_prior", F.col("unsure").cast("int").alias("_write")))
+    winners = store(keep_first(rows, ["review_id"], ["load_date"]).where("_write = 1").drop("_write"), f"{work}/winners")
+    ended = dates.where("old_day is null and new_day is null").select(F.col("key").alias("review_id"), "prior", F.lit(None).cast("date").alias("date"))
+    changed = winners.select("review_id", F.col("_prior").alias("prior"), F.col("load_date").alias("date")).unionByName(ended)
+    changed.write.mode("append").parquet(left_path)
+    changed = spark.read.schema(CHANGED).parquet(left_path)
+    within = {str(r[0]) for r in changed.select(F.explode(F.array("prior", "date"))).distinct().collect() if r[0]}
+    apply_delete_insert(spark, path, winners.drop("_prior"), "review_id", keys=changed.select("review_id"), within=within)
+
+
 def extend_fact(
     spark: SparkSession, staged_path: str, products: DataFrame, path: str, reprocess_orphans: bool = False
 ) -> list[str]:
@@ -273,10 +340,14 @@ def extend_fact(
         return []
     else:
         runs = [f"{staged_path}_keys/run={r}" for r in range(done + 1, newest + 1)]
-        keys = spark.read.schema("review_id string").parquet(*runs).distinct()
-        batch = fct_reviews(staged.join(keys, "review_id", "left_semi"), products)
+        changed = spark.read.schema(CHANGED).parquet(*runs)
+        # Only partitions that hold such keys now, or held them, are read.
+        days = changed.agg(F.collect_set("date"), F.collect_set("prior")).first()
+        keys = changed.select("review_id").distinct()
+        batch = fct_reviews(staged.where(F.col("load_date").isin(days[0])).join(keys, "review_id", "left_semi"), products)
         batch = store(batch, f"{path}_run")
-        written = apply_delete_insert(spark, path, batch, "review_id", keys=keys)
+        within = {str(d) for d in [*days[0], *days[1]]}
+        written = apply_delete_insert(spark, path, batch, "review_id", keys=keys, within=within)
     spark.createDataFrame([(newest,)], "run int").coalesce(1).write.mode("append").parquet(applied)
     return written
 
