@@ -7,12 +7,12 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from sparkmart.catalog.inputs import oracle_inputs, spark_input, table
-from sparkmart.catalog.models import FACT_SQL
+from sparkmart.catalog.models import ALL_MODELS, FACT_SQL
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.functions.casts import leading_date
 from sparkmart.operators.landing import land_partition, land_slices
 from sparkmart.operators.merge import apply_delete_insert, new_partitions
-from sparkmart.plans import models
+from sparkmart.plans import deltas, models
 from sparkmart.plans.build import store, update_models
 from sparkmart.session import work_dir
 from sparkmart.sources.landed import read_landed
@@ -164,6 +164,48 @@ def build_any_catalogue(spark, sf_dir):
     return fact.join(products, "product_id")
 
 
+def dim_brands_incremental(spark, sf_dir):
+    """Brands kept by signed counts over three catalogues: one short and cheap, the older, the newer."""
+    base = work_dir(spark, "brands")
+    raw = spark_input(spark, sf_dir, "raw_products")
+    older = raw.where(F.col("load_date") == F.lit(date(2001, 1, 1)))
+    short = older.where("limited_edition <> 'x'").withColumns({"price_usd": F.lit("5"), "brand_name": F.lit("AAA")})
+    for i, rows in enumerate((short, older, raw)):
+        staged = store(models.stg_products(rows), f"{base}/products_{i}")
+        brands = deltas.update_brands(spark, staged, f"{base}/dim_brands")
+    return brands
+
+
+def _tags(reviews):
+    """Labels by two labelers that follow from the rating."""
+    kind = F.expr("case when rating = 1 then 'scent' when rating = 2 then 'price' else 'none' end")
+    mood = F.when(F.col("rating") <= 2, F.lit("negative")).otherwise(F.lit("neutral"))
+    tags = reviews.select("review_id", "rating", mood.alias("sentiment"), kind.alias("complaint_type"))
+    both = tags.withColumn("labeler", F.lit("a")).unionByName(tags.where("rating <= 3").withColumn("labeler", F.lit("b")))
+    return both.select("review_id", "labeler", "sentiment", "complaint_type")
+
+
+def mart_incremental(spark, sf_dir):
+    """Tags before and after their reviews land, a batch landed wrong, again and late, and brands that get new names."""
+    lake = _Lake(spark, sf_dir)
+    tags = store(_tags(models.stg_reviews(lake.raw)), f"{lake.base}/all_tags")
+    brands = store(models.dim_brands(lake.products), f"{lake.base}/brands")
+    paths = f"{lake.base}/tags", f"{lake.base}/staged", f"{lake.base}/fact"
+
+    def update(names):
+        lake.build()
+        return deltas.update_mart(spark, *paths, names, f"{lake.base}/mart")
+
+    tags.where("review_id < '8'").write.mode("append").parquet(paths[0])
+    lake.land(REST[:1], lambda rows: rows.where("eye_color = 'R'").withColumn("rating", F.lit("2")))
+    lake.land(REST[1:])
+    update(brands.withColumn("brand_name", F.lit("old")))
+    lake.land(FIRST + REST[:1])
+    update(brands)
+    tags.where("review_id >= '8'").write.mode("append").parquet(paths[0])
+    return update(brands)
+
+
 QUERIES = {
     "latest_snapshot": latest,
     "dedup_keep_first": dedup_first,
@@ -176,6 +218,8 @@ QUERIES = {
     "fact_after_stream": fact_after_stream,
     "fact_by_key_directory": fact_by_key_directory,
     "build_any_catalogue": build_any_catalogue,
+    "dim_brands_incremental": dim_brands_incremental,
+    "mart_incremental": mart_incremental,
 }
 
 _TIES = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -201,6 +245,18 @@ ORACLES = {
     "fact_after_late_partition": FACT_SQL,
     "fact_by_key_directory": FACT_SQL,
     "fact_after_stream": FACT_SQL.replace("select * from fct_reviews", "select * exclude (batch_id) from fct_reviews"),
+    "dim_brands_incremental": f"{ALL_MODELS} select * from dim_brands",
+    "mart_incremental": f"""{ALL_MODELS},
+      labels as (
+        select review_id, unnest(if(rating <= 3, ['a', 'b'], ['a'])) as labeler, rating <= 2 as negative,
+          case rating when 1 then 'scent' when 2 then 'price' else 'none' end as complaint_type
+        from stg_reviews),
+      sums as (
+        select brand_id, labeler, complaint_type, count(*) as n_reviews, count(*) filter (negative) as n_negative
+        from labels join fct_reviews using (review_id) group by all),
+      shares as (select *, cast(sum(n_reviews) over (partition by brand_id, labeler) as bigint) as n_tagged_for_brand from sums)
+      select s.*, b.brand_name, cast(round(cast(n_reviews / n_tagged_for_brand as decimal(18, 12)), 4) as double) as share_of_brand_reviews
+      from shares s join dim_brands b using (brand_id)""",
     "build_any_catalogue": f"""{oracle_inputs('source_reviews', 'catalogue')},
       keyed as (
         select md5(concat_ws('|', author_id, product_id, submission_time, ifnull(review_text, ''))) as review_id, *

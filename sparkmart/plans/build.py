@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.plans import models
+from sparkmart.plans import deltas, models
 from sparkmart.plans.models import store
 from sparkmart.sources.landed import read_newest
 
@@ -33,12 +33,16 @@ def build_models(
     return raw | tables | {"stg_reviews": reviews, "fct_reviews": fact}
 
 
-def _products(raw_products: DataFrame, base: str, cuts, top, exclusive_flag: str) -> dict[str, DataFrame]:
+def _all_brands(spark: SparkSession, products: DataFrame, path: str) -> DataFrame:
+    return store(models.dim_brands(products), path)
+
+
+def _products(raw_products: DataFrame, base: str, cuts, top, exclusive_flag: str, brands=_all_brands) -> dict[str, DataFrame]:
     products = store(models.stg_products(raw_products, exclusive_flag), f"{base}/stg_products")
     return {
         "stg_products": products,
         "dim_products": store(models.dim_products(products, cuts, top, exclusive_flag), f"{base}/dim_products"),
-        "dim_brands": store(models.dim_brands(products), f"{base}/dim_brands"),
+        "dim_brands": brands(products.sparkSession, products, f"{base}/dim_brands"),
     }
 
 
@@ -49,13 +53,21 @@ def update_models(
     cuts=tuple(models.PRICE_CUTS),
     top=models.TOP_PRICE,
     exclusive_flag: str = models.EXCLUSIVE_FLAG,
+    tags: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Bring stored models up to the landed files; only new and changed files are read."""
+    """Bring stored models up to the landed files; only new and changed files are read.
+
+    With the path of the tag table the complaint mart is brought up to it as well.
+    """
     with ThreadPoolExecutor(2) as pool:
         staged = pool.submit(models.extend_staged_reviews, spark, f"{raw}/reviews", f"{base}/stg_reviews")
-        tables = _products(read_newest(spark, f"{raw}/products"), base, cuts, top, exclusive_flag)
+        products = read_newest(spark, f"{raw}/products")
+        tables = _products(products, base, cuts, top, exclusive_flag, deltas.update_brands)
         staged.result()
     models.extend_fact(spark, f"{base}/stg_reviews", tables["dim_products"], f"{base}/fct_reviews")
+    if tags:
+        paths = tags, f"{base}/stg_reviews", f"{base}/fct_reviews"
+        tables["mart_brand_complaints"] = deltas.update_mart(spark, *paths, tables["dim_brands"], f"{base}/mart_brand_complaints")
     return tables | {
         "stg_reviews": spark.read.parquet(f"{base}/stg_reviews"),
         "fct_reviews": spark.read.parquet(f"{base}/fct_reviews"),

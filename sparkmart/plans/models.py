@@ -14,7 +14,7 @@ from sparkmart.operators.key_directory import KeyDirectory
 from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import append_partitions, apply_delete_insert
 from sparkmart.sources.landed import read_or_empty
-from sparkmart.sources.paths import exists, file_states, partition_values
+from sparkmart.sources.paths import exists, file_names, file_states, partition_values
 
 # The price bands.
 PRICE_CUTS = [(25, "1. <$25"), (50, "2. $25-50"), (100, "3. $50-100")]
@@ -335,7 +335,12 @@ def extend_fact(
         written = partition_values(spark, path, "load_date")
     elif reprocess_orphans:
         lacking = staged.join(spark.read.parquet(path).select("review_id"), "review_id", "left_anti")
-        return append_partitions(fct_reviews(lacking, products), path)
+        found = store(fct_reviews(lacking, products), f"{path}_run")
+        # What follows the fact table has to hear of these keys too.
+        run = 1 + sum(n.startswith("run=") for n in file_names(spark, f"{path}_orphans"))
+        told = found.select("review_id", F.lit(None).cast("date").alias("prior"), F.col("load_date").alias("date"))
+        told.write.mode("overwrite").parquet(f"{path}_orphans/run={run}")
+        return append_partitions(found, path)
     elif done == newest:
         return []
     else:
