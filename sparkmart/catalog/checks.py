@@ -12,11 +12,12 @@ from sparkmart.catalog.inputs import oracle_inputs, spark_input, table
 from sparkmart.catalog.models import ALL_MODELS
 from sparkmart.catalog.tagging import KEYWORD_TAGS
 from sparkmart.functions.text import COMPLAINT_TYPES
-from sparkmart.plans import models, quality, tagging
+from sparkmart.operators.merge import replace_partitions
+from sparkmart.plans import key_checks, models, quality, tagging
 from sparkmart.plans.build import build_models, store
 from sparkmart.session import work_dir
 from sparkmart.sources.csv import read_csv_snapshot
-from sparkmart.sources.paths import exists
+from sparkmart.sources.paths import exists, partition_values
 
 BANDS = [*[label for _, label in PRICE_CUTS], TOP_PRICE]
 RAW_KEY = ["author_id", "product_id", "submission_time", "review_text"]
@@ -80,6 +81,27 @@ def _suite():
     return quality.standard_suite(price_bands=BANDS, complaint_types=COMPLAINT_TYPES)
 
 
+def _key_checks():
+    raw = ("raw_reviews", tuple(RAW_KEY), "unique_combination"), ("raw_reviews", tuple(RAW_KEY[:3]), "batch_overlap")
+    return [quality.Check(*c) for c in (*raw, ("raw_reviews", ("author_id",), "unique"))], [c for c in _suite() if c.name == "unique_fct_reviews_review_id"]
+
+
+def dq_keys_incremental(spark, sf_dir):
+    """Key checks of raw reviews and of the fact table, partition by partition; one lands twice, first with wrong rows."""
+    base = work_dir(spark, "keys")
+    raw = store(_raw_reviews(spark, sf_dir), f"{base}/rows")
+    days = [str(r[0]) for r in raw.select("load_date").distinct().orderBy("load_date").collect()]
+    checks, fact_checks = _key_checks()
+    for batch in ([days[1]], days[2:], days[:2]):
+        rows = raw.where(F.col("load_date").cast("string").isin(batch))
+        replace_partitions(rows.unionByName(rows) if batch == [days[1]] else rows, f"{base}/raw")
+        found = key_checks.update_key_checks(spark, f"{base}/raw", checks, batch, f"{base}/raw_keys")
+    products = store(models.stg_products(spark_input(spark, sf_dir, "raw_products")), f"{base}/products")
+    replace_partitions(models.fct_reviews(models.stg_reviews(raw), products), f"{base}/fact")
+    facts = partition_values(spark, f"{base}/fact", "load_date")
+    return found.unionByName(key_checks.update_key_checks(spark, f"{base}/fact", fact_checks, facts, f"{base}/fact_keys"))
+
+
 def dq_suite(spark, sf_dir):
     tables = suite_tables(spark, sf_dir, work_dir(spark, "suite"))
     return quality.suite_results(tables, _suite())
@@ -155,6 +177,7 @@ QUERIES = {
     "dq_not_blank": dq_not_blank,
     "dq_unique_combination": dq_unique_combination,
     "dq_batch_overlap": dq_batch_overlap,
+    "dq_keys_incremental": dq_keys_incremental,
     "dq_suite": dq_suite,
     "dq_store_failures": dq_store_failures,
     "dq_export": dq_export,
@@ -232,6 +255,21 @@ ORACLES = {
       from raw_reviews group by all having count(*) > 1""",
     "dq_batch_overlap": f"""{_RAW} select author_id, product_id, submission_time, count(distinct _batch_id) as n_batches
       from raw_reviews group by all having count(distinct _batch_id) > 1""",
+    "dq_keys_incremental": f"""{ALL_MODELS},
+      failing as (
+        select 'unique_combination_raw_reviews_author_id_product_id_submission_time_review_text' as "check", 'raw_reviews' as "table",
+          count(*) as failures
+        from (select 1 from raw_reviews group by author_id, product_id, submission_time, review_text having count(*) > 1)
+        union all
+        select 'batch_overlap_raw_reviews_author_id_product_id_submission_time', 'raw_reviews', count(*)
+        from (select 1 from raw_reviews group by author_id, product_id, submission_time having count(distinct load_date) > 1)
+        union all
+        select 'unique_raw_reviews_author_id', 'raw_reviews', count(*)
+        from (select 1 from raw_reviews where author_id is not null group by author_id having count(*) > 1)
+        union all
+        select 'unique_fct_reviews_review_id', 'fct_reviews', count(*)
+        from (select 1 from fct_reviews where review_id is not null group by review_id having count(*) > 1))
+      select * from failing""",
     "dq_suite": f"{_RESULTS} select * from results",
     "dq_store_failures": f"""{_SUITE_MODELS},
   counts as ({_COUNTS})
