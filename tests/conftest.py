@@ -10,6 +10,7 @@ if ROOT not in sys.path:
 # Python workers import the package too.
 os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
 
+from sparkmart.operators import group_state, key_directory  # noqa: E402
 from sparkmart.session import local_session  # noqa: E402
 
 
@@ -20,6 +21,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    """Stored states of small tests need few folders."""
+    monkeypatch.setattr(key_directory, "BUCKETS", 3)
+    monkeypatch.setattr(group_state, "BUCKETS", 3)
+
+
 @pytest.fixture()
 def base(tmp_path):
     return str(tmp_path)

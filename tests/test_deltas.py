@@ -27,7 +27,7 @@ def test_group_states_by_run(spark, base):
 
 def test_brands_follow_random_catalogues(spark, base):
     r = random.Random(4)
-    for step in range(5):
+    for step in range(3):
         rows_ = [
             product(f"p{i}", r.choice(["1", "2", "3", "n/a"]), r.choice(["1.5", "2", "9", None]), brand_name=r.choice("xyz"),
                     rating=r.choice(["4.5", "3", None]), loves_count=r.choice(["7", None]))

@@ -38,7 +38,7 @@ def test_random_partitions_equal_full_checks(spark, base, collide):
     table = f"{base}/t"
     days = [f"2022-01-0{i}" for i in range(1, 5)]
     code = F.length("full") % 2 if collide else None
-    for step in range(5):
+    for step in range(4):
         changed = r.sample(days, r.randint(1, 2))
         for day in changed:
             rows = [(r.choice(["x", "y", "z", None, "null"]), r.choice([1, 2, 3, None])) for _ in range(r.randint(1, 4))]
