@@ -8,8 +8,8 @@ together with the piece before it, does not come back as these two is swapped fo
 where no prefix is left the place is marked as failed in a bit field, and the piece before it is
 shortened. A prefix of a text has one encoding only, so a failed place never has to be tried again.
 
-A text is cut before each space that follows another character when no piece of the model holds such
-a pair; equal parts are encoded once per worker. The work is linear in the text, whatever its form.
+A text is cut before spaces, and between letters and marks, when no piece of the model holds such a pair of
+characters; equal parts are encoded once per worker. The work is linear in the text, whatever its form.
 
 Models: merge type with the identity normaliser, a leading space, and bytes for unknown characters, without
 pieces of the user's own. Any other model raises ``ValueError``.
@@ -24,7 +24,6 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -35,10 +34,13 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import arrow_schema, prepare, text_of
 
 SPACE = "▁"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts of a text up to this many characters are remembered by workers, and so many of them.
 REMEMBERED_CHARS, REMEMBERED_PARTS = 48, 400_000
 REMEMBERED_PAIRS = 2_000_000
+#: Tokens lie between -0x110000 and the size of the vocabulary, so this keeps pairs of them apart.
+PAIR, START = 0x400000, -0x200000
 
 
 def wire_fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -68,6 +70,24 @@ def wire_fields(data: bytes) -> Iterator[tuple[int, object]]:
         yield key >> 3, value
 
 
+class _Remembered(dict):
+    """What short parts came to. When full, the older half of what is known goes, but for what was asked for again."""
+
+    def __init__(self, make):
+        self.make, self.older = make, {}
+
+    def __missing__(self, part: str) -> bytes:
+        known = self.older.get(part)
+        if known is None:
+            known = self.make(part)
+        if len(part) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED_PARTS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[part] = known
+        return known
+
+
 class PieceModel:
     """Pieces, scores and kinds of a model file, with its encoder and decoder."""
 
@@ -97,17 +117,33 @@ class PieceModel:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.score = {p: scores[i] for p, i in self.ids.items()}
-        # A text may be cut between a character and a space if no piece spans the two.
-        self.cuts = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        self.parts = self._part_pattern()
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
-        self._shorter: dict[int, int] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._parts: dict[str, tuple[int, ...]] = {}
+        self.widths = [len(p) for p in self.pieces]
+        self.next_shorter = [self._shorter(p) if k == NORMAL else None for p, k in zip(self.pieces, self.kinds)]
+        self._pairs: dict[int, bool] = {}
+        self._parts = _Remembered(self._part_bytes)
         self._decoder()
 
+    def _part_pattern(self) -> re.Pattern | None:
+        """Where texts may be cut: no piece spans the two characters, so no merge ever joins them.
+
+        A cut lies before spaces that follow another character, and, for the marks that no piece holds beside a
+        letter, between letters and marks. A word with anything else in it stays whole.
+        """
+        pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        if any(a != SPACE and b == SPACE for a, b in pairs):
+            return None
+        letter = re.compile(f"[{LETTERS}]")
+        beside = {m for a, b in pairs for m, other in ((a, b), (b, a)) if letter.match(other)}
+        marks = "".join(re.escape(c) for c in map(chr, range(128)) if c != " " and not c.isalnum() and c not in beside)
+        if not marks:
+            return re.compile(" +[^ ]*|[^ ]+")
+        return re.compile(f" *+[{LETTERS}]++(?=[{marks} ]|\\Z)| *+[{marks}]++(?=[{LETTERS} ]|\\Z)| ++[^ ]*+|[^ ]++")
+
     # --- encoding: a token is an id, or -1 - c for a character c without a piece ------
 
     def text(self, token: int) -> str:
@@ -126,93 +162,80 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, before: int | None, token: int) -> bool:
-        """Whether merging the two texts anew gives the two back; without a neighbour, the one."""
-        key = (-(1 << 40) if before is None else before, token)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= REMEMBERED_PAIRS:
-                self._pairs.clear()
-            right = self.text(token)
-            if before is None:
-                known = self.merge(right) == [right]
-            else:
-                left = self.text(before)
-                known = self.merge(left + right) == [left, right]
-            self._pairs[key] = known
+    def _settle(self, before: int, token: int) -> bool:
+        """Whether merging the two texts anew gives the two back; after ``START``, the one."""
+        right = self.text(token)
+        if before == START:
+            known = self.merge(right) == [right]
+        else:
+            left = self.text(before)
+            known = self.merge(left + right) == [left, right]
+        if len(self._pairs) >= REMEMBERED_PAIRS:
+            self._pairs.clear()
+        self._pairs[before * PAIR + token] = known
         return known
 
-    def shorter(self, token: int) -> int | None:
+    def _shorter(self, piece: str) -> int | None:
         """The next shorter piece that starts the same way; at last the first character alone."""
-        if token < 0:
-            return None
-        known = self._shorter.get(token)
-        if known is None:
-            piece = self.pieces[token]
-            sizes = (n for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.ids)
-            size = next(sizes, 0)
-            if size:
-                known = self.ids[piece[:size]]
-            else:
-                known = token if len(piece) == 1 else -1 - ord(piece[0])
-            self._shorter[token] = known
-        return None if known == token else known
+        for size in range(len(piece) - 1, 0, -1):
+            if piece[:size] in self.ids:
+                return self.ids[piece[:size]]
+        return None if len(piece) == 1 else -1 - ord(piece[0])
 
     def encode_part(self, text: str) -> list[int]:
         """Tokens of a text in which spaces are already written as pieces hold them."""
-        longest: list[int | None] = [None] * len(text)
+        widths, shorter, pairs = self.widths, self.next_shorter, self._pairs
+        size = len(text)
+        longest: list[int | None] = [None] * size
         for stop, i in self.automaton.iter(text):
-            longest[stop + 1 - len(self.pieces[i])] = i  # matches come by their ends: the last is the longest
-        failed = bytearray(len(text) // 8 + 1)
+            longest[stop + 1 - widths[i]] = i  # matches come by their ends: the last is the longest
+        failed = bytearray(size // 8 + 1)
         tokens: list[int] = []
-        at, token = 0, longest[0] if text else None
-        while at < len(text):
+        at, before = 0, START
+        token = longest[0] if size else None
+        while at < size:
             if token is None:
                 token = -1 - ord(text[at])
-            before = tokens[-1] if tokens else None
             while token is not None:
-                stop = at + (len(self.pieces[token]) if token >= 0 else 1)
-                if not failed[stop >> 3] >> (stop & 7) & 1 and self.compatible(before, token):
-                    break
-                token = self.shorter(token)
-            if token is not None:
-                tokens.append(token)
-                at = stop
-                token = longest[at] if at < len(text) else None
-                continue
+                stop = at + (widths[token] if token >= 0 else 1)
+                if not failed[stop >> 3] >> (stop & 7) & 1:
+                    fits = pairs.get(before * PAIR + token)
+                    if self._settle(before, token) if fits is None else fits:
+                        break
+                token = shorter[token] if token >= 0 else None
             while token is None:  # nothing fits here: the place fails, and the piece before it is shortened
                 failed[at >> 3] |= 1 << (at & 7)
                 if not tokens:
                     raise ValueError("the scores of this model contradict each other")
                 last = tokens.pop()
-                at -= len(self.pieces[last]) if last >= 0 else 1
-                token = self.shorter(last)
+                before = tokens[-1] if tokens else START
+                at -= widths[last] if last >= 0 else 1
+                token = shorter[last] if last >= 0 else None
+                stop = at
+            if stop > at:
+                tokens.append(token)
+                before, at = token, stop
+                token = longest[at] if at < size else None
         return tokens
 
-    def part_ids(self, part: str) -> tuple[int, ...]:
-        known = self._parts.get(part)
-        if known is None:
-            out: list[int] = []
-            for token in self.encode_part(part.replace(" ", SPACE)):
-                if token >= 0:
-                    out.append(token)
-                else:
-                    out.extend(self.byte_ids[b] for b in chr(-1 - token).encode())
-            known = tuple(out)
-            if len(part) <= REMEMBERED_CHARS:
-                if len(self._parts) >= REMEMBERED_PARTS:
-                    self._parts.clear()
-                self._parts[part] = known
-        return known
+    def _part_bytes(self, part: str) -> bytes:
+        """The ids of one part, as 32-bit numbers."""
+        out: list[int] = []
+        for token in self.encode_part(part.replace(" ", SPACE)):
+            if token >= 0:
+                out.append(token)
+            else:
+                out.extend(self.byte_ids[b] for b in chr(-1 - token).encode())
+        return np.array(out, np.int32).tobytes()
 
     def encode(self, text: str, end: bool = True) -> np.ndarray:
         """Ids of one text."""
-        tail = [(self.end,)] if end else []
-        if not text:
-            return np.array([*chain(*tail)], np.int32)
-        text = " " + text.replace(SPACE, " ")
-        parts = re.findall(" +[^ ]*", text) if self.cuts else [text]
-        return np.fromiter(chain.from_iterable(chain(map(self.part_ids, parts), tail)), np.int32)
+        tail = np.array([self.end] if end else [], np.int32).tobytes()
+        parts: list[str] = []
+        if text:
+            text = " " + text.replace(SPACE, " ")
+            parts = self.parts.findall(text) if self.parts else [text]
+        return np.frombuffer(b"".join(map(self._parts.__getitem__, parts)) + tail, np.int32)
 
     # --- decoding ---------------------------------------------------------------
 
