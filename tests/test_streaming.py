@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from sparkmart.streaming.keyed import DailyCounts, classify_stream, count_stream
 from sparkmart.streaming.reviews import daily_counts, dedup_stream, event_stream, land_stream, write_stream
 
 SCHEMA = "id int, t timestamp_ntz, v string"
@@ -56,3 +58,68 @@ def test_days_are_counted_once_closed(spark, base):
     assert run() == {1: 2}
     add(spark, f"{base}/in", [(5, 2, 20), (6, 5, 0)])  # day 2 is still open, so this counts
     assert run() == {1: 2, 2: 2, 3: 1}
+
+
+def classified(spark, base, runs, keep_days=5.0):
+    """(id, day, value, status) after runs of (id, day, hour) rows, by a stream that keeps keys for ``keep_days``."""
+    for rows in runs:
+        add(spark, f"{base}/in", rows)
+        told = classify_stream(event_stream(spark, f"{base}/in", "t", SCHEMA), ["id"], "t", "2 days", keep_days, shards=2)
+        write_stream(told, f"{base}/out", f"{base}/cp", ["status"]).awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return sorted(((r["id"], r["t"].day if r["t"] else None, r["status"]) for r in out.collect()), key=str)
+
+
+def test_each_row_is_first_repeated_or_late(spark, base):
+    got = classified(spark, base, [[(1, 3, 1), (1, 2, 0), (2, 9, 0)], [(1, 8, 0), (3, 6, 23), (3, 7, 0), (4, 20, 0)], [(4, 19, 0), (2, 17, 0)]])
+    assert got == sorted([
+        (1, 2, "first"), (1, 3, "repeated"), (1, 8, "repeated"),  # kept five days past its newest row
+        (2, 9, "first"), (2, 17, "late"),
+        (3, 6, "late"), (3, 7, "first"),  # the watermark lies at day 7
+        (4, 19, "repeated"), (4, 20, "first"),
+    ], key=str)
+
+
+def test_keys_are_forgotten_after_their_time(spark, base):
+    """Key 1 is dropped once the watermark is a day past it; key 0 and 1 share the shards with the others."""
+    runs = [[(1, 2, 0), (0, 2, 0)], [(i, 10, 0) for i in range(2, 12)], [(i, 11, 0) for i in range(2, 12)], [(1, 12, 0), (2, 12, 0)]]
+    got = classified(spark, base, runs, keep_days=1)
+    assert (1, 12, "first") in got and (2, 12, "repeated") in got and len(got) == 24
+
+
+def test_rows_without_a_time_are_told_by_their_key(spark, base):
+    spark.createDataFrame([(1, None, "a"), (1, None, "b"), (None, None, "c"), (None, None, "d")], SCHEMA).write.parquet(f"{base}/in")
+    assert sorted(s for *_, s in classified(spark, base, [[(1, 3, 0)]])) == ["first", "first", "repeated", "repeated", "repeated"]
+
+
+def test_counts_are_corrected_and_a_repeated_batch_changes_nothing(spark, base):
+    def run():
+        count_stream(event_stream(spark, f"{base}/in", "t", SCHEMA), f"{base}/counts", f"{base}/cp", "t").awaitTermination()
+        return {r["day"].day: r["n"] for r in DailyCounts(spark, f"{base}/counts").read().collect()}
+
+    add(spark, f"{base}/in", [(1, 1, 0), (2, 1, 23), (3, 2, 0)])
+    assert run() == {1: 2, 2: 1} == run()
+    add(spark, f"{base}/in", [(4, 1, 1), (5, 9, 0)])  # a late row for day 1
+    assert run() == {1: 3, 2: 1, 9: 1}
+    rows = spark.createDataFrame([(4, dt.datetime(2022, 1, 1, 1)), (5, dt.datetime(2022, 1, 9))], "id int, t timestamp_ntz")
+    counts = DailyCounts(spark, f"{base}/counts")
+    counts.upsert(rows, 1, "t")
+    assert {r["day"].day: r["n"] for r in counts.read().collect()} == {1: 3, 2: 1, 9: 1}
+
+
+def test_a_batch_that_died_before_its_log_is_not_read(spark, base, monkeypatch):
+    counts = DailyCounts(spark, base)
+    rows = spark.createDataFrame([(1, dt.datetime(2022, 1, 1))], "id int, t timestamp_ntz")
+    counts.upsert(rows, 0, "t")
+    whole = type(counts.state).merge
+
+    def die(self, delta, run):
+        whole(self, delta, run)
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(type(counts.state), "merge", die)
+        counts.upsert(rows, 1, "t")
+    assert [r["n"] for r in counts.read().collect()] == [1]
+    counts.upsert(rows, 1, "t")
+    assert [r["n"] for r in counts.read().collect()] == [2]
