@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.catalog.inputs import oracle_inputs, spark_input, table
 from sparkmart.catalog.models import ALL_MODELS, FACT_SQL
+from sparkmart.operators import quantile_sketch
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.functions.casts import leading_date
 from sparkmart.operators.landing import land_partition, land_slices
@@ -176,6 +177,20 @@ def dim_brands_incremental(spark, sf_dir):
     return brands
 
 
+def median_sketch(spark, sf_dir):
+    """Median price per line number from sketches of seven batches, one written twice; the exact rank says whether it is within its bound."""
+    path = f"{work_dir(spark, 'sketch')}/prices"
+    lines = table(spark, sf_dir, "lineitem")
+    for year in range(7):
+        batch = lines.where(F.col("l_suppkey") % 7 == year)
+        for _ in range(1 + (year == 3)):
+            quantile_sketch.add_batch(batch, ["l_linenumber"], "l_extendedprice", path, str(year))
+    medians = quantile_sketch.read_median(spark, ["l_linenumber"], path)
+    errors = quantile_sketch.rank_errors(lines, ["l_linenumber"], "l_extendedprice", medians)
+    near = (F.col("error") <= quantile_sketch.RANK_ERROR).alias("within_bound")
+    return medians.join(errors, "l_linenumber").select("l_linenumber", "n", near)
+
+
 def _tags(reviews):
     """Labels by two labelers that follow from the rating."""
     kind = F.expr("case when rating = 1 then 'scent' when rating = 2 then 'price' else 'none' end")
@@ -220,6 +235,7 @@ QUERIES = {
     "build_any_catalogue": build_any_catalogue,
     "dim_brands_incremental": dim_brands_incremental,
     "mart_incremental": mart_incremental,
+    "median_sketch": median_sketch,
 }
 
 _TIES = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -246,6 +262,7 @@ ORACLES = {
     "fact_by_key_directory": FACT_SQL,
     "fact_after_stream": FACT_SQL.replace("select * from fct_reviews", "select * exclude (batch_id) from fct_reviews"),
     "dim_brands_incremental": f"{ALL_MODELS} select * from dim_brands",
+    "median_sketch": "select l_linenumber, count(l_extendedprice) as n, true as within_bound from lineitem group by 1",
     "mart_incremental": f"""{ALL_MODELS},
       labels as (
         select review_id, unnest(if(rating <= 3, ['a', 'b'], ['a'])) as labeler, rating <= 2 as negative,

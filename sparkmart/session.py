@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
+import tempfile
 import uuid
 from pathlib import Path
 
@@ -53,8 +55,20 @@ def local_session(cores: int | str = 8, app: str = "sparkmart", work: str | None
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def package_archive() -> str:
+    """A zip file of this package, which Spark copies from the driver to every worker."""
+    folder = tempfile.mkdtemp(prefix="sparkmart-")
+    return shutil.make_archive(f"{folder}/sparkmart", "zip", Path(__file__).resolve().parents[1], "sparkmart")
+
+
 def share_package(spark: SparkSession) -> None:
-    """Put this package on the path of Python workers that see the same folder."""
+    """Put this package on the path of Python workers: by the same folder on one machine, as an archive on a cluster."""
+    if not spark.sparkContext.master.startswith("local") and spark.sparkContext.applicationId not in _SHIPPED:
+        _SHIPPED.add(spark.sparkContext.applicationId)
+        spark.sparkContext.addPyFile(package_archive())
     root = str(Path(__file__).resolve().parents[1])
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
@@ -68,9 +82,13 @@ _MADE: list[tuple[SparkSession, str]] = []
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach; it is deleted when the application ends.
 
-    Lives under ``spark.checkpoint.dir``, or under the warehouse where that is not set.
+    Lives under ``spark.checkpoint.dir``. Where that is not set, a session on one machine uses its warehouse;
+    on a cluster, where a local folder of the driver would not do, it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = given or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
     if not _MADE:
         atexit.register(_delete_work)

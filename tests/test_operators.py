@@ -1,14 +1,17 @@
 import datetime as dt
 import random
 import statistics
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmart.operators import quantile_sketch
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import apply_delete_insert, delete_insert, new_partitions
 from sparkmart.operators.sampling import first_rows, number_batches, stratified_sample
+from sparkmart.session import package_archive
 from sparkmart.sources.paths import partition_values
 
 
@@ -125,3 +128,24 @@ def test_batches_are_bounded_and_complete(spark, digits):
     for r in rows:
         sizes.setdefault(r["batch"], []).append(r["pos"])
     assert len(rows) == 1000 and all(sorted(p) == list(range(len(p))) and len(p) <= 20 for p in sizes.values())
+
+
+def test_sketched_medians_stay_within_their_bound(spark, base):
+    r = random.Random(9)
+    rows = [("big", r.gauss(0, 1) ** 3) for _ in range(20_000)] + [("ties", float(r.randrange(3))) for _ in range(3000)]
+    rows += [("small", float(v)) for v in (5, 1, 9)] + [("none", None), ("none", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    for i in range(5):
+        part = df.where(F.pmod(F.xxhash64("v"), F.lit(5)) == i)
+        for _ in range(2):  # a batch that comes again counts once
+            quantile_sketch.add_batch(part, ["k"], "v", f"{base}/s", str(i))
+    got = quantile_sketch.read_median(spark, ["k"], f"{base}/s")
+    found = {r["k"]: (r["median"], r["n"]) for r in got.collect()}
+    assert found["small"] == (5.0, 3) and found["ties"][0] == 1.0 and found["big"][1] == 20_000 and "none" not in found
+    errors = {r["k"]: r["error"] for r in quantile_sketch.rank_errors(df, ["k"], "v", got).collect()}
+    assert max(errors.values()) <= quantile_sketch.RANK_ERROR and errors["small"] <= 0.5 / 3
+
+
+def test_the_package_as_an_archive():
+    names = zipfile.ZipFile(package_archive()).namelist()
+    assert "sparkmart/session.py" in names and "sparkmart/operators/median.py" in names
