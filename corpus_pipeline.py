@@ -36,39 +36,53 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_ordinary(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+KEYS = ["__id", "__digest"]
+#: Above this id there may be no room for numbers behind all ids.
+LAST_ID = 2**62
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Each row as one value, whatever its columns are called, beside its id and the digest of its text."""
+    return docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"), digest().alias("__digest"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per text. Rows are told apart by id and text; of rows alike in both, the least in the other columns stays."""
-    keys = ["__id", "__digest"]
     marks = exact_duplicates(docs).groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
     marks = stored(marks.agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "exact-marks")
-    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__digest", digest())
+    keyed = _keyed(docs)
     # Copies are folded before any shuffle, so a text repeated under one id is no hot key.
-    again = marks.where("kept and n > 1").select(*keys)
-    rest = [c for c in docs.columns if c != "text"]
-    repeated = keyed.join(again, _same(keyed, again, keys), "left_semi")
-    one = repeated.groupBy(*keys).agg(F.min(F.struct(*rest, F.col("text"))).alias("__row")).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
-    gone = marks.where("not kept or n > 1").select(*keys)
-    return keyed.join(gone, _same(keyed, gone, keys), "left_anti").select(*docs.columns).unionByName(one)
+    again = marks.where("kept and n > 1").select(*KEYS)
+    order = [*(c for c in docs.columns if c != "text"), "text"]
+    repeated = keyed.join(again, _same(keyed, again, KEYS), "left_semi")
+    least = F.min(F.struct(*(F.col("__row")[c].alias(c) for c in order))).alias("__row")
+    one = repeated.groupBy(*KEYS).agg(least).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    gone = marks.where("not kept or n > 1").select(*KEYS)
+    return keyed.join(gone, _same(keyed, gone, KEYS), "left_anti").select("__row.*").unionByName(one)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per group of near copies, that of the smallest id.
 
     Rows without an id, and all but one of the rows of a repeated id, get a number behind all ids,
-    so that every row is linked, and dropped, by its own text.
+    so that every row is linked, and dropped, by its own text. Where ids leave no room for that, all rows are
+    numbered in the order of their ids.
     """
-    keys = ["__id", "__digest"]
-    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__digest", digest())
-    pairs = stored(keyed.select(*keys).distinct(), "near-rows")
-    first = pairs.where("__id is not null").groupBy("__id").agg(F.min("__digest").alias("__digest"), F.count(F.lit(1)).alias("n"))
-    more = first.where("n > 1").select("__id")
-    odd = pairs.join(more, "__id").join(first.select(*keys), keys, "left_anti").unionByName(pairs.where("__id is null"))
+    keyed = _keyed(docs)
+    pairs = stored(keyed.select(*KEYS).distinct(), "near-rows")
     top = pairs.agg(F.coalesce(F.max("__id"), F.lit(0)).alias("top")).first()["top"]
-    odd = odd.orderBy(F.col("__id").asc_nulls_last(), "__digest").withColumn("__own", F.lit(max(0, top) + 1) + F.monotonically_increasing_id())
+    if top < LAST_ID:
+        first = pairs.where("__id is not null").groupBy("__id").agg(F.min("__digest").alias("__digest"), F.count(F.lit(1)).alias("n"))
+        more = first.where("n > 1").select("__id")
+        odd = pairs.join(more, "__id").join(first.select(*KEYS), KEYS, "left_anti").unionByName(pairs.where("__id is null"))
+    else:
+        odd, top = pairs, -1
+    odd = odd.orderBy(F.col("__id").asc_nulls_last(), "__digest").withColumn("__own", F.lit(max(0, top + 1)) + F.monotonically_increasing_id())
     odd = stored(odd, "near-numbers")
-    numbered = keyed.join(odd, _same(keyed, odd, keys), "left").select(*(docs[c] for c in docs.columns), F.coalesce("__own", keyed["__id"]).alias("__row"))
-    lost = near_duplicates(numbered, NearDedup(), id_col="__row").where(~F.col("kept")).select(F.col("doc_id").alias("__row")).distinct()
-    return numbered.join(lost, "__row", "left_anti").select(*docs.columns)
+    numbered = keyed.join(odd, _same(keyed, odd, KEYS), "left").select("__row", F.coalesce("__own", keyed["__id"]).alias("__number"))
+    texts = numbered.select("__number", F.col("__row")["text"].alias("text"))
+    lost = near_duplicates(texts, NearDedup(), id_col="__number").where(~F.col("kept")).select(F.col("doc_id").alias("__number")).distinct()
+    return numbered.join(lost, "__number", "left_anti").select("__row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
