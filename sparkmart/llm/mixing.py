@@ -122,13 +122,15 @@ def mix_documents(docs: DataFrame, columns: Mapping[str, Column], mixture: Mixtu
     - ``columns`` gives the category of each margin as a column of ``docs``; null counts as other.
     - Empty and null texts have no tokens and are kept with the probability of their cell.
     - Rows that repeat an id share one draw; a row without an id draws by its text.
-    - An empty table gives no rows. Columns named ``__cell_<n>`` or ``__p`` are reserved.
+    - An empty table gives no rows. Names of other columns are free.
     """
     prepare(docs.sparkSession)
     cells = _cells(columns, mixture)
     table = cell_probabilities(docs.select(*cells, word_count(F.col("text")).alias("tokens")), mixture)
-    marked = docs.select("*", *cells).join(F.broadcast(table), _names(mixture), "left")  # at most MAX_CELLS rows
-    return marked.where(draw(F.col("doc_id"), F.col("text"), mixture.seed) < F.col("__p")).select(*docs.columns)
+    drawn = draw(F.col("doc_id"), F.col("text"), mixture.seed).alias("__draw")
+    # A row travels as one value, so no name of its columns meets one of these.
+    marked = docs.select(F.struct("*").alias("__row"), drawn, *cells).join(F.broadcast(table), _names(mixture), "left")  # at most MAX_CELLS rows
+    return marked.where(F.col("__draw") < F.col("__p")).select("__row.*")
 
 
 def mixing_report(docs: DataFrame, columns: Mapping[str, Column], mixture: Mixture) -> DataFrame:

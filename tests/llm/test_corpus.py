@@ -288,3 +288,29 @@ def test_pipeline_decides_on_rows_not_ids(spark):
         assert len([t for _, t in near if t.startswith(one)]) == 1
     assert len(near) == 7
     assert (11, e) in near
+
+
+@pytest.mark.parametrize("big", [2**63 - 1, 40])
+def test_stages_leave_names_and_large_ids_alone(spark, tmp_path, big):
+    """Users' columns may be called what a stage calls its own, and ids may fill the range."""
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)) for _ in range(8)]
+    clash = ["__id", "__digest", "__row", "__number", "__own", "__p", "__draw", "__cell_0", "n", "kept", "score", "key", "tokens"]
+    ids = [-(2**63), 1, 2, 3, None, big, big, 7]
+    rows = [(i, t, "en", "src1", 1, *([f"u{k}"] * len(clash))) for k, (i, t) in enumerate(zip(ids, texts))]
+    rows.append((8, texts[1], "en", "src1", 1, *(["copy"] * len(clash))))
+    rows.append((None, texts[3] + " more", "en", "src1", 1, *(["near"] * len(clash))))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash)
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = [tuple(r) for r in out.collect()]
+        assert all(r in rows for r in got) and (name == "mixing" or {*rows[2:3], *rows[4:8]} <= set(got)), name
+        if name == "exact_dedup":
+            assert len(got) == 9 and rows[1] not in got
+        if name == "near_dedup":
+            assert len(got) == 8 and rows[3] in got and rows[-1] not in got
+    packed = corpus_pipeline.packing(spark, docs, str(tmp_path)).collect()
+    assert len(packed) == len(rows)
