@@ -86,7 +86,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     on a cluster, where a local folder of the driver would not do, it is an error.
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given and not spark.sparkContext.master.startswith("local["):
+    if not given and spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = given or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
