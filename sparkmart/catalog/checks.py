@@ -60,20 +60,20 @@ def dq_batch_overlap(spark, sf_dir):
     return quality.batch_overlap(_raw_reviews(spark, sf_dir), RAW_KEY[:3])
 
 
-def suite_tables(spark, sf_dir, base):
+def suite_tables(spark, sf_dir, base, keep=store):
     """All eight tables of the suite, stored under ``base`` as a pipeline would.
 
     Tags are keyword labels of every review in the fact table, by two labelers.
     """
-    raw_reviews = store(_raw_reviews(spark, sf_dir), f"{base}/raw_reviews")
-    raw_products = store(spark_input(spark, sf_dir, "raw_products"), f"{base}/raw_products")
-    tables = build_models(raw_reviews, raw_products, base, PRICE_CUTS, TOP_PRICE)
+    raw_reviews = keep(_raw_reviews(spark, sf_dir), f"{base}/raw_reviews")
+    raw_products = keep(spark_input(spark, sf_dir, "raw_products"), f"{base}/raw_products")
+    tables = build_models(raw_reviews, raw_products, base, PRICE_CUTS, TOP_PRICE, keep=keep)
     facts = tables["fct_reviews"]
     labelled = tagging.keyword_tags(facts.select("review_id", "rating", F.coalesce("review_text", F.lit("")).alias("text")))
     tags = tagging.tag_rows(labelled, "keyword_baseline", "regex-v1")
-    tables["review_tags"] = store(tags, f"{base}/review_tags")
+    tables["review_tags"] = keep(tags, f"{base}/review_tags")
     mart = models.mart_brand_complaints(tables["review_tags"], facts, tables["dim_brands"])
-    tables["mart_brand_complaints"] = store(mart, f"{base}/mart")
+    tables["mart_brand_complaints"] = keep(mart, f"{base}/mart_brand_complaints")
     return tables
 
 
@@ -107,6 +107,13 @@ def dq_suite(spark, sf_dir):
     return quality.suite_results(tables, _suite())
 
 
+def dq_observed(spark, sf_dir):
+    """All row rules of the suite, counted while the tables are written."""
+    observed = quality.Observed(_suite())
+    suite_tables(spark, sf_dir, work_dir(spark, "suite"), observed.store)
+    return observed.results(spark)
+
+
 def _run(spark, sf_dir):
     base = work_dir(spark, "suite")
     tables = suite_tables(spark, sf_dir, base)
@@ -179,6 +186,7 @@ QUERIES = {
     "dq_batch_overlap": dq_batch_overlap,
     "dq_keys_incremental": dq_keys_incremental,
     "dq_suite": dq_suite,
+    "dq_observed": dq_observed,
     "dq_store_failures": dq_store_failures,
     "dq_export": dq_export,
     "dq_export_sample": dq_export_sample,
@@ -271,6 +279,8 @@ ORACLES = {
         from (select 1 from fct_reviews where review_id is not null group by review_id having count(*) > 1))
       select * from failing""",
     "dq_suite": f"{_RESULTS} select * from results",
+    "dq_observed": f"""{_RESULTS} select * from results
+      where starts_with("check", 'not_null') or starts_with("check", 'not_blank') or starts_with("check", 'accepted_range')""",
     "dq_store_failures": f"""{_SUITE_MODELS},
   counts as ({_COUNTS})
   select check_name as "check", cast(failures as bigint) as n_rows from counts""",

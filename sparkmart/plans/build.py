@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,31 +19,30 @@ def build_models(
     cuts=tuple(models.PRICE_CUTS),
     top=models.TOP_PRICE,
     exclusive_flag: str = models.EXCLUSIVE_FLAG,
+    keep: Callable[[DataFrame, str], DataFrame] = store,
 ) -> dict[str, DataFrame]:
     """Staging and star schema from raw tables, stored under ``base``.
 
     Every model is stored because several later plans read it. ``exclusive_flag`` names
     the catalogue column that marks retailer exclusives, ``cuts`` and ``top`` the price bands.
+    ``keep`` writes a table and reads it back; that of ``quality.Observed`` checks rows on the way.
     """
     with ThreadPoolExecutor(2) as pool:
-        staged = pool.submit(store, models.stg_reviews(raw_reviews), f"{base}/stg_reviews")
-        tables = _products(raw_products, base, cuts, top, exclusive_flag)
+        staged = pool.submit(keep, models.stg_reviews(raw_reviews), f"{base}/stg_reviews")
+        tables = _products(raw_products, base, cuts, top, exclusive_flag, keep=keep)
         reviews = staged.result()
-    fact = store(models.fct_reviews(reviews, tables["dim_products"]), f"{base}/fct_reviews")
+    fact = keep(models.fct_reviews(reviews, tables["dim_products"]), f"{base}/fct_reviews")
     raw = {"raw_reviews": raw_reviews, "raw_products": raw_products}
     return raw | tables | {"stg_reviews": reviews, "fct_reviews": fact}
 
 
-def _all_brands(spark: SparkSession, products: DataFrame, path: str) -> DataFrame:
-    return store(models.dim_brands(products), path)
-
-
-def _products(raw_products: DataFrame, base: str, cuts, top, exclusive_flag: str, brands=_all_brands) -> dict[str, DataFrame]:
-    products = store(models.stg_products(raw_products, exclusive_flag), f"{base}/stg_products")
+def _products(raw_products: DataFrame, base: str, cuts, top, exclusive_flag: str, brands=None, keep=store) -> dict[str, DataFrame]:
+    products = keep(models.stg_products(raw_products, exclusive_flag), f"{base}/stg_products")
+    path = f"{base}/dim_brands"
     return {
         "stg_products": products,
-        "dim_products": store(models.dim_products(products, cuts, top, exclusive_flag), f"{base}/dim_products"),
-        "dim_brands": brands(products.sparkSession, products, f"{base}/dim_brands"),
+        "dim_products": keep(models.dim_products(products, cuts, top, exclusive_flag), f"{base}/dim_products"),
+        "dim_brands": brands(products.sparkSession, products, path) if brands else keep(models.dim_brands(products), path),
     }
 
 

@@ -115,3 +115,15 @@ def test_own_check_kinds(spark, reviews):
     assert got == {"shouting_t_product": 2, "at_most_t_product": 1}
     with pytest.raises(ValueError):
         quality.register_check("neither")
+
+
+def test_rules_observed_on_the_write_equal_the_suite(spark, base):
+    df = spark.createDataFrame([("a", 1), (None, 7), (" ", None)], "k string, v int")
+    checks = [quality.Check("t", ("k",), "not_null"), quality.Check("t", ("k",), "not_blank", {}, "warn"), quality.Check("t", ("v",), "accepted_range", {"low": 1, "high": 5}),
+              quality.Check("t", ("v",), "unique"), quality.Check("other", ("v",), "not_null")]
+    observed = quality.Observed(checks)
+    stored = observed.store(df, f"{base}/t")
+    want = quality.suite_results({"t": stored}, checks[:3])
+    assert sorted(map(tuple, observed.results(spark).collect())) == sorted(map(tuple, want.collect()))
+    assert observed.store(df.limit(0), f"{base}/x", "other").count() == 0
+    assert ("not_null_other_v", "other", "error", "pass", 0) in set(map(tuple, observed.results(spark).collect()))
