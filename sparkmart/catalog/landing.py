@@ -11,6 +11,7 @@ from sparkmart.functions.casts import leading_date, surrogate_key
 from sparkmart.operators.landing import (
     batch_log,
     land_batch,
+    land_files,
     land_partition,
     land_slices,
     late_rows,
@@ -134,6 +135,18 @@ def land_incremental(spark, sf_dir):
     return read_landed(spark, f"{_land_three(spark, sf_dir)}/reviews").drop("_loaded_at")
 
 
+def land_zone_map(spark, sf_dir):
+    """CSV files by year, landed in two calls: one opens all for their days, the other those of its slices only."""
+    base = work_dir(spark, "zones")
+    reviews, products = _sources(spark, sf_dir)
+    by_year = reviews.withColumn("part", F.coalesce(F.year(_day()), F.lit(0)))
+    by_year.write.options(**WRITE_OPTIONS).partitionBy("part").csv(f"{base}/csv")
+    read = lambda files: read_csv_by_name(spark, files, line_breaks=False)
+    for limit in (1, 2):
+        land_files(spark, f"{base}/csv/*/*.csv", products, f"{base}/raw", _day(), read, CUTOFF, STEP, limit=limit)
+    return read_landed(spark, f"{base}/raw/reviews").drop("_loaded_at")
+
+
 def batch_days(spark, sf_dir):
     """Distinct days each batch holds."""
     landed = read_landed(spark, f"{_land_three(spark, sf_dir)}/reviews")
@@ -176,6 +189,7 @@ QUERIES = {
     "batch_window": batch_window,
     "land_backfill": land_backfill,
     "land_incremental": land_incremental,
+    "land_zone_map": land_zone_map,
     "batch_days": batch_days,
     "land_idempotent": land_idempotent,
     "land_exhausted": land_exhausted,
@@ -228,6 +242,8 @@ ORACLES = {
       from source_reviews where {_DAY} <= date '2000-12-31' or {_DAY} is null""",
     "land_incremental": f"""{_LANDED}
       select * exclude (day), {_BATCH_ID} as _batch_id from landed where load_date is not null""",
+    "land_zone_map": f"""{_LANDED.replace('from source_reviews)', "from (select nullif(columns(*), '') from source_reviews))")}
+      select * exclude (day), {_BATCH_ID} as _batch_id from landed where load_date is not null""",
     "batch_days": f"""{_LANDED}
       select distinct {_BATCH_ID} as _batch_id, day from landed where load_date is not null""",
     "land_idempotent": f"""{_REVIEWS}

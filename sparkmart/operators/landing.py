@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.operators.merge import replace_partitions
+from sparkmart.sources.csv import list_files
 from sparkmart.sources.landed import read_or_empty
+from sparkmart.sources.paths import file_states, path_uri, plain_path
 
 BACKFILL_GAP_DAYS = 30
 BATCH_LOG = "batch_id string, load_date date, reviews long, products long, loaded_at string, source string, min_date date, max_date date"
@@ -152,13 +155,15 @@ def land_slices(
     days: int = 1,
     source: str = "dir",
     limit: int = 1000,
+    span: Mapping[str, date | None] | None = None,
 ) -> list[Slice]:
     """Land up to ``limit`` due slices with one pass over the source, besides that for its range.
 
     The table is the one that as many calls of ``land_batch`` give, except that a slice
     without reviews leaves no folder of them. All slices are logged together, last.
+    ``span`` gives the range where it is known; ``reviews`` may then lack rows of other days.
     """
-    span = source_date_range(reviews, day).first()
+    span = source_date_range(reviews, day).first() if span is None else span
     if span["max_date"] is None:
         raise ValueError("the source has no row with a parseable date")
     parts = due_slices(load_watermark(spark, base), span["max_date"], backfill_until, days, limit)
@@ -204,3 +209,55 @@ def slice_bounds(watermark: Column, max_date: Column, days: int = 1) -> Column:
         F.date_sub(max_date, BACKFILL_GAP_DAYS).alias("cutoff"),
         (watermark >= max_date).alias("exhausted"),
     )
+
+
+ZONES = "file string, bytes long, modified long, low date, high date, undated long"
+
+
+def zone_map(spark: SparkSession, pattern: str, path: str, day: Column, read: Callable[[list[str]], DataFrame]) -> list[Row]:
+    """The days that each file of a source holds, of all files that match ``pattern`` now.
+
+    Kept at ``path`` by file, length and time, so a file is opened for it once. ``read`` reads files, with their
+    names in ``filename``. One row per file is on the driver, as in Spark's own listing.
+    """
+    states = file_states(spark, [path_uri(spark, p) for p, _ in list_files(spark, pattern)])
+    known = {(r["file"], r["bytes"], r["modified"]) for r in read_or_empty(spark, path, ZONES).collect()}
+    fresh = {f: s for f, s in states.items() if (f, *s) not in known}
+    if fresh:
+        dated = read(sorted(fresh)).select("filename", day.alias("day"))
+        found = dated.groupBy("filename").agg(F.min("day").alias("low"), F.max("day").alias("high"), F.count_if(F.col("day").isNull()).alias("undated"))
+        zones = {plain_path(spark, r["filename"]): (r["low"], r["high"], r["undated"]) for r in found.collect()}
+        rows = [(f, *s, *zones.get(f, (None, None, 0))) for f, s in sorted(fresh.items())]
+        spark.createDataFrame(rows, ZONES).coalesce(1).write.mode("append").parquet(path)
+    return [r for r in read_or_empty(spark, path, ZONES).collect() if states.get(r["file"]) == (r["bytes"], r["modified"])]
+
+
+def land_files(
+    spark: SparkSession,
+    pattern: str,
+    products: DataFrame,
+    base: str,
+    day: Column,
+    read: Callable[[list[str]], DataFrame],
+    backfill_until: date | None = None,
+    days: int = 1,
+    source: str = "dir",
+    limit: int = 1000,
+) -> list[Slice]:
+    """``land_slices`` from the files of a source: only those that hold days of the due slices are opened.
+
+    New files are opened once more, for the zone map.
+    """
+    zones = zone_map(spark, pattern, f"{base}/zones", day, read)
+    lows, highs = ([z[c] for z in zones if z[c]] for c in ("low", "high"))
+    span = {"min_date": min(lows, default=None), "max_date": max(highs, default=None)}
+    if span["max_date"] is None:
+        raise ValueError("the source has no row with a parseable date")
+    parts = due_slices(load_watermark(spark, base), span["max_date"], backfill_until, days, limit)
+    if not parts:
+        return []
+    low, high = parts[0].low, parts[-1].high
+    # A backfill reaches back without limit and takes undated rows.
+    due = [z for z in zones if (z["low"] and z["low"] <= high and (low is None or z["high"] > low)) or (low is None and z["undated"])]
+    reviews = read(sorted(z["file"] for z in due or zones[:1])).drop("filename")
+    return land_slices(spark, reviews, products, base, day, backfill_until, days, source, limit, span)

@@ -26,9 +26,10 @@ NO_SEPARATOR = "\u0001\u0002\u0001"
 END_MARK = "\u0003end\u0003"
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
-    """``(path, bytes)`` of matching files; an empty match is an error."""
-    files = matching_files(spark, pattern)
+def list_files(spark: SparkSession, pattern: str | Sequence[str]) -> list[tuple[str, int]]:
+    """``(path, bytes)`` of files that match a pattern, or one of several; an empty match is an error."""
+    patterns = [pattern] if isinstance(pattern, str) else list(pattern)
+    files = sorted({f for p in patterns for f in matching_files(spark, p)})
     if not files:
         raise ValueError(f"no file matches {pattern}")
     return files
@@ -57,7 +58,7 @@ def _schema(header: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in header])
 
 
-def read_csv_by_name(spark: SparkSession, pattern: str, filename: bool = True, line_breaks: bool = True, one_task: bool = False) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, pattern: str | Sequence[str], filename: bool = True, line_breaks: bool = True, one_task: bool = False) -> DataFrame:
     """All files that match ``pattern`` as text columns, aligned by column name.
 
     A column missing from a file is NULL there. ``filename`` adds the file path.

@@ -55,6 +55,16 @@ def first_lines(spark: SparkSession, path: str) -> Iterator[str]:
         stream.close()
 
 
+def path_uri(spark: SparkSession, path: str) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """The path of a file given by URI, as listings spell it."""
+    jvm = spark._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
 def file_states(spark: SparkSession, paths: list[str]) -> dict[str, tuple[int, int]]:
     """``(bytes, modification time)`` of files given by URI, by path, with one listing for each folder they are in."""
     jvm = spark._jvm

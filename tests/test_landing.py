@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.casts import leading_date
 from sparkmart.operators import landing
+from sparkmart.operators.landing import land_files
 from sparkmart.plans.quality import batch_overlap
+from sparkmart.sources.csv import read_csv_by_name
 from sparkmart.sources.landed import read_landed
 from sparkmart.sources.paths import partition_values
 
@@ -93,3 +95,36 @@ def test_late_rows_are_those_no_slice_takes(spark):
     landed = df.where("k = 'a'")
     late = landing.late_rows(df, leading_date("t"), dt.date(2022, 1, 2), landed, "k")
     assert [r["k"] for r in late.collect()] == ["b"]
+
+
+def test_files_are_opened_for_their_days_once(spark, base):
+    """The zone map gives the slices of a full scan; new, rewritten and overlapping files are opened, others are not."""
+    read_files = []
+
+    def read(files):
+        read_files.append(sorted(f.rsplit("/", 1)[1] for f in files))
+        return read_csv_by_name(spark, files)
+
+    def write(name, *rows):
+        with open(f"{base}/{name}.csv", "w") as f:
+            f.write("k,day\n" + "".join(f"{k},{d}\n" for k, d in rows))
+
+    def landed():
+        rows = spark.read.parquet(f"{base}/raw/reviews").select("k", F.col("load_date").cast("string")).collect()
+        return sorted(map(tuple, rows))
+
+    day, products = leading_date("day"), spark.createDataFrame([("p",)], "product_id string")
+    land = lambda **o: land_files(spark, f"{base}/*.csv", products, f"{base}/raw", day, read, **o)
+    write("a", ("1", "2022-01-01"), ("2", "2022-01-03"), ("3", "soon"))
+    write("b", ("4", "2022-01-02"), ("5", "2022-01-05"))
+    write("only_undated", ("6", ""))
+    land(backfill_until=dt.date(2022, 1, 3), limit=1)
+    assert read_files == [["a.csv", "b.csv", "only_undated.csv"], ["a.csv", "b.csv", "only_undated.csv"]]
+    assert landed() == [(k, "2022-01-03") for k in "12346"]
+    read_files.clear()
+    write("c", ("7", "2022-01-06"), ("8", "2022-01-09"))
+    assert [p.high.day for p in land(days=2)] == [5, 7, 9]
+    assert read_files == [["c.csv"], ["b.csv", "c.csv"]]
+    assert {("5", "2022-01-05"), ("7", "2022-01-07"), ("8", "2022-01-09")} <= set(landed()) and len(landed()) == 8
+    read_files.clear()
+    assert land(days=2) == [] and read_files == []
