@@ -19,9 +19,11 @@ from sparkmart.operators.key_directory import KeyDirectory
 from sparkmart.plans.models import store
 from sparkmart.plans.quality import Check
 from sparkmart.sources.landed import read_or_empty
+from sparkmart.sources.paths import partition_values
 
 LEDGER = "key string, batch string, n long, arrived int"
 RUNS = "run int, batch string"
+EXPLODED = "batch string, check int, full string, key string"
 #: What makes a key fail, from its rows and the partitions that hold it.
 FAILS = {"unique": "n > 1", "unique_combination": "n > 1", "batch_overlap": "batches > 1"}
 
@@ -61,9 +63,11 @@ def update_key_checks(
     run = done + 1
     if changed:
         names = [str(c) for c in changed]
-        whole = spark.read.parquet(table)
+        whole = spark.read.parquet(table) if partition_values(spark, table, batch) else None
 
         def rows(batches: Sequence[str]) -> DataFrame:
+            if whole is None:  # the last partition is gone, and the columns with it
+                return spark.createDataFrame([], EXPLODED)
             return _exploded(whole.where(F.col(batch).cast("string").isin(list(batches))), checks, batch, code)
 
         fresh = rows(names).groupBy("key", "batch").agg(F.count("*").alias("n"))

@@ -65,6 +65,9 @@ def test_a_run_that_died_is_repeated(spark, base, monkeypatch):
     monkeypatch.undo()
     land(spark, table, "2022-01-02", [("y", 1), ("y", 2)])
     assert found(update_key_checks(spark, table, CHECKS, ["2022-01-02"], f"{base}/k")) == [1, 2, 0]
+    for day in ("2022-01-01", "2022-01-02"):
+        land(spark, table, day, [])
+    assert found(update_key_checks(spark, table, CHECKS, ["2022-01-01", "2022-01-02"], f"{base}/k")) == [0, 0, 0]
 
 
 def test_one_shuffle_counts_all_checks_and_only_suspects_are_read_again(spark, base, monkeypatch):
