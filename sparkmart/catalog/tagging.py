@@ -100,7 +100,7 @@ def label_response_parse(spark, sf_dir):
 
 def _length_labeler(prompt: str) -> str:
     """Stands in for a model: calls a text a complaint by its length, and quotes the length."""
-    items = re.findall(r"^\[r(\d+)\] (.*?)(?=\n\[r\d+\] |\Z)", prompt.split("Reviews:\n", 1)[1], re.S | re.M)
+    items = re.findall(r"^\[r(\d+)\] (.*?)(?=\n\[r\d+\] |\Z)", prompt.split("\nInput:\n", 1)[1], re.S | re.M)
     return json.dumps(
         [
             {
