@@ -140,3 +140,12 @@ def test_origins_pass_through_splits_without_a_record_end():
     rows = [dict(zip(("file", "start", "from_closed", "from_open", "ends"), m), filled=True, returns=False, bytes=10, size=40) for m in maps]
     starts = Starts(rows[::-1])
     assert [starts.origin("f", s) for s in (0, 10, 20, 30)] == [-1, 0, 0, -1] and starts.crossing and not starts.closing
+
+
+@pytest.mark.parametrize("line_breaks", [True, False])
+def test_a_record_is_parsed_once(spark, tmp_path, line_breaks):
+    write(tmp_path / "x.csv", ["a", "b", "c"], [["1", "x", "y"], ["2", "", "z"]])
+    rows = read_csv_snapshot(spark, f"{tmp_path}/x.csv", line_breaks=line_breaks).where("a > 1 and b is null")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert [tuple(r) for r in rows.collect()] == [("2", None, "z")]
