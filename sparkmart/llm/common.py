@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sparkmart.session import configure, share_package, work_dir
+from sparkmart.session import RUNTIME_SETTINGS, configure, share_package, work_dir
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on: batches bounded in bytes, and this package on the workers' path."""
-    configure(spark)
+    configure(spark, RUNTIME_SETTINGS)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     share_package(spark)

@@ -3,10 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmart.catalog.inputs import spark_input
 from sparkmart.functions.casts import leading_date
 from sparkmart.operators import landing
 from sparkmart.operators.landing import land_files
+from sparkmart.operators.merge import replace_partitions
 from sparkmart.plans.quality import batch_overlap
+from sparkmart.session import configure
 from sparkmart.sources.csv import read_csv_by_name
 from sparkmart.sources.landed import read_landed
 from sparkmart.sources.paths import partition_values
@@ -128,3 +131,21 @@ def test_files_are_opened_for_their_days_once(spark, base):
     assert {("5", "2022-01-05"), ("7", "2022-01-07"), ("8", "2022-01-09")} <= set(landed()) and len(landed()) == 8
     read_files.clear()
     assert land(days=2) == [] and read_files == []
+
+
+def test_partitions_are_written_side_by_side(spark, base):
+    """Without writers side by side a task sorts all its rows by their partition."""
+    rows = configure(spark).range(100).selectExpr("id", "date_add(date '2001-01-01', cast(id % 3 as int)) as load_date")
+    replace_partitions(rows, f"{base}/t")
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 4
+    assert sorted(r["count"] for r in spark.read.parquet(f"{base}/t").groupBy("load_date").count().collect()) == [33, 33, 34]
+
+
+def test_files_of_many_splits_are_read_as_they_lie(spark, base):
+    """A fixed number of partitions holds more rows each as the tables grow."""
+    columns = "id as l_orderkey, id as l_partkey, id as l_suppkey, cast(id % 7 as int) as l_linenumber, 1d as l_quantity, 1d as l_extendedprice, 0d as l_discount, 'R' as l_returnflag, 'O' as l_linestatus, timestamp_ntz '2001-02-03 00:00:00' as l_shipdate"
+    for files in (1, 16):
+        folder = f"{base}/{files}"
+        spark.range(0, 160, 1, files).selectExpr(*columns.split(", ")).write.parquet(f"{folder}/lineitem.parquet")
+        plan = spark_input(spark, folder, "source_reviews")._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Repartition" in plan) == (files == 1)
