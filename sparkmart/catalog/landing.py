@@ -26,6 +26,8 @@ from sparkmart.sources.paths import matching_files
 
 CUTOFF = date(2000, 12, 31)
 STEP = 60
+# Bytes of text that go to one file of raw CSV, about.
+FILE_BYTES = 64 << 20
 
 
 def _day():
@@ -65,21 +67,23 @@ def csv_line_scan(spark, sf_dir):
 
 
 def csv_multiline_split(spark, sf_dir):
-    """Whole documents in two files of raw CSV with line breaks, doubled and stray quotes, each read in eight splits or more."""
+    """Whole documents in files of raw CSV, two at least, with line breaks, doubled and stray quotes, each read in eight splits or more."""
     base = work_dir(spark, "csv")
     docs = table(spark, sf_dir, "documents")
+    # One task writes a file, so their number grows with the texts and not their size.
+    files = max(2, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES)
     quote = F.lit('"')
     text = F.concat(quote, F.replace(F.col("text"), quote, F.lit('""')), quote)
     note = F.concat(F.when(F.col("doc_id") % 3 == 0, F.lit('5" ')).otherwise(F.lit('"a, ""b" ')), F.coalesce("lang", F.lit("")))
     record = F.concat_ws(",", F.col("doc_id").cast("string"), F.coalesce(text, F.lit("")), note)
-    lines = docs.select(F.pmod("doc_id", F.lit(2)).alias("file"), F.lit(1).alias("place"), record.alias("line"))
-    heads = spark.range(2).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("doc_id,text,note").alias("line"))
-    dealt = lines.unionByName(heads).repartition(2, "file").sortWithinPartitions("file", "place")
+    lines = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(files)).alias("file"), F.lit(1).alias("place"), record.alias("line"))
+    heads = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("doc_id,text,note").alias("line"))
+    dealt = lines.unionByName(heads).repartition(files, "file").sortWithinPartitions("file", "place")
     dealt.select("file", "line").write.partitionBy("file").text(f"{base}/raw")
     size = sum(n for _, n in matching_files(spark, f"{base}/raw/*/*.txt"))
     name = "spark.sql.files.maxPartitionBytes"
     usual = spark.conf.get(name)
-    spark.conf.set(name, str(max(1024, size // 24)))
+    spark.conf.set(name, str(max(1024, size // (12 * files))))
     try:
         scanned = read_csv_snapshot(spark, f"{base}/raw/*/*.txt")
         scanned = store(scanned.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), "note"), f"{base}/read")

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmart.catalog import landing as landing_queries
 from sparkmart.catalog.inputs import spark_input
 from sparkmart.functions.casts import leading_date
 from sparkmart.operators import landing
@@ -12,7 +13,7 @@ from sparkmart.plans.quality import batch_overlap
 from sparkmart.session import configure
 from sparkmart.sources.csv import read_csv_by_name
 from sparkmart.sources.landed import read_landed
-from sparkmart.sources.paths import partition_values
+from sparkmart.sources.paths import matching_files, partition_values
 
 DAY0 = dt.date(2022, 5, 1)
 
@@ -149,3 +150,17 @@ def test_files_of_many_splits_are_read_as_they_lie(spark, base):
         spark.range(0, 160, 1, files).selectExpr(*columns.split(", ")).write.parquet(f"{folder}/lineitem.parquet")
         plan = spark_input(spark, folder, "source_reviews")._jdf.queryExecution().optimizedPlan().toString()
         assert ("Repartition" in plan) == (files == 1)
+
+
+def test_raw_csv_comes_in_more_files_where_the_table_is_larger(spark, base, monkeypatch):
+    docs = [(i, f'line {i}\nsays "{i}", twice', "en", "src0", 9) for i in range(300)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{base}/documents.parquet")
+    read, files = landing_queries.read_csv_snapshot, []
+    monkeypatch.setattr(landing_queries, "read_csv_snapshot", lambda s, p: files.extend(matching_files(s, p)) or read(s, p))
+    for size in (32 << 20, 500):
+        monkeypatch.setattr(landing_queries, "FILE_BYTES", size, raising=False)
+        files.clear()
+        rows = landing_queries.csv_multiline_split(spark, base).collect()
+        assert sorted(int(r["doc_id"]) for r in rows) == list(range(300))
+        assert len({r["text_md5"] for r in rows}) == 300
+        assert (len(files) == 2) if size > 500 else (len(files) > 2)
