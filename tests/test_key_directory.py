@@ -100,3 +100,15 @@ def test_neither_staged_rows_nor_old_raw_files_are_searched(spark, base, monkeyp
     models.extend_staged_reviews(spark, f"{base}/raw/reviews", f"{base}/staged")
     assert all(str(D[3]) in r for r in read)
     staged_equals_full(spark, base)
+
+
+def test_equal_entries_are_kept_once_without_storing_typed_rows(spark, base):
+    directory = KeyDirectory(spark, f"{base}/d", buckets=2)
+    twice = [("k", dt.date(2022, 1, 1), "f", 1), ("k", dt.date(2022, 1, 1), "f", 1), ("l", None, "f", 1), ("l", None, "f", 1)]
+    directory.add(spark.createDataFrame(twice, ENTRY), 1, distinct=True)
+    assert sorted(map(str, directory.arrivals([1]).select("key").collect())) == ["Row(key='k')", "Row(key='l')"]
+    for day in D[:2]:
+        land_reviews(spark, base, day, [review("a", "p", D[0]), review("a", "p", D[0]), review(f"b{day}", "p", day)])
+        models.extend_staged_reviews(spark, f"{base}/raw/reviews", f"{base}/staged")
+    assert "typed" not in file_names(spark, f"{base}/staged_run")
+    staged_equals_full(spark, base)
