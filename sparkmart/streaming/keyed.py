@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from sparkmart.sources.landed import read_or_empty
 
 FIRST, REPEATED, LATE = "first", "repeated", "late"
 SHARDS = 256
-STATE = "keys array<string>, times array<long>"
+#: Keys, none of which holds a line break, as one text, and their times as 8-byte numbers: no value is handled alone.
+STATE = "keys string, times binary"
 
 
 def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, keep_days: float, shards: int = SHARDS) -> DataFrame:
@@ -43,21 +45,24 @@ def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, k
 
     def tell(_: tuple, parts: Iterator[pd.DataFrame], state: StreamState) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
-        held = dict(zip(*state.get)) if state.exists else {}
+        held, times = _held(state)
         rows = pd.concat(list(parts), ignore_index=True)
-        order = ["_millis", *names]
-        text = rows[order].astype({c: "string" for c in names})
-        rows = rows.loc[text.sort_values(order, kind="stable").index]
-        status = []
-        for k, t in zip(rows["_key"], rows["_millis"]):
-            if 0 <= t < watermark:
-                status.append(LATE)
-                continue
-            status.append(REPEATED if k in held else FIRST)
-            held[k] = max(t, held.get(k, t), 0)
-        limit = watermark - keep
-        kept = {k: t for k, t in held.items() if t >= limit}
-        state.update((list(kept), list(kept.values())))
+        millis = rows["_millis"].to_numpy("int64")
+        late = (millis >= 0) & (millis < watermark)
+        status = np.where(late, LATE, REPEATED).astype(object)
+        on_time = np.flatnonzero(~late)
+        codes, found = pd.factorize(rows["_key"].iloc[on_time])
+        place = pd.Index(held).get_indexer(found)
+        newest = np.zeros(len(found), "int64")
+        newest[place >= 0] = times[place[place >= 0]]
+        np.maximum.at(newest, codes, millis[on_time])
+        new = place[codes] < 0
+        status[_first_rows(rows, names, on_time[new], codes[new], millis)] = FIRST
+        untouched = np.ones(len(held), bool)
+        untouched[place[place >= 0]] = False
+        held, times = np.concatenate([held[untouched], found]), np.concatenate([times[untouched], newest])
+        kept = times >= watermark - keep
+        state.update(("\n".join(held[kept]), times[kept].tobytes()))
         yield rows[names].assign(status=status)
 
     told = keyed.groupBy("_shard").applyInPandasWithState(tell, schema, STATE, "append", GroupStateTimeout.NoTimeout)
@@ -66,6 +71,28 @@ def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, k
     return told.select(*back, F.concat("status", F.lit("")).alias("status"))
 
 
+def _held(state: StreamState) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a shard and their newest times."""
+    text, times = state.get if state.exists else ("", b"")
+    keys = np.array(text.split("\n") if times else [], dtype=object)
+    return keys, np.frombuffer(bytes(times), "int64")
+
+
+def _first_rows(rows: pd.DataFrame, names: list[str], at: np.ndarray, codes: np.ndarray, millis: np.ndarray) -> np.ndarray:
+    """Positions, among those at ``at``, of the first row of each code: by time, then by all columns as text."""
+    earliest = np.full(codes.max(initial=-1) + 1, np.iinfo("int64").max)
+    np.minimum.at(earliest, codes, millis[at])
+    may = millis[at] == earliest[codes]
+    at, codes = at[may], codes[may]
+    tied = np.bincount(codes)[codes] > 1 if len(codes) else np.zeros(0, bool)
+    # Equal rows are all as good; only codes with different rows at their first time need an order.
+    text = rows[names].iloc[at[tied]].astype("string").assign(_code=codes[tied], _at=at[tied])
+    text = text.drop_duplicates(["_code", *names])
+    differ = text["_code"].duplicated(keep=False)
+    ordered = text[differ].sort_values(names, kind="stable").drop_duplicates("_code")
+    return np.concatenate([at[~tied], text.loc[~differ, "_at"].to_numpy("int64"), ordered["_at"].to_numpy("int64")])
+
+
 # --- counts ------------------------------------------------------------------------
 
 

@@ -1,8 +1,11 @@
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmart.streaming import keyed
 from sparkmart.streaming.keyed import DailyCounts, classify_stream, count_stream
 from sparkmart.streaming.reviews import daily_counts, dedup_stream, event_stream, land_stream, write_stream
 
@@ -123,3 +126,33 @@ def test_a_batch_that_died_before_its_log_is_not_read(spark, base, monkeypatch):
     assert [r["n"] for r in counts.read().collect()] == [1]
     counts.upsert(rows, 1, "t")
     assert [r["n"] for r in counts.read().collect()] == [2]
+
+
+def test_ties_are_settled_by_all_columns_and_times_are_kept(spark, base):
+    """Rows of one time: the smallest text is first, NULLs last; equal rows give one first; a late row renews no key."""
+    at = lambda d: dt.datetime(2022, 1, d)
+    runs = [
+        [(1, at(2), "b"), (1, at(2), "a"), (1, at(2), None), (2, at(2), "x"), (2, at(2), "x"), (3, at(2), None), (3, at(2), "z"), (4, at(1), "z")],
+        [(5, at(9), "n"), (1, at(1), "b")],
+        [(1, at(2), "late"), (6, at(8), "p"), (6, at(7), "q")],
+    ]
+    for rows in runs:
+        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(f"{base}/in")
+        told = classify_stream(event_stream(spark, f"{base}/in", "t", SCHEMA), ["id"], "t", "2 days", 30, shards=1)
+        write_stream(told, f"{base}/out", f"{base}/cp").awaitTermination()
+    got = sorted(((r["id"], r["t"].day, r["v"], r["status"]) for r in spark.read.parquet(f"{base}/out").collect()), key=str)
+    assert got == sorted([
+        (1, 2, "a", "first"), (1, 2, "b", "repeated"), (1, 2, None, "repeated"), (2, 2, "x", "first"), (2, 2, "x", "repeated"),
+        (3, 2, "z", "first"), (3, 2, None, "repeated"), (4, 1, "z", "first"), (5, 9, "n", "first"), (1, 1, "b", "repeated"),
+        (1, 2, "late", "late"), (6, 8, "p", "repeated"), (6, 7, "q", "first"),
+    ], key=str)
+
+
+def test_only_different_rows_of_one_time_are_sorted(monkeypatch):
+    """All rows of a shard were sorted by their texts."""
+    sorted_rows, whole = [], pd.DataFrame.sort_values
+    monkeypatch.setattr(pd.DataFrame, "sort_values", lambda self, *a, **k: sorted_rows.append(len(self)) or whole(self, *a, **k))
+    n = 1000
+    rows = pd.DataFrame({"id": [str(i // 2) for i in range(2 * n)], "v": ["v"] * (2 * n - 1) + ["a"]})
+    first = keyed._first_rows(rows, ["id", "v"], np.arange(2 * n), np.arange(2 * n) // 2, np.zeros(2 * n, "int64"))
+    assert sorted(first) == [*range(0, 2 * n - 2, 2), 2 * n - 1] and sorted_rows == [2]
