@@ -6,11 +6,12 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmart.operators import quantile_sketch
+from sparkmart.operators import dedup, quantile_sketch
 from sparkmart.operators.dedup import keep_first, keep_last, latest_snapshot
 from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import apply_delete_insert, delete_insert, new_partitions
 from sparkmart.operators.sampling import first_rows, number_batches, stratified_sample
+from sparkmart.plans import models
 from sparkmart.session import package_archive
 from sparkmart.sources.paths import partition_values
 
@@ -149,3 +150,32 @@ def test_sketched_medians_stay_within_their_bound(spark, base):
 def test_the_package_as_an_archive():
     names = zipfile.ZipFile(package_archive()).namelist()
     assert "sparkmart/session.py" in names and "sparkmart/operators/median.py" in names
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 10, 1])
+def test_only_rows_that_may_repeat_are_split_off(spark, monkeypatch, bits):
+    """However many bits mark the repeated keys, no repeated key is left among the others; NULL is a key."""
+    monkeypatch.setattr(dedup, "BITS", bits)
+    rows = [(str(i % 100) if i % 25 else None, i) for i in range(110)] + [(f"x{i}", -i) for i in range(300)]
+    once, again = dedup.split_repeated(spark.createDataFrame(rows, "k string, v int"), F.col("k"))
+    once, again = [tuple(r) for r in once.collect()], [tuple(r) for r in again.collect()]
+    assert sorted(once + again, key=str) == sorted(rows, key=str)
+    keys = [k for k, _ in rows]
+    assert {k for k in keys if keys.count(k) > 1} <= {k for k, _ in again} and not {k for k, _ in once} & {k for k, _ in again}
+    assert len(again) == (len(rows) if bits == 1 else 23) or bits == 1 << 10
+
+
+def test_staging_of_stored_rows_equals_that_of_any_rows_and_shuffles_repeated_reviews_only(spark, base):
+    """Copies with other titles and dates, NULL parts of a key, and parts that join to the same text."""
+    keys = [("a", "p", "2022-01-01", "t"), ("a", "p", "2022-01-01", None), (None, "p", "2022-01-02", ""), ("a|p", "p", "2022-01-01", "t")]
+    rows = [{"author_id": f"u{i}", "product_id": "p", "submission_time": "2022-01-01", "review_text": "t", "review_title": str(i), "load_date": d} for i in range(50) for d in ["2022-01-01"]]
+    for n, day in enumerate(["2022-01-02", "2022-01-01", "2022-01-01"]):
+        rows += [dict(zip(("author_id", "product_id", "submission_time", "review_text"), k), review_title=str(n), load_date=day) for k in keys]
+    schema = models.RAW_REVIEW.replace("load_date date", "load_date string")
+    rows = [{"rating": "4", **r} for r in rows]
+    raw = spark.createDataFrame([tuple(r.get(c.split()[0]) for c in schema.split(", ")) for r in rows], schema).withColumn("load_date", F.col("load_date").cast("date"))
+    raw = models.store(raw, f"{base}/raw")
+    got, want = (sorted(map(str, models.stg_reviews(raw, stored=s).collect())) for s in (True, False))
+    assert got == want and len(want) == 50 + len(keys)
+    _, again = dedup.split_repeated(raw, F.expr(f"concat_ws('|', {', '.join(models.REVIEW_KEY)})"))
+    assert again.count() == 3 * len(keys)
