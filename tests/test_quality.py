@@ -127,3 +127,15 @@ def test_rules_observed_on_the_write_equal_the_suite(spark, base):
     assert sorted(map(tuple, observed.results(spark).collect())) == sorted(map(tuple, want.collect()))
     assert observed.store(df.limit(0), f"{base}/x", "other").count() == 0
     assert ("not_null_other_v", "other", "error", "pass", 0) in set(map(tuple, observed.results(spark).collect()))
+
+
+def test_unique_by_hash_shuffles_no_key_that_occurs_once(spark):
+    """The checks of review keys in the suite are by hash; NULL is ignored and repeated values are told as without."""
+    df = spark.createDataFrame([(str(i // 2) if i < 20 else str(i) if i < 40 else None,) for i in range(45)], "k string")
+    got, want = (sorted(map(tuple, quality.unique(df, "k", by_hash).collect())) for by_hash in (True, False))
+    assert got == want == sorted((str(i), 2) for i in range(10))
+    held = {c.name: c for c in quality.standard_suite()}
+    for name in ("unique_stg_reviews_review_id", "unique_fct_reviews_review_id"):
+        assert held[name].args == {"by_hash": True}
+        tables = {held[name].table: df.withColumnRenamed("k", "review_id")}
+        assert held[name].count(tables).first()[0] == 10 and held[name].failing(tables).count() == 10
