@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators.landing import land_partition
 from sparkmart.plans import build, models
 from sparkmart.sources.landed import read_landed
-from sparkmart.sources.paths import partition_values
+from sparkmart.sources.paths import exists, partition_values
 
 D = [dt.date(2022, 1, n) for n in range(1, 6)]
 REVIEW = [
@@ -188,3 +188,26 @@ def test_complaint_mart_keeps_labelers_apart(spark):
     assert got == sorted([
         ("zero", "x", "scent", 3, 2, 5, 0.6), ("zero", "x", "none", 2, 0, 5, 0.4), ("zero", "y", "scent", 1, 1, 1, 1.0),
         ("one", "x", "scent", 3, 2, 5, 0.6), ("one", "x", "none", 2, 0, 5, 0.4)], key=str)
+
+
+def test_restaging_keeps_no_copies_of_rows_and_ranks_rivals_only(spark, base):
+    """A batch lands wrong and again with rows that are new, repeated, changed or staged under a later day; run folders are gone afterwards."""
+    raw, staged = f"{base}/raw/reviews", f"{base}/staged"
+    land_products(spark, base, D[0], [product("p")])
+    land_reviews(spark, base, D[1], [review(f"a{i}", "p", D[0], review_title="wrong") for i in range(6)])
+    land_reviews(spark, base, D[2], [review("b", "p", D[0]), review("late", "p", D[0], review_title="later"), review("c", "p", D[0])])
+    products = models.stg_products(read_landed(spark, f"{base}/raw/products"))
+    for step in range(4):
+        if step == 1:
+            again = [review(f"a{i}", "p", D[0], review_title=f"t{i}") for i in range(3, 9)]
+            land_reviews(spark, base, D[1], [*again, again[0] | {"review_title": "s"}, review("late", "p", D[0], review_title="first")])
+        if step == 2:
+            land_reviews(spark, base, D[0], [review("c", "p", D[0], review_title="z"), review("c", "p", D[0], review_title="y"), review("n", "p", D[0])])
+        if step == 3:
+            land_reviews(spark, base, D[0], [review("n", "p", D[0])])
+        models.extend_staged_reviews(spark, raw, staged)
+        models.extend_fact(spark, staged, products, f"{base}/fact")
+        want = models.stg_reviews(read_landed(spark, raw))
+        assert rows(spark.read.parquet(staged), *want.columns) == rows(want, *want.columns)
+        assert rows(spark.read.parquet(f"{base}/fact"), *models.FACT_COLUMNS) == rows(models.fct_reviews(want, products), *models.FACT_COLUMNS)
+        assert not exists(spark, f"{staged}_run") and not exists(spark, f"{base}/fact_run")

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import statistics
+import time
 import zipfile
 
 import pytest
@@ -12,7 +13,7 @@ from sparkmart.operators.median import exact_median
 from sparkmart.operators.merge import apply_delete_insert, delete_insert, new_partitions
 from sparkmart.operators.sampling import first_rows, number_batches, stratified_sample
 from sparkmart.plans import models
-from sparkmart.session import package_archive
+from sparkmart.session import configure, package_archive
 from sparkmart.sources.paths import partition_values
 
 
@@ -179,3 +180,48 @@ def test_staging_of_stored_rows_equals_that_of_any_rows_and_shuffles_repeated_re
     assert got == want and len(want) == 50 + len(keys)
     _, again = dedup.split_repeated(raw, F.expr(f"concat_ws('|', {', '.join(models.REVIEW_KEY)})"))
     assert again.count() == 3 * len(keys)
+
+
+@pytest.mark.parametrize("bits", [1, 1 << 4, 1 << 10])
+def test_rows_are_split_by_keys_as_joins_split_them(spark, monkeypatch, bits):
+    """With one bit every row is unsure; NULL keys and repeated rows and keys are told as joins tell them."""
+    monkeypatch.setattr(dedup, "BITS", bits)
+    rows = [(str(i % 40), i) for i in range(100)] + [(None, 1000), (None, 1000)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    for held in ([str(i) for i in range(0, 60, 3)] * 2 + [None], [], [None], [str(i) for i in range(40)]):
+        keys = spark.createDataFrame([(k,) for k in held], "k string")
+        inside, outside = dedup.split_by_keys(df, "k", keys)
+        assert inside.columns == outside.columns == df.columns
+        assert sorted(map(tuple, inside.collect()), key=str) == sorted(map(tuple, df.join(keys, "k", "left_semi").collect()), key=str)
+        assert sorted(map(tuple, outside.collect()), key=str) == sorted(map(tuple, df.join(keys, "k", "left_anti").collect()), key=str)
+
+
+def _shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split()
+    return {f for f in held if "shuffle_" in f}
+
+
+def test_shuffle_files_go_with_the_action_that_wrote_them(spark, base):
+    configure(spark)
+    before = _shuffle_files(spark)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    df.write.parquet(f"{base}/counts")
+    got = sorted(map(tuple, df.collect()))
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and got == sorted(map(tuple, df.collect())) and len(got) == 7
+
+
+def test_a_merge_into_partitions_that_gain_and_lose(spark, base):
+    """Rows leave one partition, one is emptied, one only gains, one is not looked at; NULL keys stay."""
+    day = [dt.date(2022, 1, d) for d in range(1, 6)]
+    old = [("a", 1, day[0]), ("b", 1, day[0]), (None, 1, day[0]), ("c", 1, day[1]), ("d", 1, day[2]), ("e", 1, day[3])]
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int, load_date date")
+    apply_delete_insert(spark, f"{base}/t", frame(old), "k")
+    batch = [("a", 2, day[2]), ("c", 2, day[4])]
+    touched = apply_delete_insert(spark, f"{base}/t", frame(batch), "k", within=[str(d) for d in (*day[:3], day[4])])
+    assert touched == [str(day[i]) for i in (0, 1, 2, 4)]
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/t").select("k", "v", "load_date").collect()), key=str)
+    assert got == sorted([r for r in old if r[0] not in ("a", "c")] + batch, key=str)
+    assert partition_values(spark, f"{base}/t", "load_date") == [str(day[i]) for i in (0, 2, 3, 4)]
