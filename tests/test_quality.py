@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.plans import quality
+from sparkmart.operators import dedup
 from sparkmart.plans.quality import Check
 
 
@@ -139,3 +140,13 @@ def test_unique_by_hash_shuffles_no_key_that_occurs_once(spark):
         assert held[name].args == {"by_hash": True}
         tables = {held[name].table: df.withColumnRenamed("k", "review_id")}
         assert held[name].count(tables).first()[0] == 10 and held[name].failing(tables).count() == 10
+
+
+@pytest.mark.parametrize("bits", [1, 1 << 10])
+def test_only_rows_that_may_be_orphans_are_joined(spark, reviews, monkeypatch, bits):
+    monkeypatch.setattr(dedup, "BITS", bits)
+    parents = spark.createDataFrame([("p1",), ("p2",), (None,)], "id string")
+    found = quality.relationships(reviews, "product", parents, "id")
+    assert "_word" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(found.columns) == sorted(reviews.columns) and sorted(r["author"] for r in found.collect()) == ["c", "d"]
+    assert quality.relationships(reviews.where("product is null"), "product", parents, "id").count() == 0
