@@ -17,7 +17,10 @@ from sparkmart.operators.group_state import GroupState
 from sparkmart.sources.landed import read_or_empty
 
 FIRST, REPEATED, LATE = "first", "repeated", "late"
+#: States at least: fewer shards than these are dealt to parts, each with a state of its own.
 SHARDS = 256
+#: Rows that a worker hands back at a time.
+ROWS = 10_000
 #: Keys, none of which holds a line break, as one text, and their times as 8-byte numbers: no value is handled alone.
 STATE = "keys string, times binary"
 
@@ -27,9 +30,10 @@ def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, k
 
     A row is late if its time lies before the watermark, ``delay`` behind the newest time of earlier batches. Of the others
     the first of its key, by time and then by all columns, is first, and all more are repeated, for as long as
-    the key is kept: ``keep_days`` past its newest row, by the watermark. Keys are dealt to shards, and a
-    shard's state drops what is past that limit whenever it is visited, so state is bounded by the keys of that span.
-    A NULL time is never late and never told; such rows are first or repeated by their key alone, kept like time 0.
+    the key is kept: ``keep_days`` past its newest row, by the watermark. Keys are dealt to shards, and these to parts
+    that a task holds one at a time, ``SHARDS`` in all at least; a part's state drops what is past that limit whenever it
+    is visited, so state is bounded by the keys of that span. A NULL time is never late and never told; such rows are first
+    or repeated by their key alone, kept like time 0, which a visit drops after its rows are told.
     """
     names = df.columns
     keep = int(keep_days * 86_400_000)
@@ -38,7 +42,7 @@ def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, k
     texts = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, AtomicType) and f.dataType != BinaryType()}
     schema = df.select(*(texts.get(n, F.col(n)).alias(n) for n in names), F.lit("").alias("status")).schema
     millis = F.coalesce(F.unix_millis(time), F.lit(-1)).alias("_millis")
-    shard = F.pmod(F.xxhash64(key), F.lit(shards)).alias("_shard")
+    shard = F.pmod(F.xxhash64(key), F.lit(shards * -(-SHARDS // shards))).alias("_shard")
     # The watermark is named before the shuffle; rows behind it still reach the operator, as it has no event timeout.
     carried = [texts.get(n, F.col(n)).alias(n) for n in names]
     keyed = df.withWatermark(time, delay).select(F.col(time).alias("_time"), *carried, key.alias("_key"), millis, shard)
@@ -46,6 +50,9 @@ def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, k
     def tell(_: tuple, parts: Iterator[pd.DataFrame], state: StreamState) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
         held, times = _held(state)
+        # Other keys' rows may not have come to this part since.
+        in_time = (times == 0) | (times >= watermark - keep)
+        held, times = held[in_time], times[in_time]
         rows = pd.concat(list(parts), ignore_index=True)
         millis = rows["_millis"].to_numpy("int64")
         late = (millis >= 0) & (millis < watermark)
@@ -63,7 +70,9 @@ def classify_stream(df: DataFrame, keys: Sequence[str], time: str, delay: str, k
         held, times = np.concatenate([held[untouched], found]), np.concatenate([times[untouched], newest])
         kept = times >= watermark - keep
         state.update(("\n".join(held[kept]), times[kept].tobytes()))
-        yield rows[names].assign(status=status)
+        rows = rows[names].assign(status=status)
+        for at in range(0, len(rows), ROWS):
+            yield rows.iloc[at : at + ROWS]
 
     told = keyed.groupBy("_shard").applyInPandasWithState(tell, schema, STATE, "append", GroupStateTimeout.NoTimeout)
     # The operator gives rows of Arrow batches; a computed column turns them into rows that every sink takes.

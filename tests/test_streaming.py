@@ -156,3 +156,16 @@ def test_only_different_rows_of_one_time_are_sorted(monkeypatch):
     rows = pd.DataFrame({"id": [str(i // 2) for i in range(2 * n)], "v": ["v"] * (2 * n - 1) + ["a"]})
     first = keyed._first_rows(rows, ["id", "v"], np.arange(2 * n), np.arange(2 * n) // 2, np.zeros(2 * n, "int64"))
     assert sorted(first) == [*range(0, 2 * n - 2, 2), 2 * n - 1] and sorted_rows == [2]
+
+
+def test_few_shards_are_held_in_parts(spark, base, monkeypatch):
+    """A task held all rows and keys of one of two shards at once; rows go back in slices."""
+    monkeypatch.setattr(keyed, "ROWS", 3)
+    rows = [(i, dt.datetime(2022, 1, 2), "v") for i in range(400)] * 2
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{base}/in")
+    told = classify_stream(event_stream(spark, f"{base}/in", "t", SCHEMA), ["id"], "t", "2 days", 5, shards=2)
+    write_stream(told, f"{base}/out", f"{base}/cp").awaitTermination()
+    got = {(r["status"], r["n"]) for r in spark.read.parquet(f"{base}/out").groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert got == {("first", 400), ("repeated", 400)}
+    parts = spark.read.format("statestore").load(f"{base}/cp").count()
+    assert 150 < parts <= keyed.SHARDS
