@@ -1,10 +1,12 @@
+import datetime as dt
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmart.plans import quality
+from sparkmart.catalog import checks
 from sparkmart.operators import dedup
+from sparkmart.plans import quality
 from sparkmart.plans.quality import Check
 
 
@@ -150,3 +152,22 @@ def test_only_rows_that_may_be_orphans_are_joined(spark, reviews, monkeypatch, b
     assert "_word" in found._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(found.columns) == sorted(reviews.columns) and sorted(r["author"] for r in found.collect()) == ["c", "d"]
     assert quality.relationships(reviews.where("product is null"), "product", parents, "id").count() == 0
+
+
+def test_the_suite_checks_the_tags_of_two_labelers(spark, tmp_path):
+    """Only one labeler had tagged. The one that reads titles finds the complaint in a title."""
+    parts = [(k, f"part {k}", f"Brand#{k % 2}1", "TIN", 5, 900.0) for k in range(1, 4)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    lines = [(k, 1 + k % 3, k, n, 5.0, 1.0, 0.5, 0.0, "too greasy" if k == 7 else "R", "F", dt.datetime(1995, 1, k)) for k in range(1, 9) for n in (1, 2)]
+    spark.createDataFrame(lines, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    tables = checks.suite_tables(spark, str(tmp_path), f"{tmp_path}/suite")
+    reviews = sorted(r["review_id"] for r in tables["fct_reviews"].collect())
+    tags = tables["review_tags"].collect()
+    for who in ("keyword_baseline", "keyword_titled"):
+        assert sorted(r["review_id"] for r in tags if r["labeler"] == who) == reviews and len(reviews) == 16
+    assert {r["labeler"] for r in tables["mart_brand_complaints"].collect()} == {"keyword_baseline", "keyword_titled"}
+    assert len(tags) == 2 * len(reviews)
+    assert "keyword_titled" in checks.ORACLES["dq_log"]
+    greasy = [r["labeler"] for r in tags if r["evidence"] == "greasy"]
+    assert greasy.count("keyword_titled") >= 1
