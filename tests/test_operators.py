@@ -225,3 +225,14 @@ def test_a_merge_into_partitions_that_gain_and_lose(spark, base):
     got = sorted(map(tuple, spark.read.parquet(f"{base}/t").select("k", "v", "load_date").collect()), key=str)
     assert got == sorted([r for r in old if r[0] not in ("a", "c")] + batch, key=str)
     assert partition_values(spark, f"{base}/t", "load_date") == [str(day[i]) for i in (0, 2, 3, 4)]
+
+
+def test_a_merge_leaves_rows_without_a_partition_value(spark, base):
+    """They were left before; for a time the merge failed on them."""
+    day = [dt.date(2022, 1, d) for d in (1, 2)]
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int, load_date date")
+    apply_delete_insert(spark, f"{base}/t", frame([("a", 1, None), ("b", 1, day[0]), ("c", 1, day[0])]), "k")
+    apply_delete_insert(spark, f"{base}/t", frame([("a", 2, day[1]), ("b", 2, day[1])]), "k")
+    apply_delete_insert(spark, f"{base}/t", frame([("a", 3, day[0])]), "k", within=[])
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/t").select("k", "v", "load_date").collect()), key=str)
+    assert got == sorted([("a", 1, None), ("a", 2, day[1]), ("b", 2, day[1]), ("a", 3, day[0]), ("c", 1, day[0])], key=str)
